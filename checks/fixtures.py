@@ -189,10 +189,10 @@ def previous_dim_flight(points: DataFrame) -> DataFrame:
     return flight_dimension_input(seen).withColumn("updated_at", F.timestamp_seconds(F.lit(1704067200)))
 
 
-def fact_loads(spark: SparkSession, sf_dir: str) -> str:
+def fact_loads(points: DataFrame) -> str:
     """A fact store after three loads; the third has the second's version stamp."""
-    path = scratch_path(spark, "facts")
-    facts = fact_projection(stored_wide(spark, sf_dir))
+    path = scratch_path(points.sparkSession, "facts")
+    facts = fact_projection(points)
     second = facts.withColumn("event_ts", F.lit(SECOND_AS_OF))
     append_facts(facts, path, "snapshot_time", FACT_KEY, 1)
     append_facts(

@@ -140,7 +140,7 @@ def publish_guard(spark, sf_dir):
 
 @query
 def fact_append(spark, sf_dir):
-    store = files.read_store(spark, fx.fact_loads(spark, sf_dir))
+    store = files.read_store(spark, fx.fact_loads(fx.stored_wide(spark, sf_dir)))
     return store.groupBy(F.col("month").cast("string").alias("month"), "event_ts", "load_seq").agg(
         F.count("*").alias("facts"), F.sum("velocity").alias("total_velocity")
     )
@@ -420,7 +420,7 @@ def fact_projection(spark, sf_dir):
 
 @query
 def fact_latest(spark, sf_dir):
-    store = files.read_store(spark, fx.fact_loads(spark, sf_dir))
+    store = files.read_store(spark, fx.fact_loads(fx.stored_wide(spark, sf_dir)))
     return versions.latest(store, FACT_KEY).drop("load_seq", "month")
 
 
@@ -450,7 +450,7 @@ def time_agg_latest(spark, sf_dir):
 
 @query
 def retention(spark, sf_dir):
-    store = files.read_store(spark, fx.fact_loads(spark, sf_dir))
+    store = files.read_store(spark, fx.fact_loads(fx.stored_wide(spark, sf_dir)))
     return versions.retain(store, "snapshot_time", fx.RETENTION_AS_OF).select(
         "icao24", "snapshot_time", "load_seq", "velocity"
     )
@@ -458,9 +458,9 @@ def retention(spark, sf_dir):
 
 @query
 def obt_view(spark, sf_dir):
-    store = files.read_store(spark, fx.fact_loads(spark, sf_dir))
-    flights = fx.previous_dim_flight(fx.stored_wide(spark, sf_dir))
-    return versions.obt_view(store, flights, fx.previous_dim_station(spark, sf_dir))
+    points = fx.stored_wide(spark, sf_dir)
+    store = files.read_store(spark, fx.fact_loads(points))
+    return versions.obt_view(store, fx.previous_dim_flight(points), fx.previous_dim_station(spark, sf_dir))
 
 
 # --- streams -------------------------------------------------------------------------

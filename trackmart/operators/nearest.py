@@ -179,16 +179,18 @@ def _cells_from_array(points: DataFrame, sites: DataFrame, spread: float) -> tup
     """
     fine, ratio = spread / 2, 8
     tasks = points.sparkSession.sparkContext.defaultParallelism  # few bytes, much arithmetic
-    occupied = checkpointed(
-        points.select(*_named_cells(_point_position(), fine)).distinct().repartition(tasks)
-    ).withColumns({p: F.floor(F.col(c) / ratio) for p, c in zip(_PARENT, _CELL)})
+    occupied = (
+        points.select(*_named_cells(_point_position(), fine))
+        .distinct()
+        .withColumns({p: F.floor(F.col(c) / ratio) for p, c in zip(_PARENT, _CELL)})
+    )
     coarse = (
         occupied.select(*_PARENT)
         .distinct()
         .withColumn("all_sites", _as_array(sites))
         .select(*_PARENT, _sufficient("all_sites", _cell_centre(fine * ratio, _PARENT), fine * ratio).alias("sites"))
     )
-    cells = occupied.join(coarse, _PARENT).select(
+    cells = occupied.repartition(tasks).join(coarse, _PARENT).select(
         *_CELL, _sufficient("sites", _cell_centre(fine), fine).alias("candidates")
     )
     return fine, checkpointed(cells)

@@ -51,9 +51,10 @@ def time_agg_stream(states: DataFrame) -> DataFrame:
     Two windowed aggregations in a row: the first keeps one small row per aircraft, the
     second counts those rows, so no set of aircraft is ever collected.
     """
+    seen = states.withColumnRenamed("event_time", "seen")  # enrichment derives its own event_time
     per_aircraft = (
-        enrich_points(clean_points(states))
-        .groupBy(F.window("event_time", "1 minute"), "flight_phase", "icao24")
+        enrich_points(clean_points(seen))
+        .groupBy(F.window("seen", "1 minute"), "flight_phase", "icao24")
         .agg(
             F.count("*").alias("points"),
             F.sum("height").alias("height"),
