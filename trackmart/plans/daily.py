@@ -30,8 +30,8 @@ from trackmart.operators.versions import fact_projection, to_seconds
 from trackmart.plans.reports import phase_distribution, run_summary, top_flights
 from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY, FLIGHTS_KEY, TIME_KEY
 from trackmart.sources.files import (
-    DATE,
     append_facts,
+    day_path,
     publish,
     read_states,
     read_stations,
@@ -94,7 +94,7 @@ def run_day(
     clean, located = clean_points(states), enrich_stations(stations)
     work = f"{root}/work/flight_points"
     write_day(flight_points(nearest_station(enrich_points(clean), located), as_of), work, ds)
-    points = spark.read.parquet(work).where(F.col(DATE) == ds).drop(DATE)
+    points = spark.read.parquet(day_path(work, ds))
     require(run_checks(target_checks(clean, points)))
 
     version = int(as_of.timestamp())

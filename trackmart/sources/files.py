@@ -1,7 +1,7 @@
 """Day-partitioned Parquet, CSV exchange, versioned dimension folders, month stores.
 
-Every path may be any Hadoop file system URI. A day's partition is replaced as a whole by
-dynamic partition overwrite, so a repeated run leaves no old part files behind.
+Every path may be any Hadoop file system URI. A day's partition is replaced as a whole, so a
+repeated run leaves no old part files behind.
 """
 
 from __future__ import annotations
@@ -32,14 +32,12 @@ def read_stations(spark: SparkSession, root: str, ds: str) -> DataFrame:
 
 
 def write_day(df: DataFrame, path: str, ds: str) -> None:
-    """Replace one day's partition."""
-    (
-        df.withColumn(DATE, F.lit(ds))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DATE)
-        .parquet(path)
-    )
+    """Replace one day's partition, also by an empty one."""
+    df.write.mode("overwrite").parquet(day_path(path, ds))
+
+
+def day_path(path: str, ds: str) -> str:
+    return f"{path}/{DATE}={ds}"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
