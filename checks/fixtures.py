@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.operators.dimensions import flight_dimension_input
@@ -33,34 +33,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _unless(condition: str, value: str) -> Column:
-    return F.expr(f"CASE WHEN {condition} THEN NULL ELSE {value} END")
-
-
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return events.select(
-        F.expr("1704067200 + (event_id div 50) * 20").alias("snapshot_ts"),
-        F.expr("lpad(lower(hex(((event_id div 4500) * 50 + event_id % 50) % 16777216)), 6, '0')").alias("icao24"),
-        F.expr(
-            """CASE event_id % 50 WHEN 13 THEN NULL WHEN 17 THEN '        '
-               ELSE concat('  CS', event_id % 40 + CASE WHEN event_type = 'signup' THEN 100 ELSE 0 END, '  ') END"""
-        ).alias("callsign"),
-        F.expr("concat('NATION_', event_id % 25)").alias("origin_country"),
-        F.expr("1704067199 + (event_id div 50) * 20").alias("time_position"),
-        F.expr("1704067199 + (event_id div 50) * 20").alias("last_contact"),
-        _unless("event_id % 101 = 0", "4 + (event_id * 104729 % 70001) / 1e4D").alias("longitude"),
-        _unless("event_id % 97 = 0", "50 + (event_id * 7919 % 30001) / 1e4D").alias("latitude"),
-        _unless("event_id % 7 = 0", "(event_id * 37 % 40001) * 0.3048D").alias("baro_altitude"),
-        _unless("event_id % 53 = 0", "event_type = 'view'").alias("on_ground"),
-        _unless("event_id % 89 = 0", "value * 0.514444D").alias("velocity"),
-        _unless("event_id % 29 = 0", "(event_id * 17 % 3600) / 10D").alias("true_track"),
-        _unless("event_id % 11 = 0", "(event_id % 41 - 20) * 0.5D").alias("vertical_rate"),
-        _unless("event_id % 5 = 0", "((event_id * 31 % 43001) - 150) * 0.3048D").alias("geo_altitude"),
-        F.expr("lpad(CAST(event_id % 8000 AS STRING), 4, '0')").alias("squawk"),
-        F.expr("event_type = 'error'").alias("spi"),
-        F.expr("CAST(event_id % 4 AS INT)").alias("position_source"),
-        F.expr("CASE WHEN event_type = 'purchase' THEN CAST(event_id % 20 AS INT) END").alias("category"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "1704067200 + (event_id div 50) * 20 AS snapshot_ts",
+        "lpad(lower(hex(((event_id div 4500) * 50 + event_id % 50) % 16777216)), 6, '0') AS icao24",
+        """CASE event_id % 50 WHEN 13 THEN NULL WHEN 17 THEN '        '
+           ELSE concat('  CS', event_id % 40 + CASE WHEN event_type = 'signup' THEN 100 ELSE 0 END, '  ')
+           END AS callsign""",
+        "concat('NATION_', event_id % 25) AS origin_country",
+        "1704067199 + (event_id div 50) * 20 AS time_position",
+        "1704067199 + (event_id div 50) * 20 AS last_contact",
+        "CASE WHEN event_id % 101 <> 0 THEN 4 + (event_id * 104729 % 70001) / 1e4D END AS longitude",
+        "CASE WHEN event_id % 97 <> 0 THEN 50 + (event_id * 7919 % 30001) / 1e4D END AS latitude",
+        "CASE WHEN event_id % 7 <> 0 THEN (event_id * 37 % 40001) * 0.3048D END AS baro_altitude",
+        "CASE WHEN event_id % 53 <> 0 THEN event_type = 'view' END AS on_ground",
+        "CASE WHEN event_id % 89 <> 0 THEN value * 0.514444D END AS velocity",
+        "CASE WHEN event_id % 29 <> 0 THEN (event_id * 17 % 3600) / 10D END AS true_track",
+        "CASE WHEN event_id % 11 <> 0 THEN (event_id % 41 - 20) * 0.5D END AS vertical_rate",
+        "CASE WHEN event_id % 5 <> 0 THEN ((event_id * 31 % 43001) - 150) * 0.3048D END AS geo_altitude",
+        "lpad(CAST(event_id % 8000 AS STRING), 4, '0') AS squawk",
+        "event_type = 'error' AS spi",
+        "CAST(event_id % 4 AS INT) AS position_source",
+        "CASE WHEN event_type = 'purchase' THEN CAST(event_id % 20 AS INT) END AS category",
     )
 
 
@@ -110,18 +104,16 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The airport file; it carries columns nobody asked for."""
-    return table(spark, sf_dir, "supplier").select(
+    return table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey",
         "s_acctbal",
-        F.expr("concat('ST', lpad(CAST(s_suppkey AS STRING), 8, '0'))").alias("ident"),
-        F.expr(
-            """CASE s_nationkey % 3 WHEN 0 THEN 'large_airport' WHEN 1 THEN 'medium_airport'
-               ELSE 'small_airport' END"""
-        ).alias("type"),
-        F.col("s_name").alias("name"),
-        F.expr("49.5D + (s_suppkey * 7907 % 40001) / 1e4D").alias("latitude_deg"),
-        F.expr("3.5D + (s_suppkey * 5003 % 80001) / 1e4D").alias("longitude_deg"),
-        _unless("s_suppkey % 17 = 3", "CAST(s_suppkey * 37 % 5000 - 100 AS DOUBLE)").alias("elevation_ft"),
+        "concat('ST', lpad(CAST(s_suppkey AS STRING), 8, '0')) AS ident",
+        """CASE s_nationkey % 3 WHEN 0 THEN 'large_airport' WHEN 1 THEN 'medium_airport'
+           ELSE 'small_airport' END AS type""",
+        "s_name AS name",
+        "49.5D + (s_suppkey * 7907 % 40001) / 1e4D AS latitude_deg",
+        "3.5D + (s_suppkey * 5003 % 80001) / 1e4D AS longitude_deg",
+        "CASE WHEN s_suppkey % 17 <> 3 THEN CAST(s_suppkey * 37 % 5000 - 100 AS DOUBLE) END AS elevation_ft",
     )
 
 
@@ -145,11 +137,20 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flight_points(nearest(spark, sf_dir), AS_OF)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once and read back, as the daily run does with what it reads again."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def stored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide table, written once and read back, as the daily run does."""
-    path = scratch_path(spark, "wide")
-    wide(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(wide(spark, sf_dir))
+
+
+def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the wide table the flight dimension needs; no station is looked up."""
+    return enriched(spark, sf_dir).withColumn("callsign", F.trim("callsign"))
 
 
 def previous_dim_station(spark: SparkSession, sf_dir: str) -> DataFrame:

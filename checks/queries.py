@@ -40,9 +40,9 @@ def decimals(name: str) -> int:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(f.name, decimals(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            f"round({f.name}, {decimals(f.name)}) AS {f.name}" if isinstance(f.dataType, T.DoubleType) else f.name
             for f in df.schema
         ]
     )
@@ -343,8 +343,8 @@ def dq_guards(spark, sf_dir):
 
 @query
 def dq_dimensions(spark, sf_dir):
-    flights = quality.dim_flight_checks(_scd1(spark, sf_dir))
-    stations = quality.dim_station_checks(_scd2(spark, sf_dir))
+    flights = quality.dim_flight_checks(fx.stored(_scd1(spark, sf_dir)))
+    stations = quality.dim_station_checks(fx.stored(_scd2(spark, sf_dir)))
     return flights.withColumn("dimension", F.lit("flight")).unionByName(
         stations.withColumn("dimension", F.lit("station"))
     )
@@ -355,7 +355,7 @@ def dq_dimensions(spark, sf_dir):
 
 @query
 def dim_flight_input(spark, sf_dir):
-    return dims.flight_dimension_input(fx.wide(spark, sf_dir))
+    return dims.flight_dimension_input(fx.sightings(spark, sf_dir))
 
 
 @query
@@ -364,7 +364,7 @@ def dim_station_input(spark, sf_dir):
 
 
 def _scd1(spark, sf_dir):
-    points = fx.stored_wide(spark, sf_dir)
+    points = fx.sightings(spark, sf_dir)
     new = dims.flight_dimension_input(points.where("origin_country < 'NATION_2'"))
     return dims.scd1_upsert(fx.previous_dim_flight(points), new, "icao24", fx.AS_OF)
 
@@ -427,7 +427,7 @@ def fact_latest(spark, sf_dir):
 @query
 def flights_agg_latest(spark, sf_dir):
     path = scratch_path(spark, "flights")
-    flights = _flights(spark, sf_dir)
+    flights = fx.stored(_flights(spark, sf_dir))
     again = flights.where("total_points >= 5").withColumns(
         {"event_ts": F.lit(fx.SECOND_AS_OF), "total_points": F.col("total_points") + 1}
     )
@@ -439,7 +439,7 @@ def flights_agg_latest(spark, sf_dir):
 @query
 def time_agg_latest(spark, sf_dir):
     path = scratch_path(spark, "minutes")
-    minutes = marts.time_agg(fx.stored_wide(spark, sf_dir), fx.AS_OF)
+    minutes = fx.stored(marts.time_agg(fx.wide(spark, sf_dir), fx.AS_OF))
     again = minutes.where("flight_phase = 'climb'").withColumns(
         {"event_ts": F.lit(fx.SECOND_AS_OF), "points_in_window": F.col("points_in_window") + 1}
     )

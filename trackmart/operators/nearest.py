@@ -22,8 +22,6 @@ otherwise the join is a shuffle on the cell, where adaptive execution splits hot
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,15 +60,15 @@ def nearest_station(
 
     No station at all gives no rows, which the target checks report.
     """
-    here = _point_position()
     measured = with_candidates(points, stations, direct_stations, array_stations, leaf_stations).withColumn(
-        "distances", F.transform("candidates", lambda s: geo.distance(here, _site_position(s)))
+        "distances", F.expr(_distances("candidates", _POSITION))
     )
     # Lists are sorted by id, so the first of several equal minima is the tie-break winner.
-    best = F.element_at("candidates", F.array_position("distances", F.array_min("distances")).cast("int"))
-    return measured.select(
-        *points.columns, F.array_min("distances").alias("r_to_station"), best.alias("best")
-    ).select(*points.columns, "r_to_station", *[F.col(f"best.{c}").alias(c) for c in _STATION])
+    return measured.selectExpr(
+        *points.columns,
+        "array_min(distances) AS r_to_station",
+        "element_at(candidates, CAST(array_position(distances, array_min(distances)) AS INT)) AS best",
+    ).selectExpr(*points.columns, "r_to_station", *[f"best.{c} AS {c}" for c in _STATION])
 
 
 def nearest_station_window(points: DataFrame, stations: DataFrame, **limits: int) -> DataFrame:
@@ -150,8 +148,12 @@ def _named_cells(position: geo.Ecef, edge: float) -> list[Column]:
     return [F.floor(axis / edge).alias(name) for name, axis in zip(_CELL, position)]
 
 
-def _cell_centre(edge: float, names: list[str] = _CELL) -> geo.Ecef:
-    return geo.Ecef(*[(F.col(c) + 0.5) * edge for c in names])
+def _centre_sql(edge: float, names: list[str]) -> list[str]:
+    return [f"({name} + 0.5D) * {edge}D" for name in names]
+
+
+def _cell_centre(edge: float) -> geo.Ecef:
+    return geo.Ecef(*[F.expr(axis) for axis in _centre_sql(edge, _CELL)])
 
 
 def _spread(sites: DataFrame) -> tuple[int, float]:
@@ -188,30 +190,31 @@ def _cells_from_array(points: DataFrame, sites: DataFrame, spread: float) -> tup
         occupied.select(*_PARENT)
         .distinct()
         .withColumn("all_sites", _as_array(sites))
-        .select(*_PARENT, _sufficient("all_sites", _cell_centre(fine * ratio, _PARENT), fine * ratio).alias("sites"))
+        .select(*_PARENT, _sufficient("all_sites", _centre_sql(fine * ratio, _PARENT), fine * ratio).alias("sites"))
     )
     cells = occupied.repartition(tasks).join(coarse, _PARENT).select(
-        *_CELL, _sufficient("sites", _cell_centre(fine), fine).alias("candidates")
+        *_CELL, _sufficient("sites", _centre_sql(fine, _CELL), fine).alias("candidates")
     )
     return fine, checkpointed(cells)
 
 
-def _sufficient(sites: str, centre: geo.Ecef, edge: float) -> Column:
-    """The sites that can be nearest to some point of the cell."""
-    away = F.transform(sites, lambda s: geo.distance(centre, _site_position(s)))
-    return _bind(
-        away,
-        lambda ds: _bind(
-            F.array_min(ds) + (_SQRT3 * edge + _SLACK_M),
-            lambda reach: F.filter(sites, lambda s, i: ds[i] <= reach),
-        ),
+def _sufficient(sites: str, centre: list[str], edge: float) -> Column:
+    """The sites that can be nearest to some point of the cell around ``centre``.
+
+    The one-element arrays bind the distances and the reach to variables. As plain columns
+    the optimizer would move their expressions into the filter and repeat them per site.
+    """
+    return F.expr(
+        f"""transform(array({_distances(sites, centre)}), ds ->
+              transform(array(array_min(ds) + {_SQRT3 * edge + _SLACK_M}D), reach ->
+                filter({sites}, (s, i) -> ds[i] <= reach))[0])[0]"""
     )
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once. As a plain column the optimizer would
-    move its expression into the array functions and repeat it per element."""
-    return F.transform(F.array(value), use)[0]
+def _distances(sites: str, position: list[str]) -> str:
+    """SQL text: the distance from ``position`` to each site of an array."""
+    squares = [f"pow({p} - s.{c}, 2)" for p, c in zip(position, _STATION_POSITION)]
+    return f"transform({sites}, s -> sqrt({' + '.join(squares)}))"
 
 
 def _cells_by_refinement(points: DataFrame, sites: DataFrame, leaf_stations: int) -> list[tuple[float, DataFrame]]:

@@ -80,10 +80,15 @@ def nearest_batches(stations: DataFrame, sink: Callable[[DataFrame, int], None])
     """Micro-batch function: clean, enrich and locate the batch, hand it to ``sink``.
 
     Within a batch the batch operator applies unchanged, whatever the number of stations.
+    It looks at the batch more than once, so the batch is kept meanwhile: the stateful
+    steps before it run once. Batches without rows are not handed on.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        sink(nearest_station(enrich_points(clean_points(batch)), stations), epoch)
+        kept = batch.persist()
+        if not kept.isEmpty():
+            sink(nearest_station(enrich_points(clean_points(kept)), stations), epoch)
+        kept.unpersist()
 
     return write
 
@@ -102,10 +107,12 @@ def flight_upsert_stream(payloads: DataFrame, dim_path: str, as_of=None) -> Data
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        states = parse_snapshots(batch)
-        require(run_rules(batch, payload_rules()) + run_rules(states, state_rules()))
+        kept = batch.persist()
+        states = parse_snapshots(kept)
+        require(run_rules(kept, payload_rules()) + run_rules(states, state_rules()))
         dim = read_version(batch.sparkSession, dim_path, DIM_FLIGHT, before=epoch)
         new = flight_dimension_input(clean_points(states).withColumn("callsign", F.trim("callsign")))
         write_version(scd1_upsert(dim, new, "icao24", load_time(as_of)), dim_path, epoch)
+        kept.unpersist()
 
     return payloads.writeStream.foreachBatch(write)
