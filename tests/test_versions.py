@@ -66,6 +66,18 @@ def test_retention_prunes_months(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and "GreaterThan(ts" in plan
 
 
+def test_expired_months_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "store")
+    df = spark.createDataFrame([(ts(2022, m, 10), "k") for m in range(1, 13)], "ts timestamp, k string")
+    files.append_facts(df, path, "ts", ["k"], 1)
+    as_of = ts(2023, 3, 20)
+    before = sorted(versions.retain(files.read_store(spark, path), "ts", as_of).collect())
+    assert files.drop_expired_months(spark, path, as_of) == ["202201", "202202"]
+    store = files.read_store(spark, path)
+    assert store.count() == 10 and sorted(versions.retain(store, "ts", as_of).collect()) == before
+    assert files.drop_expired_months(spark, str(tmp_path / "none"), as_of) == []
+
+
 def test_append_keeps_loads_apart_and_sorted(spark, tmp_path):
     path = str(tmp_path / "store")
     df = spark.range(0, 2000, 1, 4).select(

@@ -76,13 +76,19 @@ def load_day(
     write_day(states, f"{root}/states", ds)
 
 
+def _settle(df: DataFrame, path: str, ds: str) -> DataFrame:
+    """Write a day's frame and go on from the written table."""
+    write_day(df, path, ds)
+    return df.sparkSession.read.parquet(day_path(path, ds))
+
+
 def run_day(
     spark: SparkSession, root: str, ds: str, as_of: datetime | None = None, load_seq: int | None = None
 ) -> DayRun:
     """Checks, enrichment, nearest station, dimensions, facts and aggregates for one day.
 
-    The wide table is written once and everything after it reads that table: nothing large
-    is cached and a lost executor costs one file read. Dimensions, stores and the curated
+    The wide table and the aggregates are written once and everything after them reads those
+    tables: nothing large is cached and a lost executor costs one file read. Dimensions, stores and the curated
     table are touched only after all checks have passed. Running a day again replaces its
     curated partition and supersedes its facts.
     """
@@ -93,8 +99,7 @@ def run_day(
 
     clean, located = clean_points(states), enrich_stations(stations)
     work = f"{root}/work/flight_points"
-    write_day(flight_points(nearest_station(enrich_points(clean), located), as_of), work, ds)
-    points = spark.read.parquet(day_path(work, ds))
+    points = _settle(flight_points(nearest_station(enrich_points(clean), located), as_of), work, ds)
     require(run_checks(target_checks(clean, points)))
 
     version = int(as_of.timestamp())
@@ -116,7 +121,8 @@ def run_day(
         version,
     )
 
-    flights, minutes = flights_agg(points, as_of), time_agg(points, as_of)
+    flights = _settle(flights_agg(points, as_of), f"{root}/work/flights_agg", ds)
+    minutes = _settle(time_agg(points, as_of), f"{root}/work/time_agg", ds)
     stored_ts = {"event_ts": to_seconds(F.col("event_ts"))}
     append_facts(fact_projection(points), f"{root}/fact_flight_points", "snapshot_time", FACT_KEY, load_seq)
     append_facts(flights.withColumns(stored_ts), f"{root}/flights_agg", "first_seen", FLIGHTS_KEY, load_seq)

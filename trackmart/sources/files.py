@@ -6,12 +6,15 @@ repeated run leaves no old part files behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackmart.operators.quality import require_rows
-from trackmart.operators.versions import LOAD_SEQ, MONTH, month_of
+from trackmart.operators.versions import LOAD_SEQ, MONTH, RETENTION, month_of
+from trackmart.runtime import load_time
 from trackmart.schemas import STATES, STATIONS
 
 DATE = "date"
@@ -55,7 +58,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return text.select(*[_typed(f.name, f.dataType) for f in schema])
 
 
-def _typed(name: str, kind: T.DataType):
+def _typed(name: str, kind: T.DataType) -> Column:
     column = F.col(f"`{name}`")
     if isinstance(kind, T.DoubleType):
         return F.nanvl(column.try_cast("double"), F.lit(None)).alias(name)
@@ -101,15 +104,36 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def drop_expired_months(spark: SparkSession, path: str, as_of: datetime) -> list[str]:
+    """Delete the months of a store in which every row has outlived its retention.
+
+    A month is gone for good once it lies wholly before ``as_of`` minus the retention; rows
+    of the month in which the limit falls are left to ``retain``.
+    """
+    limit = spark.range(1).select(month_of(load_time(as_of) - F.expr(RETENTION))).first()[0]
+    fs, folder = _file_system(spark, path)
+    if not fs.exists(folder):
+        return []
+    months = {s.getPath().getName().removeprefix(f"{MONTH}="): s.getPath() for s in fs.listStatus(folder)}
+    expired = sorted(m for m in months if m.isdigit() and m < limit)
+    for month in expired:
+        fs.delete(months[month], True)
+    return expired
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and ``path`` as one of its paths."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def versions_of(spark: SparkSession, path: str) -> list[int]:
     """Completely written versions below ``path``, oldest first."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, folder = _file_system(spark, path)
     if not fs.exists(folder):
         return []
     entries = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("version=")]
-    complete = [p for p in entries if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    complete = [p for p in entries if fs.exists(_file_system(spark, f"{p.toString()}/_SUCCESS")[1])]
     return sorted(int(p.getName().split("=")[1]) for p in complete)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackmart.runtime import broadcast_if_small, checkpointed
 from trackmart.schemas import STATES, VECTOR_POSITIONS
 
 _PAYLOAD = "time BIGINT, states ARRAY<ARRAY<STRING>>"
@@ -40,8 +41,9 @@ def dedup_snapshots(states: DataFrame, arrival: str = "arrival") -> DataFrame:
     """Of every snapshot time keep the first arrival, whole; later repeats are dropped.
 
     ``arrival`` numbers the requests. The first arrival per time is found by a plain
-    aggregation (one row per time leaves each task), then matched back; nothing is ranked
-    inside a snapshot, however large it is.
+    aggregation over two columns (one row per time leaves each task), then matched back;
+    nothing is ranked inside a snapshot, however large it is, and the states themselves
+    are shuffled only if there are too many snapshot times to broadcast.
     """
-    first = states.groupBy("snapshot_ts").agg(F.min(arrival).alias(arrival))
-    return states.join(first, ["snapshot_ts", arrival], "left_semi")
+    first = checkpointed(states.groupBy("snapshot_ts").agg(F.min(arrival).alias(arrival)))
+    return states.join(broadcast_if_small(first), ["snapshot_ts", arrival], "left_semi")
