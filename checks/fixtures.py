@@ -97,6 +97,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("snapshot_ts")
         .agg(F.array_join(F.collect_list(with_category), ",").alias("vectors"))  # 50 per snapshot
         .select(
+            "snapshot_ts",
             F.concat(F.lit('{"time":'), F.col("snapshot_ts").cast("string"), F.lit(',"states":['), "vectors", F.lit("]}")).alias("value")
         )
     )
