@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm import bpe, packing, rules, tokenfile
+from trackmart.llm import bpe, gam, lm, packing, rules, secret_scan, tokenfile, topk
 from trackmart.llm.common import table
 from trackmart.runtime import scratch_path
 
@@ -22,6 +22,19 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def remainder(n: int) -> Column:
+    """Checksum of the document's id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("quality").alias("label"))
+    scored = gam.classify(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out, "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +55,35 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op3_quality_rules"] = rules.oracle_sql()
 
 
+@query
+def op4_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op4_pivot_top_k"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 5"""
+
+
+@query
+def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), remainder(7) == 2)
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.counted(F.col("spans"), kind).alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    base = secret_scan.listed(F.col("spans"), secret_scan.BASE_KINDS)
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
