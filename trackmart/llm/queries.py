@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm import bpe, gam, lm, packing, rules, secret_scan, tokenfile, topk
+from trackmart.llm import bpe, forest, gam, lm, packing, repeats, rules, secret_scan, tokenfile, topk
 from trackmart.llm.common import table
 from trackmart.runtime import scratch_path
 
@@ -76,6 +76,11 @@ def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"), remainder(7) == 2)
 
 
+@query
+def op6_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
@@ -96,3 +101,15 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path).select(
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("runs").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
