@@ -96,8 +96,9 @@ def vocabulary(counts: DataFrame, word_classes: int = WORD_CLASSES, hot_words: i
     for r in sums:
         by_count[r["e"]], by_words[r["e"]] = r["n"], r["words"]
     total, distinct = int(by_count.sum()), int(by_words.sum())
-    known = {bytes(r["word"]): r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(hot_words).collect()}
+    top = counts.orderBy(F.desc("n"), "word").limit(hot_words).collect()
     # the end token always is a class
+    known = {bytes(r["word"]): r["n"] for r in [*top, *counts.filter(F.length("word") == 0).collect()]}
     words = [END, *(w for w in known if w != END)]
     singles = min(word_classes, len(words))
     for word in words[:singles]:
