@@ -69,13 +69,18 @@ def measures(docs: DataFrame) -> DataFrame:
 
     Windows of eight words are compared by 64-bit hashes within one text.
     """
+    return _measured(texts(docs), "doc_id")
+
+
+def _measured(source: DataFrame, carried: str) -> DataFrame:
+    """The column ``carried`` with the counts of ``text``."""
     text = F.col("text")
     words = F.filter(F.split(text, SPACE), lambda w: w != "")
     blank = "\t\x0b\x0c\r"
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(F.translate(x, blank, " " * len(blank)))) > 0)
     stop = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
-    counted = texts(docs).select(
-        "doc_id",
+    counted = source.select(
+        carried,
         words.alias("words"),
         lines.alias("lines"),
         _length_without(text, SPACE_CHARS).cast("long").alias("word_chars"),
@@ -83,7 +88,7 @@ def measures(docs: DataFrame) -> DataFrame:
     )
     n_words = F.size("words")
     hashed = counted.select(
-        "doc_id",
+        carried,
         "word_chars",
         "n_symbols",
         n_words.cast("long").alias("n_words"),
@@ -165,6 +170,16 @@ def oracle_sql(rules: tuple[Rule, ...] = RULES, min_words: int = 20, repeat_perc
 
 def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 20, repeat_percent: int = 30) -> DataFrame:
     """Counts, ``base_failed`` and ``kept`` for every document."""
+    return _judged(measures(docs), rules, min_words, repeat_percent)
+
+
+def _judged(measured: DataFrame, rules: tuple[Rule, ...], min_words: int, repeat_percent: int) -> DataFrame:
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    judged = measures(docs).withColumn("base_failed", base)
+    judged = measured.withColumn("base_failed", base)
     return judged.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
+def keep_passing(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 20, repeat_percent: int = 30) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns."""
+    source = docs.select(F.struct("*").alias("document"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return _judged(_measured(source, "document"), rules, min_words, repeat_percent).filter("kept").select("document.*")
