@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+import sys
+from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +14,9 @@ from pyspark.sql import functions as F
 
 from trackmart.runtime import scratch_path
 
-# A chunk is white space with the text after it. No match of the tokenizers' split patterns goes
-# from a visible character over into ASCII white space, so texts may be cut in front of it.
-CHUNK = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
-# Other white space right before ASCII white space belongs to one match with it.
-_UNSAFE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff][\t-\r ]")
 _CUT = re.compile("(?<=[!-~])(?=[\t-\r ])")
+# Characters whose bytes keep their number when put into lower case, and white space.
+_EVEN = re.compile(r"[\t-\r!-~\xa1-\u012f\u0131-\u017f]+")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +35,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def chunks(text: str) -> list[str]:
-    """Pieces of ``text`` that a pretokenizer treats independently."""
-    return [text] if _UNSAFE.search(text) else CHUNK.findall(text)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, which bounds what a task holds as Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def long_cuts(text: str, size: int) -> Iterator[str]:
@@ -52,45 +54,148 @@ def long_cuts(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
-class ChunkEncoder:
-    """Encodes texts chunk by chunk and remembers frequent chunks.
+class WordEncoder:
+    """Encodes texts word by word and remembers the ids of words seen before.
 
-    ``encode`` turns a list of strings into lists of ids. The memory is emptied when full, so it
-    stays bounded; it only saves time.
+    Texts are cut in front of single spaces. No match of the tokenizers' split patterns goes from
+    a visible character over into a space, so the parts are encoded independently; a text with
+    other white space in front of a space is encoded as a whole. New words are cut at line ends
+    too, encoded many at a time and told apart by the bytes that their tokens stand for. A full
+    memory is put aside and then gives up the words that are still in use to a new one, so what
+    is held stays bounded; it only saves time.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], limit: int = 300_000):
-        self.encode, self.limit, self.known = encode, limit, {}
+    TOGETHER = 1000
 
-    def __call__(self, batch: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def __init__(self, path: str, limit: int = 450_000):
+        import numpy as np
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        self.keeps_space = not suffix  # byte-level vocabularies drop nothing
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.sizes[number] = len(token.removesuffix(suffix))
+        self.limit = limit
+        self.known: dict[str, bytes] = {}  # after a space
+        self.forget()
+
+    def forget(self) -> None:
+        self.old, self.known = self.known, {}
+        # after a line end, and at the start of a text
+        self.lines: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {"": b""}
+
+    def encode(self, parts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def alone(self, text: str) -> bytes:
+        import numpy as np
+
+        return np.asarray(self.encode([text])[0], dtype="<u4").tobytes()
+
+    def learn(self, words: list[str], lead: str, into: dict[str, bytes]) -> None:
+        """Ids of ``lead`` and each word, the words without white space at their ends."""
         import numpy as np
 
-        out: list[bytes] = []
-        for text in batch:
-            parts = chunks(text)
-            known = self.known
-            missing = list({p for p in parts if p not in known})
-            if missing:
-                if len(known) > self.limit:
-                    known.clear()
-                    missing = list(set(parts))
-                for part, ids in zip(missing, self.encode(missing), strict=True):
-                    known[part] = np.asarray(ids, dtype="<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, parts)))
+        groups = [words[i : i + self.TOGETHER] for i in range(0, len(words), self.TOGETHER)]
+        joined = [lead + lead.join(g) for g in groups]
+        if not self.keeps_space and not all(map(_EVEN.fullmatch, joined)):
+            groups = [g if _EVEN.fullmatch(j) else [w for w in g if _EVEN.fullmatch(w)] for g, j in zip(groups, joined, strict=True)]
+            groups = [g for g in groups if g]
+            joined = [lead + lead.join(g) for g in groups]
+        for group, text, ids in zip(groups, joined, self.encode(joined), strict=True):
+            ids = np.asarray(ids, dtype="<u4")
+            letters = np.frombuffer(text.encode(), dtype=np.uint8)
+            begins = np.flatnonzero(letters == ord(lead))
+            due = np.append(begins[1:], len(letters))
+            if not self.keeps_space:
+                due = due - np.cumsum((letters >= 9) & (letters <= 13) | (letters == 32))[due - 1]
+            read = np.cumsum(self.sizes[ids])
+            ends = np.searchsorted(read, due) + 1
+            if len(due) == len(group) and len(ids) and ends[-1] == len(ids) and (read[ends - 1] == due).all():
+                raw, at = ids.tobytes(), 0
+                for word, end in zip(group, (4 * ends).tolist(), strict=True):
+                    into[word] = raw[at:end]
+                    at = end
+        for word in words:
+            if word not in into:
+                into[word] = self.alone(lead + word)
+
+    def add(self, words: set[str]) -> None:
+        """Learns words by their lines."""
+        lines = self.lines if self.keeps_space else self.known  # white space counts for nothing
+        again = self.old.keys() & words
+        self.known.update(zip(again, map(self.old.__getitem__, again)))
+        words = words - again
+        cut = {}
+        for word in words:
+            if "\n" in word:
+                parts = word.split("\n")
+                if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
+                    cut[word] = parts
+        if cut:
+            later = {p for parts in cut.values() for p in parts[1:]}
+            first = {parts[0] for parts in cut.values()}
+            words = (words - cut.keys()) | {p for p in first if p not in self.known}
+            self.learn([p for p in later if p not in lines], "\n", lines)
+        self.learn([w for w in words if w not in self.known] if cut else list(words), " ", self.known)
+        for word, parts in cut.items():
+            self.known[word] = b"".join([self.known[parts[0]], *(lines[p] for p in parts[1:])])
+
+    def __call__(self, batch: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.known) > self.limit:
+            self.forget()
+        if not self.keeps_space:  # vocabularies with word ends are in lower case
+            batch = [t.lower() if t.isascii() else t for t in batch]
+        words = [text.split(" ") for text in batch]
+        heads = [w.pop(0) for w in words]
+        known, found, gaps, new = self.known, [], [], set()
+        for some in words:
+            ids, holes, at = list(map(known.get, some)), [], 0
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at)
+                holes.append(at)
+                new.add(some[at])
+                at += 1
+            found.append(ids)
+            gaps.append(holes)
+        odd = {w for w in new if not w or w[-1].isspace()}
+        self.add(new - odd)
+        out = []
+        for text, head, some, ids, holes in zip(batch, heads, words, found, gaps, strict=True):
+            if head[-1:].isspace() or (odd and any(some[i] in odd for i in holes)):
+                out.append(self.alone(text))
+                continue
+            for i in holes:
+                ids[i] = known[some[i]]
+            if head not in self.heads:
+                self.heads[head] = self.alone(head)
+            out.append(self.heads[head] + b"".join(ids))
         return out
 
 
-def tokenizer_encoder(path: str) -> ChunkEncoder:
-    """Chunk encoder for a vocabulary file of the tokenizers library; special strings are text."""
-    import os
+def encoded_rows(batch: pa.RecordBatch, encode: WordEncoder, at_once: int = 2000) -> Iterator[tuple[int | None, bytes]]:
+    """``doc_id`` and ids of every row, encoding some thousand texts at once."""
+    for start in range(0, batch.num_rows, at_once):
+        part = batch.slice(start, at_once)
+        yield from zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist()), strict=True)
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return ChunkEncoder(lambda parts: [e.ids for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
+def tokenizer_encoder(path: str) -> WordEncoder:
+    """Encoder for a vocabulary file of the tokenizers library; special strings are text.
+
+    A worker process keeps it, with the words it knows, from task to task.
+    """
+    kept = sys.modules.setdefault("trackmart_worker_state", ModuleType("trackmart_worker_state")).__dict__
+    if path not in kept:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import record_batch, texts, tokenizer_encoder, written
+from trackmart.llm.common import encoded_rows, record_batch, texts, tokenizer_encoder, written
 
 CAPACITY = 4096
 SALTS = 64
@@ -44,8 +44,8 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: i
         encode, end = tokenizer_encoder(tokenizer_file), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = encode([text])[0] + end
+            for doc_id, text_ids in encoded_rows(batch, encode):
+                ids = text_ids + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] * with_ids)))

@@ -14,6 +14,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import record_batch, texts, tokenizer_encoder
+from trackmart.llm.common import encoded_rows, record_batch, texts, tokenizer_encoder
 
 BLOCK = 1024
-ROW_IDS = 1 << 18
+ROW_IDS = 1 << 20
 # Fixed values of the format: ids per word and bits per id, by selector from 1 on.
 LAYOUT = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 _COUNTS = np.array([1, *(n for n, _ in LAYOUT), 0], dtype=np.int64)  # by selector; 15 occurs in raw words only
+_WIDTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)  # bits of small ids
 
 FILE_SCHEMA = "shard int, part long, start long, doc_ids array<long>, lengths array<long>, n_ids long, word_offsets binary, words binary"
 
@@ -51,7 +53,7 @@ def _selectors(bits: np.ndarray) -> np.ndarray:
     best = np.zeros(bits.shape, dtype=np.uint8)
     for selector in range(len(LAYOUT), 0, -1):
         n, width = LAYOUT[selector - 1]
-        best[reach(n) <= width] = selector
+        np.copyto(best, selector, where=reach(n) <= width)
     return best
 
 
@@ -65,8 +67,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     flat = np.zeros(blocks * BLOCK, dtype=np.uint64)
     flat[: len(ids)] = ids
     padded[:, :BLOCK] = flat.reshape(blocks, BLOCK)
-    high, low = (padded >> np.uint64(32)).astype(np.float64), (padded & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    bits = np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
+    if int(ids.max()) < len(_WIDTHS):
+        bits = _WIDTHS[padded]
+    else:
+        high, low = (padded >> np.uint64(32)).astype(np.float64), (padded & np.uint64(0xFFFFFFFF)).astype(np.float64)
+        bits = np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
     selectors = _selectors(bits)
     size = np.full(blocks, BLOCK, dtype=np.int64)
     size[-1] = len(ids) - (blocks - 1) * BLOCK
@@ -80,7 +85,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         on = place < size[rows]
         rows, place = rows[on], place[on]
     rows, place = np.concatenate(taken_rows), np.concatenate(taken_places)
-    order = np.lexsort((place, rows))
+    order = np.argsort(rows.astype(np.uint16) if blocks < 1 << 16 else rows, kind="stable")
     rows, place = rows[order], place[order]
     chosen = selectors[rows, place]
     at = np.arange(len(rows)) + np.cumsum(chosen == 0) - (chosen == 0)  # an escape takes two words
@@ -142,8 +147,8 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int, path: str) -
             return record_batch(schema, [shard], [part], [start], [doc_ids], [[len(x) // 4 for x in held]], [len(ids)], [offsets.tobytes()], [words.tobytes()])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                coded = encode([text])[0] + end
+            for doc_id, text_ids in encoded_rows(batch, encode):
+                coded = text_ids + end
                 doc_ids.append(doc_id)
                 held.append(coded)
                 size += len(coded) // 4
@@ -158,24 +163,28 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int, path: str) -
     ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, start, ids``: each document's ids and how many there are before it."""
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32[, ids]``: how many ids there are before each document
+    and in it, and the checksum of its ids as little-endian unsigned 32-bit integers."""
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
     # one row per written shard, of which there are as many as tasks
     shards = files.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     bases = shards.select("shard", (F.sum("n").over(W.orderBy("shard")) - F.col("n")).alias("base"))
-    schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("within", pa.int64()), ("ids", pa.binary())])
+    fields = [("shard", pa.int32()), ("doc_id", pa.int64()), ("within", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    schema = pa.schema(fields + [("ids", pa.binary())] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids = unpack(np.frombuffer(row["words"], dtype="<u8"), np.frombuffer(row["word_offsets"], dtype="<u4"), row["n_ids"])
-                ids = ids.astype("<u4")
                 ends = np.cumsum(row["lengths"])
                 starts = ends - row["lengths"]
-                parts = [ids[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
-                yield record_batch(schema, [row["shard"]] * len(parts), row["doc_ids"], (starts + row["start"]).tolist(), parts)
+                raw = memoryview(ids.astype("<u4").tobytes())
+                parts = [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
+                columns = [[row["shard"]] * len(parts), row["doc_ids"], (starts + row["start"]).tolist(), row["lengths"], [zlib.crc32(p) for p in parts]]
+                yield record_batch(schema, *columns, *([[bytes(p) for p in parts]] * with_ids))
 
     rows = files.select("shard", "start", "doc_ids", "lengths", "n_ids", "word_offsets", "words")
-    decoded = rows.mapInArrow(run, "shard int, doc_id long, within long, ids binary")
-    return decoded.join(F.broadcast(bases), "shard").select("doc_id", (F.col("base") + F.col("within")).alias("start"), "ids")
+    decoded = rows.mapInArrow(run, "shard int, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    start = (F.col("base") + F.col("within")).alias("start")
+    return decoded.join(F.broadcast(bases), "shard").select("doc_id", start, "n_tokens", "ids_crc32", *(["ids"] * with_ids))
