@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import written
+from trackmart.llm.common import slices, written
 
 WORD_CLASSES = 384
 ENDING_CLASSES = 128
@@ -57,7 +57,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         def out() -> pa.RecordBatch:
             return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
 
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 counts.update(tokens(text))
                 if len(counts) > FLUSH_WORDS:
@@ -122,7 +122,7 @@ def code(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         known = np.append(vocab.counts > 0, False)
         class_of = np.array([i if i < vocab.singles else vocab.singles + ending_class(w) for i, w in enumerate(vocab.hot)])
         key = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             columns: list[list] = [[] for _ in range(7)]
             for text in batch.column("text").to_pylist():
                 words = tokens(text)
@@ -281,7 +281,7 @@ def score_classes(coded: DataFrame, vocab: Vocabulary, model: LogBilinear) -> Da
     start, units = len(model.targets), vocab.unit_logs()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for codes in batch.column("codes").to_pylist():
                 now, before, earlier = contexts([codes], start)
