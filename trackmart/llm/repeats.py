@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import texts, written
+from trackmart.llm.common import slices, texts, written
 
 LENGTH, GRAM = 200, 50
 PART = 1 << 20  # bytes that are hashed at once
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SPLIT = 2000  # distinct pieces of one anchor in one shard
 FILTER_BITS = 28  # the filter of repeated anchors has at most 2**28 bits
 
@@ -143,7 +143,7 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     """``anchor, several``: anchors that occur twice or more, and whether in different pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2000):
             found = [pieces(raw, ends)[:2] for raw, ends, _, _ in _parts(_text_bytes(batch))]
             if found:
                 anchor, piece = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -190,7 +190,7 @@ def occurrences(docs: DataFrame, repeated: Filter, several: Filter) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in slices(batches, 2000):
             every = _text_bytes(batch)
             keys = [hashlib.md5(t).digest() for t in every]
             seen: dict[bytes, int] = {}
@@ -237,29 +237,40 @@ def suffix_array(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.
     wide = np.concatenate([symbols.astype(np.uint64) + np.uint64(1), np.zeros(8, dtype=np.uint64)])
     left = ends - np.arange(n)
     for j in range(7):  # nine bits for each of the first seven symbols
-        key = key << np.uint64(9) | np.where(left > j, wide[j : j + n], np.uint64(0))
-    order = np.argsort(key, kind="stable")
-    change = np.append(True, key[order][1:] != key[order][:-1])
-    rank = np.empty(n + 1, dtype=np.int64)  # a group's rank is the place of its first member
-    rank[n] = -1
+        key <<= np.uint64(9)
+        key |= wide[j : j + n] * (left > j)
+    order = np.argsort(key)
+    key = key[order]
+    change = np.append(True, key[1:] != key[:-1])
+    rank = np.full(n + 1, -1, dtype=np.int64)  # a group's rank is the place of its first member
     rank[order] = np.maximum.accumulate(np.where(change, np.arange(n), 0))
-    reach = 7
-    while reach < left.max(initial=0):
+    bits = max(1, n.bit_length())
+    mask = (1 << bits) - 1
+    reach, longest = 7, left.max(initial=0)
+    while True:
         # members of groups of several suffixes, refined by the ranks ``reach`` further on
-        first = np.flatnonzero(change)
-        sizes = np.diff(np.append(first, n))
-        open_places = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        alone = change & np.append(change[1:], True)
+        open_places = np.flatnonzero(~alone)
         if not len(open_places):
             break
         members = order[open_places]
-        onward = np.where(left[members] > reach, rank[np.minimum(members + reach, n)], -1) + 1
-        inner = np.lexsort((onward, rank[members]))
-        members, onward = members[inner], onward[inner]
         group = rank[members]
+        onward = np.where(left[members] > reach, rank[np.minimum(members + reach, n)], -1) + 1
+        if 3 * bits < 64:  # all in one word: the last bits are the suffix itself
+            packed = (group << (2 * bits)) | (onward << bits) | members
+            packed.sort()
+            members = packed & mask
+            packed >>= bits
+            new = np.append(True, packed[1:] != packed[:-1])
+        else:
+            inner = np.lexsort((members, onward, group))
+            members, group, onward = members[inner], group[inner], onward[inner]
+            new = np.append(True, (group[1:] != group[:-1]) | (onward[1:] != onward[:-1]))
         order[open_places] = members
-        new = np.append(True, (group[1:] != group[:-1]) | (onward[1:] != onward[:-1]))
         change[open_places] = new
         rank[members] = np.maximum.accumulate(np.where(new, open_places, 0))
+        if reach >= longest:
+            break
         reach *= 2
     place = np.empty(n, dtype=np.int64)
     place[order] = np.arange(n)
@@ -316,13 +327,17 @@ RANGES = "array<struct<first:int,last:int>>"
 _RANGE_TYPE = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
-def _shard_flags(group: pa.Table) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray]]:
-    """For each piece of a shard: bytes, flags, and two hashes of each of its strings."""
-    contents = group.column("content").to_pylist()
-    flags, starts, symbols = repeated_strings(contents)
-    grams = Hashes(symbols).all(LENGTH)
-    counts = [len(c) - LENGTH + 1 for c in contents]
-    return contents, [flags[s : s + n] for s, n in zip(starts, counts, strict=True)], [grams[s : s + n] for s, n in zip(starts, counts, strict=True)]
+def _shard_flags(contents: list[bytes]) -> list[np.ndarray]:
+    """For each piece of a shard which of its strings occur elsewhere in the shard."""
+    flags, starts, _ = repeated_strings(contents)
+    return [flags[s : s + len(c) - LENGTH + 1] for s, c in zip(starts, contents, strict=True)]
+
+
+def _shard_strings(contents: list[bytes]) -> list[np.ndarray]:
+    """For each piece of a shard the hashes of its strings."""
+    raw = np.frombuffer(b"".join(contents), dtype=np.uint8)
+    hashes, stops = Hashes(raw).all(LENGTH), np.cumsum([len(c) for c in contents])
+    return [hashes[stop - len(c) : stop - LENGTH + 1] for stop, c in zip(stops, contents, strict=True)]
 
 
 def shared_ranges(content: DataFrame) -> DataFrame:
@@ -330,13 +345,12 @@ def shared_ranges(content: DataFrame) -> DataFrame:
     pieces with ``shard`` and ``split``, true where an anchor has several shards."""
 
     def within(group: pa.Table) -> pa.Table:
-        _, flags, _ = _shard_flags(group)
+        flags = _shard_flags(group.column("content").to_pylist())
         return pa.table([group.column("anchor"), group.column("piece"), pa.array([_ranges(f) for f in flags], _RANGE_TYPE)], names=["anchor", "piece", "ranges"])
 
     def strings(group: pa.Table) -> pa.Table:
         """The distinct strings of a shard by hash, in order."""
-        _, _, grams = _shard_flags(group)
-        found = np.unique(np.concatenate(grams))
+        found = np.unique(np.concatenate(_shard_strings(group.column("content").to_pylist())))
         shard = group.column("shard")[0].as_py()
         return pa.table([pa.array(np.full(len(found), shard)), _signed(found)], names=["shard", "string"])
 
@@ -344,10 +358,10 @@ def shared_ranges(content: DataFrame) -> DataFrame:
         """Flags from the shard itself and from the strings that other shards hold too."""
         if not group.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), _RANGE_TYPE)], names=["anchor", "piece", "ranges"])
-        _, flags, grams = _shard_flags(group)
+        contents = group.column("content").to_pylist()
         held = np.sort(others.column("string").to_numpy().view(np.uint64))
         out = []
-        for flag, gram in zip(flags, grams, strict=True):
+        for flag, gram in zip(_shard_flags(contents), _shard_strings(contents), strict=True):
             at = np.searchsorted(held, gram)
             out.append(_ranges(flag | (held[np.minimum(at, len(held) - 1)] == gram) if len(held) else flag))
         return pa.table([group.column("anchor"), group.column("piece"), pa.array(out, _RANGE_TYPE)], names=["anchor", "piece", "ranges"])
@@ -372,7 +386,8 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     found = written(occurrences(source, repeated, several), "occurrences")
 
     counts = found.groupBy("anchor", "piece").agg(F.count("*").alias("n"))
-    per_anchor = found.filter("content IS NOT NULL").select("anchor", "piece").distinct().groupBy("anchor").agg(F.count("*").alias("pieces")).filter("pieces > 1")
+    # an anchor matters if it has several pieces, some of them only once
+    per_anchor = counts.groupBy("anchor").agg(F.count("*").alias("pieces"), F.min("n").alias("least")).filter("pieces > 1 AND least = 1").drop("least")
     bytes_ = found.filter("content IS NOT NULL").select("anchor", "piece", "content").dropDuplicates(["anchor", "piece"])
     contested = written(bytes_.join(per_anchor, "anchor"), "contested")
     volume = contested.agg(F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("size")).first()["size"]
@@ -426,7 +441,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     run_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raws, runs = _text_bytes(batch), []
             for raw, spans in zip(raws, batch.column("repeats_spans_").to_pylist(), strict=True):
                 runs.append(covered(spans or [], len(raw)))
@@ -449,7 +464,7 @@ def strip_repeats(docs: DataFrame) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("repeats_spans_").to_pylist(), strict=True):
                 if text is not None and spans:
