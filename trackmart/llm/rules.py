@@ -182,4 +182,6 @@ def _judged(measured: DataFrame, rules: tuple[Rule, ...], min_words: int, repeat
 def keep_passing(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 20, repeat_percent: int = 30) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
     source = docs.select(F.struct("*").alias("document"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return _judged(_measured(source, "document"), rules, min_words, repeat_percent).filter("kept").select("document.*")
+    judged = _judged(_measured(source, "document"), rules, min_words, repeat_percent)
+    # Not a filter: that would be moved below the projections, with all their expressions in it.
+    return judged.select(F.inline(F.when(F.col("kept"), F.array("document"))))
