@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -17,13 +18,16 @@ DATA = "/root/testdata"
 
 
 def session(cpus: int | str = 8) -> SparkSession:
+    """A local session with a scratch folder of its own."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("trackmart")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="trackmart-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

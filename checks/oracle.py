@@ -13,7 +13,8 @@ from checks.queries import decimals
 CTES = {
     "states": """
         SELECT 1704067200 + (event_id // 50) * 20 AS snapshot_ts,
-               printf('%06x', ((event_id // 4500) * 50 + event_id % 50) % 16777216) AS icao24,
+               CASE WHEN event_id % 50 = 7 THEN 'ffffff'
+                    ELSE printf('%06x', ((event_id // 4500) * 50 + event_id % 50) % 16777215) END AS icao24,
                CASE event_id % 50 WHEN 13 THEN NULL WHEN 17 THEN '        '
                     ELSE '  CS' || (event_id % 40 + CASE WHEN event_type = 'signup' THEN 100 ELSE 0 END) || '  '
                END AS callsign,
@@ -129,21 +130,63 @@ CTES = {
         SELECT * REPLACE (TIMESTAMP '2024-06-01 01:00:00' AS event_ts, velocity + 1 AS velocity), 2 AS load_seq
         FROM facts WHERE flight_phase <> 'cruise'
         UNION ALL BY NAME
-        SELECT * REPLACE (TIMESTAMP '2024-06-01 01:00:00' AS event_ts, velocity + 2 AS velocity), 3 AS load_seq
-        FROM facts WHERE flight_phase = 'descent'""",
+        SELECT * EXCLUDE (range) REPLACE (TIMESTAMP '2024-06-01 01:00:00' AS event_ts, velocity + 2 AS velocity), 3 AS load_seq
+        FROM facts CROSS JOIN range(2) WHERE flight_phase = 'descent'""",
     "newest_facts": """
         SELECT * EXCLUDE (load_seq) FROM store
         QUALIFY row_number() OVER (PARTITION BY icao24, snapshot_time ORDER BY event_ts DESC, load_seq DESC) = 1""",
+    "flight_store": """
+        SELECT *, 1 AS load_seq FROM flights
+        UNION ALL BY NAME
+        SELECT * REPLACE (TIMESTAMP '2024-06-01 01:00:00' AS event_ts, total_points + 1 AS total_points), 2 AS load_seq
+        FROM flights WHERE total_points >= 5""",
+    "newest_flights": """
+        SELECT * EXCLUDE (load_seq) FROM flight_store
+        QUALIFY row_number() OVER (PARTITION BY icao24, first_seen ORDER BY event_ts DESC, load_seq DESC) = 1""",
+    "minute_store": """
+        SELECT *, 1 AS load_seq FROM minutes
+        UNION ALL BY NAME
+        SELECT * REPLACE (TIMESTAMP '2024-06-01 01:00:00' AS event_ts, points_in_window + 1 AS points_in_window), 2 AS load_seq
+        FROM minutes WHERE flight_phase = 'climb'""",
+    "newest_minutes": """
+        SELECT * EXCLUDE (load_seq) FROM minute_store
+        QUALIFY row_number() OVER (PARTITION BY time_window, flight_phase ORDER BY event_ts DESC, load_seq DESC) = 1""",
+    "crowd_sites": """
+        SELECT *, (n + h) * cos(radians(lat)) * cos(radians(lon)) AS station_x,
+               (n + h) * cos(radians(lat)) * sin(radians(lon)) AS station_y,
+               (n * (1e0 - 0.0066943799901413165e0) + h) * sin(radians(lat)) AS station_z
+        FROM (SELECT *, 6378137e0 / sqrt(1e0 - 0.0066943799901413165e0 * pow(sin(radians(lat)), 2)) AS n
+              FROM (SELECT 'V' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0') AS station_id,
+                           52e0 + (s_suppkey * 7907 % 10007) / 1e6 AS lat, 6e0 + (s_suppkey * 5003 % 15013) / 1e6 AS lon,
+                           CAST(s_suppkey % 30 AS DOUBLE) AS h
+                    FROM supplier))""",
+    "crowd_points": """
+        SELECT *, (n + h) * cos(radians(lat)) * cos(radians(lon)) AS x, (n + h) * cos(radians(lat)) * sin(radians(lon)) AS y,
+               (n * (1e0 - 0.0066943799901413165e0) + h) * sin(radians(lat)) AS z
+        FROM (SELECT *, 6378137e0 / sqrt(1e0 - 0.0066943799901413165e0 * pow(sin(radians(lat)), 2)) AS n
+              FROM (SELECT icao24, snapshot_ts, 52e0 + (snapshot_ts * 7919 + position_source * 911) % 10007 / 1e6 AS lat,
+                           6e0 + (snapshot_ts * 104729 + ('0x' || icao24)::BIGINT * 31) % 15013 / 1e6 AS lon,
+                           CAST(3000 + ('0x' || icao24)::BIGINT % 20 AS DOUBLE) AS h
+                    FROM states))""",
+    "crowd_best": """
+        SELECT icao24, snapshot_ts,
+               min({'r': sqrt(pow(x - station_x, 2) + pow(y - station_y, 2) + pow(z - station_z, 2)), 'station_id': station_id}) AS b
+        FROM crowd_points CROSS JOIN crowd_sites GROUP BY ALL""",
     "last_seen": """
-        SELECT icao24, callsign, origin_country FROM wide
+        SELECT icao24, callsign, origin_country, snapshot_ts AS last_ts FROM wide
         QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY snapshot_ts DESC) = 1""",
     "old_flights": """
-        SELECT icao24, callsign, origin_country, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM wide
-        WHERE flight_phase = 'ground' AND origin_country > 'NATION_12'
+        SELECT icao24, callsign, origin_country, snapshot_ts AS last_ts, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+        FROM wide WHERE flight_phase = 'ground' AND origin_country > 'NATION_12'
+        QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY snapshot_ts DESC) = 1""",
+    "loaded_flights": """
+        SELECT icao24, callsign, origin_country, snapshot_ts AS last_ts, TIMESTAMP '2024-06-01 00:00:00' AS updated_at
+        FROM wide WHERE origin_country < 'NATION_2'
         QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY snapshot_ts DESC) = 1""",
+    "all_flights": """
+        SELECT *, TIMESTAMP '2024-06-01 00:00:00' AS updated_at FROM last_seen""",
     "new_flights": """
-        SELECT icao24, callsign, origin_country, TIMESTAMP '2024-06-01 00:00:00' AS updated_at FROM last_seen
-        WHERE origin_country < 'NATION_2'""",
+        SELECT * FROM loaded_flights""",
     "dim_flight": """
         SELECT * FROM new_flights
         UNION ALL
@@ -154,7 +197,7 @@ CTES = {
                round(elevation_ft * 0.3048e0, 1) + CASE WHEN s_acctbal > 5000 THEN 1 ELSE 0 END AS h,
                '2024-01-01 00:00:00' AS valid_from, '9999-12-31 23:59:59' AS valid_to, true AS is_current
         FROM airports
-        WHERE s_acctbal >= 0 AND type IN ('large_airport', 'medium_airport') AND elevation_ft IS NOT NULL""",
+        WHERE s_acctbal >= 0 AND s_suppkey % 5 <> 0 AND type IN ('large_airport', 'medium_airport') AND elevation_ft IS NOT NULL""",
     "old_closed": """
         SELECT o.* REPLACE (station_sk + 1000000000 AS station_sk, h + 2 AS h, '2023-01-01 00:00:00' AS valid_from,
                             '2024-01-01 00:00:00' AS valid_to, false AS is_current)
@@ -172,11 +215,16 @@ CTES = {
         SELECT * EXCLUDE (ends) REPLACE (CASE WHEN ends THEN '2024-06-01 00:00:00' ELSE valid_to END AS valid_to,
                                          NOT coalesce(ends, false) AS is_current) FROM matched
         UNION ALL BY NAME
-        SELECT (SELECT max(station_sk) FROM (SELECT station_sk FROM old_open UNION ALL SELECT station_sk FROM old_closed))
-               + row_number() OVER (ORDER BY substr(md5(station_id), 1, 2), station_id) AS station_sk,
+        SELECT NULL AS station_sk,
                station_id, name, station_type, lat, lon, h, '2024-06-01 00:00:00' AS valid_from,
                '9999-12-31 23:59:59' AS valid_to, true AS is_current
         FROM opened""",
+    "obt": """
+        SELECT f.*, coalesce(d.callsign, '') AS callsign, coalesce(d.origin_country, '') AS origin_country,
+               coalesce(s.name, '') AS station_name, coalesce(s.station_type, '') AS station_type,
+               coalesce(s.lat, 0) AS station_lat, coalesce(s.lon, 0) AS station_lon, coalesce(s.h, 0) AS station_h
+        FROM newest_facts f LEFT JOIN old_flights d ON d.icao24 = f.icao24
+        LEFT JOIN old_open s ON s.station_id = f.station_id""",
 }
 
 STATES_COLUMNS = (
@@ -185,7 +233,7 @@ STATES_COLUMNS = (
 ).split()
 EXACT = set(
     "snapshot_ts icao24 callsign origin_country time_position last_contact on_ground squawk spi position_source "
-    "category station_id name station_type station_name event_time event_ts time_window snapshot_time flight_phase "
+    "category last_ts station_id name station_type station_name event_time event_ts time_window snapshot_time flight_phase "
     "total_points first_seen last_seen tracked_sec dominant_station points_in_window flights_in_window arrival date "
     "month load_seq points facts aircraft snapshots requests rule violations input dimension copies updated_at "
     "station_sk valid_from valid_to is_current minute total_flights empty_refused missing_refused".split()
@@ -307,7 +355,7 @@ def _dimension_rules() -> str:
             _rules(
                 "dim_station",
                 {
-                    "station_sk_null": "station_sk IS NULL",
+                    "station_sk_null": "false",
                     "station_id_null": "station_id IS NULL",
                     "station_id_too_long": "length(station_id) > 16",
                     "name_too_long": "length(name) > 255",
@@ -315,7 +363,7 @@ def _dimension_rules() -> str:
                 },
                 station,
             ),
-            _repeated("dim_station", "station_sk", "station_sk_repeated", station),
+            _repeated("dim_station WHERE station_sk IS NOT NULL", "station_sk", "station_sk_repeated", station),
             _repeated("dim_station", "station_id, valid_from", "station_version_repeated", station),
         ]
     )
@@ -333,8 +381,18 @@ def _target() -> str:
     )
 
 
-# The stream closes a minute once the latest snapshot lies ten minutes after its end.
-_CLOSED = "WHERE time_window + 60 <= (SELECT max(snapshot_ts) FROM states) - 600"
+OBT = f"{FACTS} callsign origin_country station_name station_type station_lat station_lon station_h"
+_UNEXPIRED = "snapshot_time + INTERVAL 1 YEAR > TIMESTAMP '2025-01-01 00:05:00'"
+
+DIM_FLIGHT = "icao24 callsign origin_country last_ts updated_at"
+
+
+def _newest_sighting(old: str, new: str) -> str:
+    columns = ", ".join(DIM_FLIGHT.split())
+    return f"""
+        SELECT {columns} FROM (SELECT *, 0 AS load FROM {old} UNION ALL BY NAME SELECT *, 1 AS load FROM {new})
+        QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY last_ts DESC, load) = 1"""
+
 
 _SCD2_SQL = pick("dim_station", DIM_STATION)
 _NEAREST = pick("wide", "icao24 snapshot_ts station_id r_to_station")
@@ -346,7 +404,14 @@ ORACLE = {
     "csv_roundtrip": pick("stations", STATIONS),
     "stations_from_airports": pick("stations", STATIONS, "ORDER BY station_id"),
     "parse_snapshots": pick("states", STATES),
-    "dedup_snapshots": pick("first_arrivals", f"{STATES} arrival"),
+    "dedup_snapshots": pick("first_arrivals", STATES),
+    "dedup_states": pick("first_arrivals", f"{STATES} arrival"),
+    "dq_payloads": """
+        SELECT 'payload_unreadable' AS rule, count(*) AS violations FROM (SELECT DISTINCT (snapshot_ts - 1704067200) // 20 AS n FROM states) WHERE n % 7 = 3
+        UNION ALL
+        SELECT 'payload_time_missing', count(*) FROM (SELECT DISTINCT (snapshot_ts - 1704067200) // 20 AS n FROM states) WHERE n % 7 <> 3 AND n % 11 = 4
+        UNION ALL
+        SELECT 'payload_aircraft_repeated', 0""",
     "curated_roundtrip": (
         pick("wide", ["date='2024-01-02'", "points=count(*)", "total_r=sum(r_to_station)"])
         + " UNION ALL "
@@ -380,6 +445,7 @@ ORACLE = {
     ),
     "nearest_station": _NEAREST,
     "nearest_station_window": _NEAREST,
+    "nearest_crowded": pick("crowd_best", ["icao24", "snapshot_ts", "station_id=b.station_id", "r_to_station=b.r"]),
     "point_station_distances": pick(
         "wide JOIN station_xyz USING (station_id)",
         ["icao24", "snapshot_ts", "station_id", "r_to_station",
@@ -396,7 +462,7 @@ ORACLE = {
     ),
     "phase_distribution": pick(
         "points",
-        ["flight_phase", "points=count(*)", "pct=round(count(*) / sum(count(*)) OVER () * 100, 1)"],
+        ["flight_phase", "points=count(*)", "pct=round(100 * count(*) / sum(count(*)) OVER (), 1)"],
         "GROUP BY flight_phase",
     ),
     "run_summary": pick(
@@ -440,9 +506,16 @@ ORACLE = {
     "dq_target": _target(),
     "dq_guards": _guards(),
     "dq_dimensions": _dimension_rules(),
-    "dim_flight_input": pick("last_seen", "icao24 callsign origin_country"),
+    "dim_flight_input": pick("last_seen", "icao24 callsign origin_country last_ts"),
     "dim_station_input": pick("stations", STATIONS),
-    "scd1_flight": pick("dim_flight", "icao24 callsign origin_country updated_at"),
+    "scd1_flight": pick("dim_flight", DIM_FLIGHT),
+    "scd1_whole_load": f"""
+        SELECT {', '.join(DIM_FLIGHT.split())} FROM all_flights
+        UNION ALL
+        SELECT {', '.join(DIM_FLIGHT.split())} FROM old_flights o WHERE o.icao24 NOT IN (SELECT icao24 FROM all_flights)""",
+    "scd1_newest": _newest_sighting("old_flights", "loaded_flights"),
+    "station_numbers": """
+        SELECT count(*) AS opened, count(*) AS numbers, 1 AS first_step, count(*) AS last_step FROM opened""",
     "scd2_station": _SCD2_SQL,
     "new_stations": pick(
         "stations s", "station_id name", "WHERE NOT EXISTS (SELECT 1 FROM old_open o WHERE o.station_id = s.station_id)"
@@ -453,53 +526,34 @@ ORACLE = {
     "dim_station_current": f"{_SCD2_SQL} WHERE is_current",
     "fact_projection": pick("facts", FACTS),
     "fact_latest": pick("newest_facts", FACTS),
-    "flights_agg_latest": pick(
-        "flights",
-        [c if c not in ("event_ts", "total_points") else {
-            "event_ts": f"event_ts=CASE WHEN flights.total_points >= 5 THEN {SECOND} ELSE flights.event_ts END",
-            "total_points": "total_points=flights.total_points + CASE WHEN flights.total_points >= 5 THEN 1 ELSE 0 END",
-        }[c] for c in FLIGHTS.split()],
-    ),
-    "time_agg_latest": pick(
-        "minutes",
-        [c if c not in ("event_ts", "points_in_window") else {
-            "event_ts": f"event_ts=CASE WHEN flight_phase = 'climb' THEN {SECOND} ELSE minutes.event_ts END",
-            "points_in_window": "points_in_window=minutes.points_in_window + CASE WHEN flight_phase = 'climb' THEN 1 ELSE 0 END",
-        }[c] for c in MINUTES.split()],
-    ),
+    "flights_agg_latest": pick("newest_flights", FLIGHTS),
+    "time_agg_latest": pick("newest_minutes", MINUTES),
     "retention": pick(
         "store",
         ["icao24", "snapshot_time", "load_seq=CAST(load_seq AS BIGINT)", "velocity"],
-        "WHERE snapshot_time + INTERVAL 1 YEAR > TIMESTAMP '2025-01-01 00:05:00'",
+        f"WHERE {_UNEXPIRED}",
     ),
-    "obt_view": pick(
-        "newest_facts f LEFT JOIN old_flights d ON d.icao24 = f.icao24"
-        " LEFT JOIN old_open s ON s.station_id = f.station_id",
-        [
-            *[f"{c}=f.{c}" for c in FACTS.split()],
-            "callsign=coalesce(d.callsign, '')",
-            "origin_country=coalesce(d.origin_country, '')",
-            "station_name=coalesce(s.name, '')",
-            "station_type=coalesce(s.station_type, '')",
-            "station_lat=coalesce(s.lat, 0)",
-            "station_lon=coalesce(s.lon, 0)",
-            "station_h=coalesce(s.h, 0)",
-        ],
+    "obt_view": pick("obt", OBT),
+    "obt_view_unexpired": pick("obt", OBT, f"WHERE {_UNEXPIRED}"),
+    "obt_view_range": pick(
+        "obt", OBT, "WHERE snapshot_time >= TIMESTAMP '2024-01-01 00:03:00' AND snapshot_time < TIMESTAMP '2024-01-01 00:08:00'"
     ),
+    "fact_latest_unexpired": pick("newest_facts", FACTS, f"WHERE {_UNEXPIRED}"),
+    "daily_run": pick("wide", WIDE),
+    "daily_run_tables": """
+        SELECT 'facts' AS table_name, count(*) AS n FROM wide
+        UNION ALL SELECT 'flights', count(*) FROM flights
+        UNION ALL SELECT 'minutes', count(*) FROM minutes
+        UNION ALL SELECT 'dim_flight', count(DISTINCT icao24) FROM wide
+        UNION ALL SELECT 'dim_station', count(*) FROM dim_station
+        UNION ALL SELECT 'open_stations', count(*) FROM dim_station WHERE is_current""",
     "stream_ingest": pick("states", STATES),
-    "stream_time_agg": pick(
-        "points",
-        ["time_window=make_timestamp(points.time_window * 1000000)", "flight_phase",
-         "points_in_window=count(*)", "flights_in_window=count(DISTINCT icao24)", "avg_height=avg(height)",
-         "avg_velocity=avg(velocity)", "avg_mach=avg(mach)"],
-        f"{_CLOSED.replace('time_window', 'points.time_window')} GROUP BY points.time_window, flight_phase",
-    ),
+    "stream_refused": """
+        SELECT CASE WHEN n % 7 = 3 THEN 'payload_unreadable' ELSE 'payload_time_missing' END AS rule, count(*) AS rows
+        FROM (SELECT DISTINCT (snapshot_ts - 1704067200) // 20 AS n FROM states) WHERE n % 7 = 3 OR n % 11 = 4 GROUP BY ALL""",
+    "stream_time_agg": pick("minutes", MINUTES.replace("event_ts ", "").replace(" avg_r_to_station", "")),
     "stream_nearest": _NEAREST,
-    "stream_upsert": pick(
-        "clean",
-        ["icao24", "callsign=trim(callsign)", "origin_country", "updated_at=TIMESTAMP '2024-06-01 00:00:00'"],
-        "QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY snapshot_ts DESC) = 1",
-    ),
+    "stream_upsert": _newest_sighting("old_flights", "all_flights"),
 }
 
 

@@ -1,12 +1,14 @@
 """One registered query per operator; ``checks/oracle.py`` holds the same answers in SQL.
 
-Metres are compared to 3 decimals, Mach numbers and degrees to 6.
+Metres are compared to 3 decimals, Mach numbers and degrees to 6, means to two decimals fewer:
+the sums behind them depend on the order of summing.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +19,13 @@ from checks import fixtures as fx
 from trackmart.functions import geo
 from trackmart.operators import dimensions as dims
 from trackmart.operators import enrich, marts, quality, versions
+from trackmart.operators.nearest import nearest_station as find_nearest
 from trackmart.operators.nearest import nearest_station_window, station_distance
-from trackmart.plans import reports
+from trackmart.plans import daily, reports
 from trackmart.runtime import scratch_path
-from trackmart.schemas import DIM_FLIGHT, FACT_KEY, FLIGHTS_KEY, STATES, STATIONS, TIME_KEY
+from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY, FACTS, FLIGHTS_AGG, FLIGHTS_KEY, STATES, STATIONS, TIME_AGG, TIME_KEY
 from trackmart.sources import files
-from trackmart.sources.snapshots import dedup_snapshots, parse_snapshots
+from trackmart.sources.snapshots import dedup_snapshots, first_polls, parse_snapshots, read_polls
 from trackmart.sources.stations import airports_in_region, read_airports, stations_from_airports
 from trackmart.streaming import ingest
 
@@ -32,11 +35,10 @@ QUERIES: dict[str, Query] = {}
 DAY = "2024-01-01"
 SMALL_REGION = '{"lamin": 50.5, "lomin": 5.0, "lamax": 52.0, "lomax": 9.0}'
 NOWHERE = {"lamin": -10.0, "lomin": 4.0, "lamax": -9.0, "lomax": 11.0}
-LATE = "10 minutes"
 
 
 def decimals(name: str) -> int:
-    return 6 if any(part in name for part in ("mach", "lat", "lon")) else 3
+    return (6 if any(part in name for part in ("mach", "lat", "lon")) else 3) - 2 * name.startswith("avg_")
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -102,9 +104,21 @@ def q_parse_snapshots(spark, sf_dir):
 
 @query
 def q_dedup_snapshots(spark, sf_dir):
+    """From landed files, which hold several polls each."""
+    polls = read_polls(spark, fx.landing(spark, sf_dir))
+    return parse_snapshots(first_polls(polls)).drop("arrival")
+
+
+@query
+def dedup_states(spark, sf_dir):
     return dedup_snapshots(fx.arrivals(spark, sf_dir))
 
 
+@query
+def dq_payloads(spark, sf_dir):
+    return quality.rule_counts(fx.damaged_payloads(spark, sf_dir), quality.payload_rules())
+
+
 
 @query
 def curated_roundtrip(spark, sf_dir):
@@ -140,7 +154,7 @@ def publish_guard(spark, sf_dir):
 
 @query
 def fact_append(spark, sf_dir):
-    store = files.read_store(spark, fx.fact_loads(fx.stored_wide(spark, sf_dir)))
+    store = fx.fact_store(spark, sf_dir)
     return store.groupBy(F.col("month").cast("string").alias("month"), "event_ts", "load_seq").agg(
         F.count("*").alias("facts"), F.sum("velocity").alias("total_velocity")
     )
@@ -222,6 +236,12 @@ def q_nearest_station_window(spark, sf_dir):
 
 
 
+@query
+def nearest_crowded(spark, sf_dir):
+    points, stations = fx.crowd(spark, sf_dir)
+    return find_nearest(points, stations).select("icao24", "snapshot_ts", "station_id", "r_to_station")
+
+
 @query
 def point_station_distances(spark, sf_dir):
     return station_distance(fx.wide(spark, sf_dir), fx.enriched_stations(spark, sf_dir)).select(
@@ -374,6 +394,21 @@ def scd1_flight(spark, sf_dir):
     return _scd1(spark, sf_dir)
 
 
+@query
+def scd1_whole_load(spark, sf_dir):
+    points = fx.sightings(spark, sf_dir)
+    return dims.scd1_upsert(fx.previous_dim_flight(points), dims.flight_dimension_input(points), "icao24", fx.AS_OF)
+
+
+@query
+def scd1_newest(spark, sf_dir):
+    """A load that holds older sightings as well; those leave the dimension as it is."""
+    points = fx.sightings(spark, sf_dir)
+    old = fx.previous_dim_flight(points)
+    new = dims.flight_dimension_input(points.where("origin_country < 'NATION_2'"))
+    return dims.scd1_upsert(old, dims.newer_sightings(old, new), "icao24", fx.AS_OF)
+
+
 def _scd2(spark, sf_dir):
     new = dims.station_dimension_input(fx.stations(spark, sf_dir))
     return dims.scd2_apply(fx.previous_dim_station(spark, sf_dir), new, as_of=fx.AS_OF)
@@ -381,7 +416,25 @@ def _scd2(spark, sf_dir):
 
 def _readable(dim: DataFrame) -> DataFrame:
     """Validity as text: the open end lies outside the range of common timestamp types."""
-    return dim.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("valid_from", "valid_to")})
+    text = dim.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("valid_from", "valid_to")})
+    # how new versions are numbered is left open; ``station_numbers`` checks what is promised
+    return text.withColumn("station_sk", F.when(F.col("valid_from") != "2024-06-01 00:00:00", F.col("station_sk")))
+
+
+@query
+def station_numbers(spark, sf_dir):
+    """New surrogate keys: dense, unique and above all old ones."""
+    dim = _scd2(spark, sf_dir)
+    old = dim.where(F.col("valid_from") != F.lit(fx.AS_OF)).agg(F.max("station_sk").alias("top"))
+    new = dim.where(F.col("valid_from") == F.lit(fx.AS_OF)).agg(
+        F.count("*").alias("opened"),
+        F.countDistinct("station_sk").alias("numbers"),
+        F.min("station_sk").alias("low"),
+        F.max("station_sk").alias("high"),
+    )
+    return new.withColumn("top", old.scalar()).select(
+        "opened", "numbers", (F.col("low") - F.col("top")).alias("first_step"), (F.col("high") - F.col("top")).alias("last_step")
+    )
 
 
 @query
@@ -404,8 +457,8 @@ def vanished_stations(spark, sf_dir):
 @query
 def dim_station_current(spark, sf_dir):
     path = scratch_path(spark, "dim")
-    files.write_version(fx.previous_dim_station(spark, sf_dir), path, 1)
-    files.write_version(_scd2(spark, sf_dir), path, 2)
+    files.write_version(fx.previous_dim_station(spark, sf_dir), path)
+    files.write_version(_scd2(spark, sf_dir), path)
     dim = files.read_version(spark, path, fx.previous_dim_station(spark, sf_dir).schema)
     return _readable(dims.current(dim))
 
@@ -420,7 +473,7 @@ def fact_projection(spark, sf_dir):
 
 @query
 def fact_latest(spark, sf_dir):
-    store = files.read_store(spark, fx.fact_loads(fx.stored_wide(spark, sf_dir)))
+    store = fx.fact_store(spark, sf_dir)
     return versions.latest(store, FACT_KEY).drop("load_seq", "month")
 
 
@@ -433,7 +486,7 @@ def flights_agg_latest(spark, sf_dir):
     )
     files.append_facts(flights, path, "first_seen", FLIGHTS_KEY, 1)
     files.append_facts(again, path, "first_seen", FLIGHTS_KEY, 2)
-    return versions.latest(files.read_store(spark, path), FLIGHTS_KEY).drop("load_seq", "month")
+    return versions.current_facts(files.read_store(spark, path, FLIGHTS_AGG), FLIGHTS_KEY, "first_seen", fx.AS_OF)
 
 
 @query
@@ -445,56 +498,115 @@ def time_agg_latest(spark, sf_dir):
     )
     files.append_facts(minutes, path, "time_window", TIME_KEY, 1)
     files.append_facts(again, path, "time_window", TIME_KEY, 2)
-    return versions.latest(files.read_store(spark, path), TIME_KEY).drop("load_seq", "month")
+    return versions.current_facts(files.read_store(spark, path, TIME_AGG), TIME_KEY, "time_window", fx.AS_OF)
 
 
 @query
 def retention(spark, sf_dir):
-    store = files.read_store(spark, fx.fact_loads(fx.stored_wide(spark, sf_dir)))
+    store = fx.fact_store(spark, sf_dir)
     return versions.retain(store, "snapshot_time", fx.RETENTION_AS_OF).select(
         "icao24", "snapshot_time", "load_seq", "velocity"
     )
 
 
+def _obt(spark, sf_dir, as_of, between=None):
+    store = fx.fact_store(spark, sf_dir, between)
+    points = fx.stored_wide(spark, sf_dir)
+    return versions.obt_view(store, fx.previous_dim_flight(points), fx.previous_dim_station(spark, sf_dir), as_of)
+
+
 @query
 def obt_view(spark, sf_dir):
-    points = fx.stored_wide(spark, sf_dir)
-    store = files.read_store(spark, fx.fact_loads(points))
-    return versions.obt_view(store, fx.previous_dim_flight(points), fx.previous_dim_station(spark, sf_dir))
+    return _obt(spark, sf_dir, fx.AS_OF)
 
 
-# --- streams -------------------------------------------------------------------------
+@query
+def obt_view_unexpired(spark, sf_dir):
+    return _obt(spark, sf_dir, fx.RETENTION_AS_OF)
 
 
-def _landing(spark, sf_dir) -> str:
-    """Landed payload files; every third snapshot was polled twice without change."""
-    path = scratch_path(spark, "landing")
-    polls = "IF((snapshot_ts - 1704067200) div 20 % 3 = 0, 2, 1)"
-    fx.payloads(spark, sf_dir).selectExpr(f"explode(array_repeat(value, {polls})) AS value").write.text(path)
-    return path
+@query
+def obt_view_range(spark, sf_dir):
+    return _obt(spark, sf_dir, fx.AS_OF, fx.SOME_MINUTES)
+
+
+@query
+def fact_latest_unexpired(spark, sf_dir):
+    return versions.current_facts(fx.fact_store(spark, sf_dir), FACT_KEY, "snapshot_time", fx.RETENTION_AS_OF)
+
+
+# --- the whole day -------------------------------------------------------------------
+
+
+def _day(spark, sf_dir) -> str:
+    root = scratch_path(spark, "day")
+    files.write_csv(fx.airports(spark, sf_dir), f"{root}/airports.csv")
+    files.write_version(fx.previous_dim_station(spark, sf_dir), f"{root}/dim_station")
+    daily.load_day(spark, fx.landing(spark, sf_dir), f"{root}/airports.csv", root, DAY, fx.BBOX)
+    daily.run_day(spark, root, DAY, fx.AS_OF, load_seq=1)
+    return root
+
+
+@query
+def daily_run(spark, sf_dir):
+    """Landed files to the curated day."""
+    return spark.read.parquet(f"{_day(spark, sf_dir)}/curated/flight_points").drop("date")
+
+
+@query
+def daily_run_tables(spark, sf_dir):
+    """Rows of every table that the run leaves behind."""
+    root = _day(spark, sf_dir)
+    facts = files.read_store(spark, f"{root}/fact_flight_points", FACTS)
+    flights = files.read_store(spark, f"{root}/flights_agg", FLIGHTS_AGG)
+    minutes = files.read_store(spark, f"{root}/time_agg", TIME_AGG)
+    tables = {
+        "facts": versions.current_facts(facts, FACT_KEY, "snapshot_time", fx.AS_OF),
+        "flights": versions.current_facts(flights, FLIGHTS_KEY, "first_seen", fx.AS_OF),
+        "minutes": versions.current_facts(minutes, TIME_KEY, "time_window", fx.AS_OF),
+        "dim_flight": files.read_version(spark, f"{root}/dim_flight", DIM_FLIGHT),
+        "dim_station": files.read_version(spark, f"{root}/dim_station", DIM_STATION),
+        "open_stations": dims.current(files.read_version(spark, f"{root}/dim_station", DIM_STATION)),
+    }
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# --- streams -------------------------------------------------------------------------
 
 
 def _drain(writer, spark) -> None:
-    stream = (
-        writer.option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start()
-    )
+    stream = writer.option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start()
     stream.awaitTermination()
 
 
+def _ingest(spark, sf_dir, *steps, max_files=None, path=None) -> str:
+    path = path or scratch_path(spark, "ingested")
+    payloads = ingest.landed_payloads(spark, fx.landing(spark, sf_dir), max_files)
+    _drain(ingest.ingest(payloads, path, *steps), spark)
+    return path
+
+
 @query
 def stream_ingest(spark, sf_dir):
-    out = scratch_path(spark, "ingested")
-    states = ingest.ingest_stream(spark, _landing(spark, sf_dir), LATE)
-    _drain(states.writeStream.format("parquet").option("path", out), spark)
-    return spark.read.parquet(out).select(*STATES.names)
+    return ingest.ingested_states(spark, _ingest(spark, sf_dir, max_files=3))
+
+
+@query
+def stream_refused(spark, sf_dir):
+    """Lines that a stream sets aside."""
+    source, path = scratch_path(spark, "damaged"), scratch_path(spark, "ingested")
+    fx.damaged_payloads(spark, sf_dir).write.text(source)
+    _drain(ingest.ingest(ingest.landed_payloads(spark, source), path), spark)
+    return ingest.refused_lines(spark, path).groupBy("rule").agg(F.count("*").alias("rows"))
 
 
 @query
 def stream_time_agg(spark, sf_dir):
-    out = scratch_path(spark, "minutes")
-    minutes = ingest.time_agg_stream(ingest.ingest_stream(spark, _landing(spark, sf_dir), LATE))
-    _drain(minutes.writeStream.format("parquet").option("path", out).outputMode("append"), spark)
-    return spark.read.parquet(out)
+    path, store = scratch_path(spark, "ingested"), scratch_path(spark, "minutes")
+    _ingest(spark, sf_dir, ingest.minute_step(path, store, as_of=fx.AS_OF), max_files=3, path=path)
+    minutes = versions.current_facts(files.read_store(spark, store, TIME_AGG), TIME_KEY, "time_window", fx.AS_OF)
+    return minutes.drop("event_ts", "avg_r_to_station")
 
 
 @query
@@ -504,14 +616,17 @@ def stream_nearest(spark, sf_dir):
     def sink(batch, epoch):
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    states = ingest.ingest_stream(spark, _landing(spark, sf_dir), LATE)
-    _drain(ingest.nearest_stream(states, fx.enriched_stations(spark, sf_dir), sink), spark)
+    _ingest(spark, sf_dir, ingest.nearest_step(fx.enriched_stations(spark, sf_dir), sink))
     return spark.read.parquet(out).select("icao24", "snapshot_ts", "station_id", "r_to_station")
 
 
 @query
 def stream_upsert(spark, sf_dir):
-    path = scratch_path(spark, "dim")
-    payloads = ingest.landed_payloads(spark, _landing(spark, sf_dir))
-    _drain(ingest.flight_upsert_stream(payloads, path, fx.AS_OF), spark)
-    return files.read_version(spark, path, DIM_FLIGHT)
+    """On top of a daily version, with batches that land out of order."""
+    dim, source, path = (scratch_path(spark, n) for n in ("dim", "landing", "ingested"))
+    files.write_version(fx.previous_dim_flight(fx.sightings(spark, sf_dir)), dim)
+    lines = fx.payloads(spark, sf_dir).withColumn("part", F.expr("(snapshot_ts div 20) % 90 div 30"))
+    for part in (2, 0, 1):
+        lines.where(F.col("part") == part).coalesce(1).select("value").write.text(f"{source}/{part}")
+    _drain(ingest.ingest(ingest.landed_payloads(spark, source, max_files=1), path, ingest.upsert_step(dim, fx.AS_OF)), spark)
+    return files.read_version(spark, dim, DIM_FLIGHT)

@@ -3,12 +3,14 @@ import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from trackmart.operators.quality import DataQualityError
 from trackmart.operators.versions import latest, obt_view
 from trackmart.plans import daily
-from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY
-from trackmart.sources.files import read_store, read_version, versions_of
+from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY, FACTS
+from trackmart.runtime import checkpointed
+from trackmart.sources.files import read_states, read_stations, read_store, read_version, versions_of, write_day
 
 START = 1704067200
 AS_OF = datetime(2024, 6, 1, tzinfo=timezone.utc)
@@ -53,7 +55,7 @@ def test_whole_day_and_rerun(spark, root):
     assert [(r.flight_phase, r.pct) for r in run.phases.collect()] == [("climb", 100.0)]
 
     daily.run_day(spark, str(root), DS, AS_OF + timedelta(hours=1))
-    facts = read_store(spark, str(root / "fact_flight_points"))
+    facts = read_store(spark, str(root / "fact_flight_points"), FACTS)
     assert facts.count() == 8
     newest = latest(facts, FACT_KEY)
     assert newest.count() == 4 and {r.event_ts.hour for r in newest.collect()} == {1}
@@ -61,20 +63,73 @@ def test_whole_day_and_rerun(spark, root):
     stations = read_version(spark, str(root / "dim_station"), DIM_STATION)
     assert [(r.station_sk, r.is_current) for r in stations.orderBy("station_sk").collect()] == [(1, True), (2, True)]
     flights = read_version(spark, str(root / "dim_flight"), DIM_FLIGHT)
-    view = obt_view(facts, flights, stations)
+    view = obt_view(facts, flights, stations, AS_OF)
     assert len(view.columns) == 26
     assert {(r.callsign, r.station_name, r.station_type) for r in view.collect()} == {("a", "One", "large_airport"), ("b", "Two", "medium_airport")}
 
 
+@pytest.mark.parametrize(
+    "line,rule",
+    [
+        (json.dumps({"time": START + 40, "states": [vector("a", 51.0, 6.1), vector("a", 51.0, 6.1)]}), "payload_aircraft_repeated"),
+        ('{"time": 17040', "payload_unreadable"),
+        ('{"states": []}', "payload_time_missing"),
+    ],
+)
+def test_wrong_lines_stop_the_load(spark, root, line, rule):
+    (root / "landing" / "4.json").write_text(line)
+    with pytest.raises(DataQualityError, match=rule):
+        prepare(spark, root)
+
+
 def test_failed_checks_leave_no_output(spark, root):
-    land(root / "landing", "4.json", START + 40, vector("a", 51.0, 6.1), vector("a", 51.0, 6.1))
     prepare(spark, root)
+    states = read_states(spark, str(root), DS)
+    write_day(checkpointed(states.unionByName(states)), str(root / "states"), DS)
     with pytest.raises(DataQualityError, match="states_point_repeated"):
         daily.run_day(spark, str(root), DS, AS_OF)
     assert not (root / "curated").exists() and not (root / "fact_flight_points").exists()
     assert versions_of(spark, str(root / "dim_flight")) == []
 
 
+def test_dimension_rows_against_the_rules_are_refused(spark, root):
+    land(root / "landing", "4.json", START + 40, vector("c" * 7, 51.0, 6.1))
+    prepare(spark, root)
+    with pytest.raises(DataQualityError, match="icao24_too_long"):
+        daily.run_day(spark, str(root), DS, AS_OF)
+    assert versions_of(spark, str(root / "dim_flight")) == versions_of(spark, str(root / "dim_station")) == []
+
+
+def test_a_station_that_loses_a_coordinate_stays_open(spark, root):
+    prepare(spark, root)
+    daily.run_day(spark, str(root), DS, AS_OF)
+    stations = read_stations(spark, str(root), DS)
+    lost = stations.withColumn("lat", F.when(F.col("station_id") != "ST2", F.col("lat")))
+    write_day(checkpointed(lost), str(root / "stations"), DS)
+    run = daily.run_day(spark, str(root), DS, AS_OF + timedelta(hours=1))
+    dim = read_version(spark, str(root / "dim_station"), DIM_STATION)
+    assert [(r.station_id, r.lat, r.is_current) for r in dim.orderBy("station_id").collect()] == [("ST1", 51.0, True), ("ST2", 52.0, True)]
+    assert [(v.rule, v.rows) for v in run.advice] == [("stations_geometry_null", 1)]
+
+
+def test_an_earlier_load_time_still_goes_on_from_the_newest_dimension(spark, root):
+    prepare(spark, root)
+    daily.run_day(spark, str(root), DS, AS_OF)
+    (root / "airports.csv").write_text(AIRPORTS + "ST4,large_airport,Four,51.5,7,100\n")
+    prepare(spark, root)
+    daily.run_day(spark, str(root), DS, AS_OF - timedelta(days=1))
+    dim = read_version(spark, str(root / "dim_station"), DIM_STATION)
+    assert {r.station_id for r in dim.collect()} == {"ST1", "ST2", "ST4"}
+
+
+def test_expired_months_go(spark, root):
+    prepare(spark, root)
+    daily.run_day(spark, str(root), DS, AS_OF)
+    assert read_store(spark, str(root / "fact_flight_points"), FACTS).count() == 4
+    daily.run_day(spark, str(root), DS, AS_OF + timedelta(days=800))
+    assert read_store(spark, str(root / "fact_flight_points"), FACTS).count() == 0
+
+
 def test_stations_without_any_height_pass_loading_and_fail_the_target_check(spark, root):
     (root / "airports.csv").write_text("ident,type,name,latitude_deg,longitude_deg,elevation_ft\nST1,large_airport,One,51,6,\n")
     prepare(spark, root)

@@ -1,3 +1,4 @@
+import itertools
 from datetime import datetime, timedelta, timezone
 
 import duckdb
@@ -7,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from trackmart.operators import dimensions as dims
-from trackmart.schemas import DIM_STATION, STATIONS
+from trackmart.schemas import DIM_FLIGHT, DIM_STATION, STATIONS
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 T1 = datetime(2024, 6, 1, tzinfo=timezone.utc)
@@ -140,7 +141,22 @@ def test_scd1_replaces_by_key(spark):
 def test_flight_input_takes_the_last_seen(spark):
     rows = [("a", "first", "X", 1), ("a", None, "X", 5), ("a", "mid", "X", 3), ("b", "only", "Y", 2)]
     points = spark.createDataFrame(rows, "icao24 string, callsign string, origin_country string, snapshot_ts long")
-    assert {r.icao24: r.callsign for r in dims.flight_dimension_input(points).collect()} == {"a": None, "b": "only"}
+    found = {r.icao24: (r.callsign, r.last_ts) for r in dims.flight_dimension_input(points).collect()}
+    assert found == {"a": (None, 5), "b": ("only", 2)}
+
+
+def test_loads_in_any_order_end_in_one_dimension(spark):
+    rows = [("a", "one", "X", 1), ("a", "two", "X", 2), ("b", None, "X", 1), ("b", "n", "X", 3), ("c", "z", None, 2), ("a", "old", "X", 0)]
+    points = "icao24 string, callsign string, origin_country string, snapshot_ts long"
+    results = set()
+    for order in itertools.permutations(range(0, 6, 2)):
+        dim = spark.createDataFrame([], DIM_FLIGHT)
+        for start in [*order, order[0]]:  # one load comes twice
+            new = dims.flight_dimension_input(spark.createDataFrame(rows[start : start + 2], points))
+            dim = dims.scd1_upsert(dim, dims.newer_sightings(dim, new), "icao24", T1)
+            dim = spark.createDataFrame(dim.collect(), DIM_FLIGHT)
+        results.add(tuple(sorted((r.icao24, r.callsign, r.last_ts) for r in dim.collect())))
+    assert results == {(("a", "two", 2), ("b", "n", 3), ("c", "z", 2))}
 
 
 def test_station_input_is_one_row_per_id(spark):

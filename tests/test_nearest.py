@@ -1,15 +1,14 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from trackmart import runtime
 from trackmart.operators import nearest
 from trackmart.operators.enrich import enrich_points, enrich_stations
-from trackmart.operators.nearest import nearest_station, nearest_station_window
+from trackmart.operators.nearest import candidate_lists, nearest_station, nearest_station_window
 
-TIERS = {
-    "direct": dict(direct_stations=10**6),
-    "array": dict(direct_stations=0, array_stations=10**6),
-    "refinement": dict(direct_stations=0, array_stations=0, leaf_stations=6),
-}
+LIMITS = {"usual": {}, "short lists": dict(leaf_stations=6), "single": dict(leaf_stations=1)}
 
 
 def make_points(spark, positions):
@@ -75,21 +74,28 @@ def skewed(spark):
     return p, s, brute_force(p, s)
 
 
-@pytest.mark.parametrize("tier", TIERS)
-def test_all_ways_give_the_brute_force_answer(skewed, tier):
+@pytest.mark.parametrize("limits", LIMITS)
+def test_brute_force_answer(skewed, limits):
     points, stations, expected = skewed
-    agree(answer(nearest_station(points, stations, **TIERS[tier])), expected)
+    agree(answer(nearest_station(points, stations, **LIMITS[limits])), expected)
 
 
 def test_shuffled_lookup_gives_the_same(skewed, monkeypatch):
     points, stations, expected = skewed
-    monkeypatch.setattr(nearest, "BROADCAST_CANDIDATES", 0)
-    agree(answer(nearest_station(points, stations, **TIERS["array"])), expected)
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 0)
+    spark = points.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = nearest_station(points, stations, leaf_stations=6)
+        agree(answer(found), expected)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_window_form_gives_the_same(skewed):
     points, stations, expected = skewed
-    agree(answer(nearest_station_window(points, stations, **TIERS["array"])), expected)
+    agree(answer(nearest_station_window(points, stations)), expected)
 
 
 def test_world_wide(spark):
@@ -97,28 +103,39 @@ def test_world_wide(spark):
     points = make_points(spark, np.vstack([scattered(rng, 300, box=(-90, 90, -180, 180)), [[90, 0, 0], [-90, 0, 0], [0, 180, 0], [0, -180, 10]]]))
     stations = make_stations(spark, scattered(rng, 150, box=(-90, 90, -180, 180), top=3000))
     expected = brute_force(points, stations)
-    for tier in ("array", "refinement"):
-        agree(answer(nearest_station(points, stations, **TIERS[tier])), expected)
+    agree(answer(nearest_station(points, stations, leaf_stations=6)), expected)
 
 
-@pytest.mark.parametrize("tier", TIERS)
-def test_tie_goes_to_the_smaller_id(spark, tier):
+def test_tie_goes_to_the_smaller_id(spark):
     stations = make_stations(spark, [(50, 5, 0), (50, 7, 0), (50, 5, 0), (-50, 5, 0)], ["B", "A", "C", "D"])
     points = make_points(spark, [(50, 5, 1000), (50, 6, 1000)])
-    found = answer(nearest_station(points, stations, **TIERS[tier]))
+    found = answer(nearest_station(points, stations))
     assert found["000000"][0] == "B"
     agree(found, brute_force(points, stations))
 
 
-@pytest.mark.parametrize("tier", TIERS)
-def test_nothing_to_join(spark, tier):
+def test_crowded_stations_under_high_points(spark):
+    """Seven hundred stations in one village, points three kilometres above it."""
+    rng = np.random.default_rng(5)
+    village = (52.0, 52.01, 6.0, 6.015)
+    stations = make_stations(spark, scattered(rng, 700, box=village, top=30)).cache()
+    high = scattered(rng, 4000, box=village, top=20) + [0, 0, 3000]
+    points = make_points(spark, high).cache()
+    agree(answer(nearest_station(points, stations)), brute_force(points, stations))
+    _, entries = candidate_lists(points, stations)
+    sizes = [r["n"] for r in entries.groupBy("edge", "cell_x", "cell_y", "cell_z").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= nearest.LEAF_STATIONS
+    assert len(sizes) < 4000 / 4
+
+
+def test_nothing_to_join(spark):
     points, stations = make_points(spark, [(50, 5, 0)]), make_stations(spark, [(50, 5, 0), (51, 5, 0)])
-    assert nearest_station(points, stations.where("false"), **TIERS[tier]).count() == 0
-    assert nearest_station(points.where("false"), stations, **TIERS[tier]).count() == 0
+    assert nearest_station(points, stations.where("false")).count() == 0
+    assert nearest_station(points.where("false"), stations).count() == 0
 
 
 def test_points_are_not_shuffled(skewed):
     points, stations, _ = skewed
-    plan = nearest_station(points, stations, **TIERS["array"])._jdf.queryExecution().executedPlan().toString()
+    plan = nearest_station(points, stations)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan.split("InMemoryRelation")[0]
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -1,7 +1,4 @@
-"""Registered queries against their SQL on the smallest driver tables.
-
-By default one query per area; ``ALL_QUERIES=1`` runs every one of them.
-"""
+"""Registered queries against their SQL on the smallest driver tables."""
 
 import os
 
@@ -12,12 +9,6 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
 SF_DIR = f"{DATA}/sf0.001"
-ONE_PER_AREA = [
-    "csv_to_parquet", "stations_from_airports", "parse_snapshots", "dedup_snapshots", "states_in_bbox", "clean_points",
-    "enrich_points", "ecef_stations", "mach_points", "flight_points", "flights_agg", "time_agg", "phase_distribution",
-    "poll_summary", "map_positions", "traffic_by_country", "dq_source", "dq_guards", "dim_flight_input", "scd1_flight",
-    "scd2_station", "vanished_stations", "fact_latest", "obt_view", "stream_time_agg",
-]
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +21,6 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
-@pytest.mark.parametrize("name", QUERIES if os.environ.get("ALL_QUERIES") else ONE_PER_AREA)
+@pytest.mark.parametrize("name", QUERIES)
 def test_agrees(spark, db, name):
     assert compare(name, spark, SF_DIR, db) == ""

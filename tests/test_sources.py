@@ -1,10 +1,12 @@
 import json
+import time
 
 import pytest
 
+from trackmart.operators import quality
 from trackmart.operators.quality import DataQualityError
 from trackmart.schemas import AIRPORTS, STATES, STATIONS
-from trackmart.sources import files, jdbc
+from trackmart.sources import files, jdbc, snapshots
 from trackmart.sources.snapshots import dedup_snapshots, parse_snapshots
 from trackmart.sources.stations import read_airports, stations_from_airports
 
@@ -98,16 +100,63 @@ def test_publish(spark, tmp_path):
     assert spark.read.parquet(target).count() == 3
 
 
+def test_published_day_is_replaced_whole(spark, tmp_path, monkeypatch):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    files.write_day(spark.range(3), source, "2024-01-01")
+    files.publish(spark, source, target, "2024-01-01")
+    files.write_day(spark.range(5), source, "2024-01-01")
+    monkeypatch.setattr(files, "require_rows", lambda df, name: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        files.publish(spark, source, target, "2024-01-01")
+    assert spark.read.parquet(target).count() == 3
+    monkeypatch.undo()
+    files.publish(spark, source, target, "2024-01-01")
+    assert spark.read.parquet(target).count() == 5
+    assert [p.name for p in (tmp_path / "target").iterdir()] == ["date=2024-01-01"]
+
+
 def test_versions(spark, tmp_path):
     path = str(tmp_path / "dim")
     schema = spark.range(1).schema
     assert files.read_version(spark, path, schema).count() == 0
-    files.write_version(spark.range(1), path, 5)
-    files.write_version(spark.range(2), path, 10)
-    (tmp_path / "dim" / "version=11").mkdir()  # a write that never finished
-    assert files.versions_of(spark, path) == [5, 10]
+    assert [files.write_version(spark.range(n), path, keep=2) for n in (1, 2)] == [1, 2]
+    (tmp_path / "dim" / "version=3").mkdir()  # a write that never finished
+    assert files.versions_of(spark, path) == [1, 2]
     assert files.read_version(spark, path, schema).count() == 2
-    assert files.read_version(spark, path, schema, before=10).count() == 1
+    assert files.write_version(spark.range(3), path, keep=2) == 3
+    assert files.versions_of(spark, path) == [2, 3] and files.read_version(spark, path, schema).count() == 3
+
+
+def test_polls_are_ordered_by_file_and_line(spark, tmp_path):
+    def line(time, velocity):
+        return json.dumps({"time": time, "states": [["a", None, None, 1, 1, 1.0, 1.0, 1.0, False, velocity]]})
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "b.json").write_text("\n".join([line(1, 1.0), line(1, 2.0), line(2, 3.0)]))
+    time.sleep(0.02)
+    (landing / "a.json").write_text("\n".join([line(2, 4.0), line(3, 5.0)]))
+
+    def speeds(**order):
+        polls = snapshots.read_polls(spark, str(landing), **order)
+        return {r.snapshot_ts: r.velocity for r in parse_snapshots(snapshots.first_polls(polls)).collect()}
+
+    assert speeds() == {1: 1.0, 2: 3.0, 3: 5.0}
+    assert speeds(by_name=True) == {1: 1.0, 2: 4.0, 3: 5.0}
+
+
+def test_first_polls_are_chosen_before_states_are_parsed(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"time": 1, "states": []}')
+    plan = snapshots.first_polls(snapshots.read_polls(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "from_json" not in plan
+
+
+def test_broken_lines_are_counted(spark):
+    lines = ['{"time": 1, "states": []}', '{"time": 1, "sta', "", "no", '{"states": []}', '{"time": "x"}']
+    counts = quality.rule_counts(spark.createDataFrame([(x,) for x in lines], "value string"), quality.payload_rules())
+    assert {r.rule: r.violations for r in counts.collect()} == {
+        "payload_unreadable": 3, "payload_time_missing": 2, "payload_aircraft_repeated": 0,
+    }
 
 
 def test_airport_file(spark, tmp_path):

@@ -1,12 +1,17 @@
 import json
+import time
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from trackmart.operators.enrich import clean_points, enrich_points, enrich_stations
+from trackmart.operators.marts import time_agg
 from trackmart.operators.nearest import nearest_station
-from trackmart.schemas import DIM_FLIGHT, STATIONS
-from trackmart.sources.files import read_version, versions_of
+from trackmart.operators.versions import current_facts
+from trackmart.plans import live
+from trackmart.schemas import DIM_FLIGHT, STATIONS, TIME_AGG, TIME_KEY
+from trackmart.sources.files import read_store, read_version, versions_of, write_version
 from trackmart.sources.snapshots import parse_snapshots
 from trackmart.streaming import ingest
 
@@ -38,28 +43,60 @@ def landing(tmp_path):
     return folder
 
 
-def test_ingest_equals_batch_without_repeats(spark, landing, tmp_path):
-    out = str(tmp_path / "out")
-    states = ingest.ingest_stream(spark, str(landing))
-    drain(states.writeStream.format("parquet").option("path", out), tmp_path / "cp")
-    batch = parse_snapshots(spark.read.text(str(landing))).dropDuplicates(["icao24", "snapshot_ts"])
-    streamed = spark.read.parquet(out).drop("event_time")
-    assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
+def run(spark, landing, tmp_path, *steps, max_files=None, name="in"):
+    path = str(tmp_path / name)
+    payloads = ingest.landed_payloads(spark, str(landing), max_files)
+    drain(ingest.ingest(payloads, path, *steps), tmp_path / f"{name}-state")
+    return ingest.ingested_states(spark, path)
+
+
+def unique(spark, landing):
+    lines = spark.read.text(str(landing)).distinct()
+    return parse_snapshots(lines).dropDuplicates(["icao24", "snapshot_ts"])
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 5])
+def test_ingest_equals_batch_without_repeats(spark, landing, tmp_path, max_files):
+    states = run(spark, landing, tmp_path, max_files=max_files)
+    assert sorted(map(str, states.collect())) == sorted(map(str, unique(spark, landing).collect()))
     # nothing new has landed: a second run adds nothing
-    drain(ingest.ingest_stream(spark, str(landing)).writeStream.format("parquet").option("path", out), tmp_path / "cp")
-    assert spark.read.parquet(out).count() == 24
+    assert run(spark, landing, tmp_path, max_files=max_files).count() == 24
 
 
-def test_minutes_equal_batch_for_closed_windows(spark, landing, tmp_path):
-    out = str(tmp_path / "out")
-    minutes = ingest.time_agg_stream(ingest.ingest_stream(spark, str(landing), "1 minute"))
-    drain(minutes.writeStream.format("parquet").option("path", out).outputMode("append"), tmp_path / "cp")
-    rows = {(int(r.time_window.replace(tzinfo=timezone.utc).timestamp()) - START, r.flight_phase): r for r in spark.read.parquet(out).collect()}
-    # last snapshot at 220 s, one minute of grace: minutes ending at 60 and 120 are closed
-    assert set(rows) == {(0, "cruise"), (0, "climb"), (60, "cruise"), (60, "climb")}
-    assert (rows[0, "cruise"].points_in_window, rows[0, "cruise"].flights_in_window) == (5, 2)
-    assert (rows[60, "climb"].points_in_window, rows[60, "climb"].flights_in_window) == (2, 1)
-    assert rows[0, "cruise"].avg_velocity == pytest.approx(100.0)
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_the_first_poll_of_a_snapshot_wins_whole(spark, tmp_path, max_files):
+    landing = tmp_path / "landing"
+    land(landing, "1.json", (START, [vector("a", velocity=1.0)]), (START, [vector("a", velocity=2.0), vector("b")]))
+    time.sleep(0.02)
+    land(landing, "2.json", (START, [vector("a", velocity=3.0), vector("c")]), (START + 20, [vector("a", velocity=4.0)]))
+    states = run(spark, landing, tmp_path, max_files=max_files)
+    assert {(r.icao24, r.snapshot_ts - START, r.velocity) for r in states.collect()} == {("a", 0, 1.0), ("a", 20, 4.0)}
+
+
+def test_however_late_nothing_is_lost(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "1.json", (START + 7200, [vector("a")]))
+    run(spark, landing, tmp_path)
+    land(landing, "2.json", (START, [vector("a")]))
+    assert run(spark, landing, tmp_path).count() == 2
+
+
+def test_broken_lines_are_set_aside(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "1.json", (START, [vector("a")]))
+    (landing / "2.json").write_text('{"time": 1, "st\n{"states": []}\n')
+    assert run(spark, landing, tmp_path).count() == 1
+    refused = ingest.refused_lines(spark, str(tmp_path / "in"))
+    assert {r.rule for r in refused.collect()} == {"payload_unreadable", "payload_time_missing"}
+
+
+@pytest.mark.parametrize("max_files", [None, 2])
+def test_minutes_equal_batch_to_the_last(spark, landing, tmp_path, max_files):
+    store = str(tmp_path / "store")
+    run(spark, landing, tmp_path, ingest.minute_step(str(tmp_path / "in"), store, as_of=AS_OF), max_files=max_files)
+    found = current_facts(read_store(spark, store, TIME_AGG), TIME_KEY, "time_window", AS_OF)
+    points = enrich_points(clean_points(unique(spark, landing))).withColumn("r_to_station", F.lit(None).cast("double"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, time_agg(points, AS_OF).collect()))
 
 
 def test_nearest_equals_batch(spark, landing, tmp_path):
@@ -71,27 +108,39 @@ def test_nearest_equals_batch(spark, landing, tmp_path):
     def sink(batch, epoch):
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    states = ingest.ingest_stream(spark, str(landing), max_files=5)
-    drain(ingest.nearest_stream(states, stations, sink), tmp_path / "cp")
+    run(spark, landing, tmp_path, ingest.nearest_step(stations, sink), max_files=5)
     streamed = spark.read.parquet(out).select("icao24", "snapshot_ts", "station_id", "r_to_station")
-    batch = parse_snapshots(spark.read.text(str(landing))).dropDuplicates(["icao24", "snapshot_ts"])
-    expected = nearest_station(enrich_points(clean_points(batch)), stations).select(streamed.columns)
+    expected = nearest_station(enrich_points(clean_points(unique(spark, landing))), stations).select(streamed.columns)
     assert sorted(streamed.collect()) == sorted(expected.collect())
 
 
-def test_upsert_over_two_loads(spark, tmp_path):
+def test_upsert_goes_on_from_a_daily_version_in_any_order(spark, tmp_path):
     landing, dim = tmp_path / "landing", str(tmp_path / "dim")
-    land(landing, "1.json", (START, [vector("a", callsign=" ONE "), vector("b")]))
-    drain(ingest.flight_upsert_stream(ingest.landed_payloads(spark, str(landing)), dim, AS_OF), tmp_path / "cp")
-    land(landing, "2.json", (START + 20, [vector("a", callsign="TWO"), vector("c")]))
-    drain(ingest.flight_upsert_stream(ingest.landed_payloads(spark, str(landing)), dim, AS_OF), tmp_path / "cp")
-    rows = {r.icao24: r.callsign for r in read_version(spark, dim, DIM_FLIGHT).collect()}
-    assert rows == {"a": "TWO", "b": "C", "c": "C"} and versions_of(spark, dim) == [0, 1]
-
-
-def test_upsert_refuses_a_repeated_aircraft(spark, tmp_path):
+    write_version(spark.createDataFrame([("a", "DAY", "X", START + 10, None), ("d", "D", "X", 1, None)], DIM_FLIGHT), dim)
+    land(landing, "1.json", (START + 20, [vector("a", callsign=" TWO "), vector("c")]))
+    time.sleep(0.02)
+    land(landing, "2.json", (START, [vector("a", callsign="ONE"), vector("b")]))  # older, lands later
+    run(spark, landing, tmp_path, ingest.upsert_step(dim, AS_OF), max_files=1)
+    expected = {"a": "TWO", "b": "C", "c": "C", "d": "D"}
+    assert {r.icao24: r.callsign for r in read_version(spark, dim, DIM_FLIGHT).collect()} == expected
+    assert versions_of(spark, dim) == [1, 2, 3]
+    # a stream that starts again from nothing repeats its batches and changes nothing
+    run(spark, landing, tmp_path, ingest.upsert_step(dim, AS_OF), max_files=1, name="again")
+    assert {r.icao24: r.callsign for r in read_version(spark, dim, DIM_FLIGHT).collect()} == expected
+
+
+def test_a_repeated_aircraft_stops_the_stream(spark, tmp_path):
     landing, dim = tmp_path / "landing", str(tmp_path / "dim")
     land(landing, "1.json", (START, [vector("a"), vector("a")]))
     with pytest.raises(Exception, match="payload_aircraft_repeated"):
-        drain(ingest.flight_upsert_stream(ingest.landed_payloads(spark, str(landing)), dim, AS_OF), tmp_path / "cp")
+        run(spark, landing, tmp_path, ingest.upsert_step(dim, AS_OF))
     assert versions_of(spark, dim) == []
+
+
+def test_streaming_job(spark, landing, tmp_path):
+    stations, root = str(tmp_path / "stations"), str(tmp_path / "live")
+    spark.createDataFrame([("S1", "n", "large_airport", 51.0, 6.1, 0.0)], STATIONS).write.parquet(stations)
+    live.main(["--landing", str(landing), "--data-dir", root, "--stations", stations, "--max-files", "4"])
+    assert ingest.ingested_states(spark, f"{root}/ingested").count() == 24
+    assert read_version(spark, f"{root}/dim_flight", DIM_FLIGHT).count() == 2
+    assert read_store(spark, f"{root}/time_agg", TIME_AGG).count() > 0

@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -60,7 +61,7 @@ def test_retention_prunes_months(spark, tmp_path):
     path = str(tmp_path / "store")
     df = spark.createDataFrame([(ts(2022, m, 1), "k") for m in range(1, 13)], "ts timestamp, k string")
     files.append_facts(df, path, "ts", ["k"], 1)
-    kept = versions.retain(files.read_store(spark, path), "ts", ts(2023, 6, 15))
+    kept = versions.retain(files.read_store(spark, path, df.schema), "ts", ts(2023, 6, 15))
     assert kept.count() == 6
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "GreaterThan(ts" in plan
@@ -71,9 +72,9 @@ def test_expired_months_are_deleted(spark, tmp_path):
     df = spark.createDataFrame([(ts(2022, m, 10), "k") for m in range(1, 13)], "ts timestamp, k string")
     files.append_facts(df, path, "ts", ["k"], 1)
     as_of = ts(2023, 3, 20)
-    before = sorted(versions.retain(files.read_store(spark, path), "ts", as_of).collect())
+    before = sorted(versions.retain(files.read_store(spark, path, df.schema), "ts", as_of).collect())
     assert files.drop_expired_months(spark, path, as_of) == ["202201", "202202"]
-    store = files.read_store(spark, path)
+    store = files.read_store(spark, path, df.schema)
     assert store.count() == 10 and sorted(versions.retain(store, "ts", as_of).collect()) == before
     assert files.drop_expired_months(spark, str(tmp_path / "none"), as_of) == []
 
@@ -85,9 +86,9 @@ def test_append_keeps_loads_apart_and_sorted(spark, tmp_path):
     )
     files.append_facts(df, path, "ts", ["k"], 1)
     files.append_facts(df.limit(10), path, "ts", ["k"], 2)
-    store = files.read_store(spark, path)
+    store = files.read_store(spark, path, df.schema)
     assert {r.load_seq: r.n for r in store.groupBy("load_seq").agg(F.count("*").alias("n")).collect()} == {1: 2000, 2: 10}
-    assert {r.month for r in store.select("month").distinct().collect()} == {202401, 202402, 202403}
+    assert {r.month for r in store.select("month").distinct().collect()} == {"202401", "202402", "202403"}
     for file in store.inputFiles()[:3]:
         keys = [r.k for r in spark.read.parquet(file).collect()]
         assert keys == sorted(keys)
@@ -106,3 +107,20 @@ def test_lookup_without_broadcast(spark, monkeypatch):
     dim = spark.createDataFrame([("1", "x")], "k string, name string")
     found = versions.lookup(facts, dim, "k", {"n": ("name", "-")})
     assert {(r.n, r.c) for r in found.groupBy("n").agg(F.count("*").alias("c")).collect()} == {("x", 33), ("-", 67)}
+
+
+def test_a_time_range_prunes_months(spark, tmp_path):
+    path = str(tmp_path / "store")
+    df = spark.createDataFrame([(ts(2022, m, d), "k") for m in range(1, 13) for d in (1, 15)], "ts timestamp, k string")
+    files.append_facts(df.withColumn("event_ts", F.lit(ts(2022, 1, 1))), path, "ts", ["k"], 1)
+    schema = df.withColumn("event_ts", F.lit(ts(2022, 1, 1))).schema
+    some = files.read_store(spark, path, schema, "ts", (ts(2022, 3, 10), ts(2022, 5, 1)))
+    found = versions.latest(some, ["k", "ts"])
+    assert sorted(r.ts.month * 100 + r.ts.day for r in found.collect()) == [315, 401, 415]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*month", plan) and "GreaterThanOrEqual(ts" in plan
+
+
+def test_a_store_not_yet_written_is_empty(spark, tmp_path):
+    store = files.read_store(spark, str(tmp_path / "none"), spark.range(1).schema)
+    assert store.columns == ["id", "load_seq", "month"] and store.count() == 0

@@ -12,27 +12,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmart.operators.enrich import dedup_stations
-from trackmart.runtime import load_time
+from trackmart.runtime import broadcast_if_small, load_time
 
 # Fixed value: end of validity of a version that is still open.
 OPEN_END = "9999-12-31 23:59:59"
 
+ROWS_PER_BUCKET = 100_000
+
 STATION_ATTRS = ["lat", "lon", "h", "name", "station_type"]
 
 
 def flight_dimension_input(points: DataFrame) -> DataFrame:
-    """One row per aircraft with the callsign and country it sent last.
+    """One row per aircraft: the callsign and country it sent last, and when.
 
     Points are first reduced to one row per distinct combination (hash aggregation on a
     single long), so the ranking below sees a few rows per aircraft, not its points.
     """
     combos = points.groupBy("icao24", "callsign", "origin_country").agg(F.max("snapshot_ts").alias("last_ts"))
-    latest_first = Window.partitionBy("icao24").orderBy(F.desc("last_ts"), "callsign", "origin_country")
-    return (
-        combos.withColumn("place", F.row_number().over(latest_first))
-        .where("place = 1")
-        .select("icao24", "callsign", "origin_country")
-    )
+    return combos.groupBy("icao24").agg(F.min(_newest_first()).alias("kept")).select("icao24", *_kept_columns())
+
+
+def _newest_first(side: str = "") -> Column:
+    """Sorts before every older sighting; equal times by the attributes."""
+    prefix = f"{side}." if side else ""
+    age = F.negative(F.col(f"{prefix}last_ts")).alias("age")
+    return F.struct(age, *[F.col(f"{prefix}{c}") for c in ("callsign", "origin_country")])
+
+
+def _kept_columns() -> list[Column]:
+    return [F.col("kept.callsign"), F.col("kept.origin_country"), F.negative("kept.age").alias("last_ts")]
 
 
 def station_dimension_input(stations: DataFrame) -> DataFrame:
@@ -46,6 +54,16 @@ def scd1_upsert(dim: DataFrame, new: DataFrame, key: str, as_of: datetime | Colu
     return dim.join(new, key, "left_anti").unionByName(stamped)
 
 
+def newer_sightings(dim: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of ``new`` that the flight dimension does not yet have, or has from an older sighting.
+
+    Applying loads in any order, also repeatedly, therefore ends in the same dimension.
+    """
+    pairs = new.alias("new").join(dim.alias("old"), "icao24", "left")
+    wins = F.col("old.updated_at").isNull() | (_newest_first("new") < _newest_first("old"))
+    return pairs.where(wins).select("new.*")
+
+
 def current(dim: DataFrame) -> DataFrame:
     return dim.where("is_current")
 
@@ -107,19 +125,21 @@ def scd2_apply(
 def number_rows(df: DataFrame, key: str) -> DataFrame:
     """Number rows 1, 2, … without sending them all through one task.
 
-    Rows are spread over a fixed number of hash buckets and numbered inside each; only the
-    bucket sizes are accumulated globally.
+    Rows are spread over hash buckets, more of them for more rows, and numbered inside each;
+    only the bucket sizes are accumulated globally.
     """
-    bucketed = df.withColumn("bucket", F.substring(F.md5(key), 1, 2))
+    count = df.agg(F.count("*")).first()[0]
+    buckets = max(1, count // ROWS_PER_BUCKET)
+    bucketed = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     sizes = bucketed.groupBy("bucket").agg(F.count("*").alias("size"))
     before = F.coalesce(
         F.sum("size").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    offsets = sizes.select("bucket", before.alias("offset"))  # at most 256 rows
+    offsets = sizes.select("bucket", before.alias("offset"))
     inside = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
     return (
         bucketed.withColumn("inside", inside)
-        .join(F.broadcast(offsets), "bucket")
+        .join(broadcast_if_small(offsets), "bucket")
         .withColumn("number", F.col("offset") + F.col("inside"))
         .drop("bucket", "inside", "offset")
     )

@@ -1,68 +1,57 @@
 """Nearest-station join: for every point the station at the smallest straight-line
 distance, ties going to the smallest ``station_id``.
 
-The product of points and stations is never formed. Space is cut into cubes (cells of
-ECEF coordinates) and a short, provably sufficient list of stations is worked out per
-occupied cell. For a cell with centre *m* and half-diagonal *r*, a station that is nearest
-to any point of the cell lies within ``d(m, nearest to m) + 2 r`` of *m*; so that filter
-loses no answer at any height, at the poles or across the date line. Points then look up
-the list of their own cell and take the minimum over it.
-
-How the lists are made depends on the counted number of stations:
-
-* at most ``DIRECT_STATIONS``: one list for everybody, no join at all;
-* at most ``ARRAY_STATIONS``: all stations travel as one bounded array to the cells;
-* more: cells are refined top-down, a station staying a candidate only where it can still
-  win, until every list is short. Work is spread by rows, no group is gathered before its
-  size is known to be small.
-
-The side that is joined to the points is broadcast only when its measured size allows;
-otherwise the join is a shuffle on the cell, where adaptive execution splits hot cells.
+The product of points and stations is never formed. Space is cut into cubes (cells of ECEF
+coordinates), and every occupied cell gets the list of the stations that can be nearest to any
+point inside it. Let *m* be the centre of a cell with edge *e* and *t* the station nearest to
+*m*. The difference of the squared distances from a point to another station *s* and to *t* is
+linear in the point, and over the cell its least value is
+
+    |m - s|^2 - |m - t|^2 - e * (|tx - sx| + |ty - sy| + |tz - sz|),
+
+so *s* stays on the list only while this is not above zero (plus a margin for rounding). The
+bound holds at any height, at the poles and across the date line, and it is sharp also far above
+crowded stations: lists shrink with the cell, not with the distance.
+
+Lists are worked out from large cells to small ones, each from the list of the cell around it.
+Down to tiles of 4 km all occupied cells are refined; below that a tile is cut further, as a
+whole, until no list in it is longer than ``leaf_stations``. A point finds its tile's edge, and
+with the cell of that edge its list: one key, one join, whatever the level. Occupied cells come
+from one scan of the points; larger cells follow by integer division.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmart.functions import geo
 from trackmart.runtime import broadcast_if_small, checkpointed
 
-DIRECT_STATIONS = 32
-ARRAY_STATIONS = 4096
 LEAF_STATIONS = 64
-BROADCAST_CANDIDATES = 500_000
 
 _CELL = ["cell_x", "cell_y", "cell_z"]
-_PARENT = ["parent_x", "parent_y", "parent_z"]
+_OUTER = ["outer_x", "outer_y", "outer_z"]
+_TILE = ["tile_x", "tile_y", "tile_z"]
 _POSITION = ["x_ecef", "y_ecef", "z_ecef"]
 _STATION = ["station_id", "name", "station_type", "lat", "lon", "h"]
 _STATION_POSITION = ["station_x", "station_y", "station_z"]
 
-_EDGES_M = [1000.0 * 2**k for k in range(11)]
-_SQRT3 = 3.0**0.5
-_SLACK_M = 1.0  # absorbs rounding in the bound; only ever adds candidates
-_TOP_EDGE_M = 2.0**22
+_OUTER_EDGES_M = [2.0**22, 2.0**18, 2.0**14]
+_TILE_EDGE_M = 2.0**12
+_SCAN_EDGE_M = 2.0**6  # edge of the occupied cells that the scan of the points yields
+_LAST_EDGE_M = 1.0
 _REFINE = 4
-_MIN_EDGE_M = 1.0
-_START_CELLS = 64
-
-
-def nearest_station(
-    points: DataFrame,
-    stations: DataFrame,
-    *,
-    direct_stations: int = DIRECT_STATIONS,
-    array_stations: int = ARRAY_STATIONS,
-    leaf_stations: int = LEAF_STATIONS,
-) -> DataFrame:
+
+
+def nearest_station(points: DataFrame, stations: DataFrame, *, leaf_stations: int = LEAF_STATIONS) -> DataFrame:
     """Enriched points with ``r_to_station`` and the attributes of the nearest station.
 
     No station at all gives no rows, which the target checks report.
     """
-    measured = with_candidates(points, stations, direct_stations, array_stations, leaf_stations).withColumn(
-        "distances", F.expr(_distances("candidates", _POSITION))
-    )
+    measured = with_candidates(points, stations, leaf_stations).withColumn("distances", F.expr(_distances()))
     # Lists are sorted by id, so the first of several equal minima is the tie-break winner.
     return measured.selectExpr(
         *points.columns,
@@ -72,225 +61,110 @@ def nearest_station(
 
 
 def nearest_station_window(points: DataFrame, stations: DataFrame, **limits: int) -> DataFrame:
-    """The same answer by ranking: one row per point and candidate, numbered by
-    (distance, station), first one kept.
-
-    Shuffles the points; meant for checking ``nearest_station``. The partial group limit
-    drops all but one candidate per point before the shuffle.
-    """
-    here = _point_position()
-    ranked = (
-        with_candidates(points, stations, **limits)
-        .withColumn("s", F.explode("candidates"))
-        .withColumn("r_to_station", geo.distance(here, _site_position(F.col("s"))))
-        .withColumn(
-            "station_rank",
-            F.row_number().over(
-                Window.partitionBy("icao24", "snapshot_ts").orderBy(F.asc("r_to_station"), F.asc("s.station_id"))
-            ),
-        )
-        .where("station_rank = 1")
+    """The same answer by numbering: candidates become rows, each point's are put in order,
+    and the first one is taken. Shuffles the points; meant for checking ``nearest_station``."""
+    here = geo.Ecef(*[F.col(c) for c in _POSITION])
+    option = F.transform(
+        "candidates", lambda s: F.struct(geo.distance(here, _site_position(s)).alias("away"), s["station_id"].alias("id"), s.alias("site"))
     )
-    return ranked.select(*points.columns, "r_to_station", *[F.col(f"s.{c}").alias(c) for c in _STATION])
+    options = with_candidates(points, stations, **limits).withColumn("option", F.explode(option)).drop("candidates")
+    in_order = Window.partitionBy("snapshot_ts", "icao24").orderBy("option.away", "option.id")
+    first = options.withColumn("number", F.row_number().over(in_order)).where("number = 1")
+    return first.select(*points.columns, F.col("option.away").alias("r_to_station"), *[F.col(f"option.site.{c}").alias(c) for c in _STATION])
 
 
 def station_distance(points: DataFrame, stations: DataFrame) -> DataFrame:
     """Straight-line distance from each point to the station named in its ``station_id``."""
-    there = geo.Ecef(*[F.col(c) for c in _STATION_POSITION])
+    here, there = (geo.Ecef(*[F.col(c) for c in names]) for names in (_POSITION, _STATION_POSITION))
     side = broadcast_if_small(stations.select("station_id", *_STATION_POSITION))
-    return (
-        points.join(side, "station_id")
-        .withColumn("station_distance", geo.distance(_point_position(), there))
-        .drop(*_STATION_POSITION)
-    )
+    return points.join(side, "station_id").withColumn("station_distance", geo.distance(here, there)).drop(*_STATION_POSITION)
 
 
-def with_candidates(
-    points: DataFrame,
-    stations: DataFrame,
-    direct_stations: int = DIRECT_STATIONS,
-    array_stations: int = ARRAY_STATIONS,
-    leaf_stations: int = LEAF_STATIONS,
-) -> DataFrame:
+def with_candidates(points: DataFrame, stations: DataFrame, leaf_stations: int = LEAF_STATIONS) -> DataFrame:
     """Points with ``candidates``: an array of stations that holds their nearest one."""
-    sites = _sites(stations)
-    count, spread = _spread(sites)
-    if count == 0:
-        return points.withColumn("candidates", _as_array(sites)).where(F.lit(False))
-    if count <= direct_stations:
-        return points.withColumn("candidates", _as_array(sites))
-    if count <= array_stations:
-        return _attach(points, [_cells_from_array(points, sites, spread)])
-    return _attach(points, _cells_by_refinement(points, checkpointed(sites), leaf_stations))
-
-
-def _sites(stations: DataFrame) -> DataFrame:
+    tiles, entries = candidate_lists(points, stations, leaf_stations)
+    lists = entries.groupBy("edge", *_CELL).agg(F.sort_array(F.collect_list("site")).alias("candidates"))
+    # an entry is measured before it becomes part of an array
+    small = broadcast_if_small(entries) is not entries
+    placed = points.withColumns(_named(_TILE, _position_cells(_TILE_EDGE_M))).join(broadcast_if_small(tiles), _TILE)
+    keyed = placed.withColumns(_named(_CELL, [F.floor(F.col(c) / F.col("edge")) for c in _POSITION]))
+    return keyed.join(F.broadcast(lists) if small else lists, ["edge", *_CELL]).select(*points.columns, "candidates")
+
+
+def candidate_lists(points: DataFrame, stations: DataFrame, leaf_stations: int = LEAF_STATIONS) -> tuple[DataFrame, DataFrame]:
+    """The edge of the cells in each occupied tile, and per occupied cell the stations on its
+    list, one a row. Both are checkpointed."""
+    sites = checkpointed(sites_of(stations))
+    occupied = checkpointed(points.select(*[c.alias(n) for n, c in zip(_CELL, _position_cells(_SCAN_EDGE_M))]).distinct())
+
+    def cells(edge: float, *around: tuple[list[str], float]) -> DataFrame:
+        """Occupied cells of an edge with the cells or tiles of other edges around them."""
+        if edge >= _SCAN_EDGE_M:
+            source, at = occupied, [F.col(c) for c in _CELL]
+            scale = _SCAN_EDGE_M
+        else:
+            source, at, scale = points, [F.col(c) for c in _POSITION], 1.0
+        return source.select(
+            *[F.floor(x / (e / scale)).alias(n) for names, e in ((_CELL, edge), *around) for n, x in zip(names, at)]
+        ).distinct()
+
+    whole = {n: F.lit(0).cast("bigint") for n in _OUTER}
+    lists, outer_edge = sites.withColumns(whole), None
+    for edge in [*_OUTER_EDGES_M, _TILE_EDGE_M]:
+        inner = cells(edge).withColumns(whole) if outer_edge is None else cells(edge, (_OUTER, outer_edge))
+        lists = checkpointed(_shortened(broadcast_if_small(checkpointed(inner)).join(lists, _OUTER), edge, _CELL))
+        lists, outer_edge = lists.withColumnsRenamed(dict(zip(_CELL, _OUTER))), edge
+
+    current = lists.withColumnsRenamed(dict(zip(_OUTER, _CELL)))
+    current = current.withColumns({t: F.col(c) for t, c in zip(_TILE, _CELL)})
+    edge, tiles, entries = _TILE_EDGE_M, [], []
+    while True:
+        longest = current.groupBy(*_TILE, *_CELL).agg(F.count("*").alias("n")).groupBy(*_TILE).agg(F.max("n").alias("n"))
+        cut = checkpointed(longest.where((F.col("n") > leaf_stations) & F.lit(edge > _LAST_EDGE_M)).select(*_TILE))
+        cut_side = broadcast_if_small(cut)
+        settled = current.join(cut_side, _TILE, "left_anti").withColumn("edge", F.lit(edge))
+        tiles.append(settled.select(*_TILE, "edge").distinct())
+        entries.append(settled.select("edge", *_CELL, "site"))
+        if cut.isEmpty():
+            break
+        finer = edge / _REFINE
+        inside = cells(finer, (_OUTER, edge), (_TILE, _TILE_EDGE_M)).join(cut_side, _TILE, "left_semi")
+        outer = current.join(cut_side, _TILE, "left_semi").drop(*_TILE).withColumnsRenamed(dict(zip(_CELL, _OUTER)))
+        current, edge = checkpointed(_shortened(inside.join(outer, _OUTER), finer, [*_TILE, *_CELL])), finer
+    return checkpointed(reduce(DataFrame.unionByName, tiles)), checkpointed(reduce(DataFrame.unionByName, entries))
+
+
+def sites_of(stations: DataFrame) -> DataFrame:
     """One row per distinct position, represented by its smallest ``station_id`` (which
     wins every tie among them)."""
     site = F.struct(*_STATION, *_STATION_POSITION)
     return stations.groupBy(*_STATION_POSITION).agg(F.min(site).alias("site")).select("site")
 
 
-def _as_array(sites: DataFrame) -> Column:
-    """All sites as one array value; the caller has bounded their number."""
-    return sites.agg(F.sort_array(F.collect_list("site"))).scalar()
-
+def _shortened(pairs: DataFrame, edge: float, key: list[str]) -> DataFrame:
+    """Of (cell, site) pairs those whose site can be nearest to a point of the cell."""
+    centre = [(F.col(c) + 0.5) * edge for c in _CELL]
+    at = [F.col("site").getField(c) for c in _STATION_POSITION]
+    measured = pairs.select(*key, "site", sum(((m - s) * (m - s) for m, s in zip(centre, at)), F.lit(0.0)).alias("d2"))
+    closest = measured.groupBy(*key).agg(F.min(F.struct("d2", *[s.alias(f"near_{c}") for s, c in zip(at, "xyz")])).alias("near"))
+    apart = sum((F.abs(F.col(f"near.near_{c}") - s) for s, c in zip(at, "xyz")), F.lit(0.0))
+    margin = 1e-3 + 1e-13 * (F.col("d2") + F.col("near.d2"))
+    return measured.join(closest, key).where(F.col("d2") - F.col("near.d2") <= edge * apart + margin).select(*key, "site")
 
-def _point_position() -> geo.Ecef:
-    return geo.Ecef(*[F.col(c) for c in _POSITION])
 
-
-def _site_position(site: Column) -> geo.Ecef:
-    return geo.Ecef(*[site.getField(c) for c in _STATION_POSITION])
-
-
-def _named_cells(position: geo.Ecef, edge: float) -> list[Column]:
-    return [F.floor(axis / edge).alias(name) for name, axis in zip(_CELL, position)]
+def _position_cells(edge: float) -> list[Column]:
+    return [F.floor(F.col(c) / edge) for c in _POSITION]
 
 
-def _centre_sql(edge: float, names: list[str]) -> list[str]:
-    return [f"({name} + 0.5D) * {edge}D" for name in names]
-
-
-def _cell_centre(edge: float) -> geo.Ecef:
-    return geo.Ecef(*[F.expr(axis) for axis in _centre_sql(edge, _CELL)])
-
-
-def _spread(sites: DataFrame) -> tuple[int, float]:
-    """The number of sites, and the largest cell edge at which most of them still have a
-    cell to themselves (only a matter of speed: any edge gives the same answer)."""
-    edges = ", ".join(f"{e}D" for e in _EDGES_M)
-    axes = ", ".join(f"floor(site.{c} / edge) AS {c}" for c in _STATION_POSITION)
-    rows = (
-        sites.select(F.expr(f"explode(transform(array({edges}), edge -> struct(edge, {axes}))) AS c"))
-        .groupBy("c")
-        .agg(F.count("*").alias("n"))
-        .groupBy("c.edge")
-        .agg(F.count("*").alias("occupied"), F.sum("n").alias("sites"))
-        .collect()  # one row per edge
-    )
-    count = max([r.sites for r in rows], default=0)
-    return count, max([r.edge for r in rows if r.occupied >= 0.6 * count], default=_EDGES_M[0])
+def _named(names: list[str], columns: list[Column]) -> dict[str, Column]:
+    return dict(zip(names, columns))
 
 
-def _cells_from_array(points: DataFrame, sites: DataFrame, spread: float) -> tuple[float, DataFrame]:
-    """Occupied cells with their candidates, filtered out of the array of all stations.
-
-    Two steps keep this cheap: the array is cut down per coarse cell first, and the fine
-    cells inside only look at what is left.
-    """
-    fine, ratio = spread / 2, 8
-    tasks = points.sparkSession.sparkContext.defaultParallelism  # few bytes, much arithmetic
-    occupied = (
-        points.select(*_named_cells(_point_position(), fine))
-        .distinct()
-        .withColumns({p: F.floor(F.col(c) / ratio) for p, c in zip(_PARENT, _CELL)})
-    )
-    coarse = (
-        occupied.select(*_PARENT)
-        .distinct()
-        .withColumn("all_sites", _as_array(sites))
-        .select(*_PARENT, _sufficient("all_sites", _centre_sql(fine * ratio, _PARENT), fine * ratio).alias("sites"))
-    )
-    cells = occupied.repartition(tasks).join(coarse, _PARENT).select(
-        *_CELL, _sufficient("sites", _centre_sql(fine, _CELL), fine).alias("candidates")
-    )
-    return fine, checkpointed(cells)
-
-
-def _sufficient(sites: str, centre: list[str], edge: float) -> Column:
-    """The sites that can be nearest to some point of the cell around ``centre``.
-
-    The one-element arrays bind the distances and the reach to variables. As plain columns
-    the optimizer would move their expressions into the filter and repeat them per site.
-    """
-    return F.expr(
-        f"""transform(array({_distances(sites, centre)}), ds ->
-              transform(array(array_min(ds) + {_SQRT3 * edge + _SLACK_M}D), reach ->
-                filter({sites}, (s, i) -> ds[i] <= reach))[0])[0]"""
-    )
-
-
-def _distances(sites: str, position: list[str]) -> str:
-    """SQL text: the distance from ``position`` to each site of an array."""
-    squares = [f"pow({p} - s.{c}, 2)" for p, c in zip(position, _STATION_POSITION)]
-    return f"transform({sites}, s -> sqrt({' + '.join(squares)}))"
-
+def _site_position(site: Column) -> geo.Ecef:
+    return geo.Ecef(*[site.getField(c) for c in _STATION_POSITION])
 
-def _cells_by_refinement(points: DataFrame, sites: DataFrame, leaf_stations: int) -> list[tuple[float, DataFrame]]:
-    """Cells of different sizes, each with a short candidate list, found top-down.
 
-    A round takes the cells that still have too many candidates, cuts them into their
-    occupied children and keeps, per child, the stations within its bound. The cells of
-    all levels together cover every point exactly once.
-    """
-    positions = points.select(*_POSITION)
-    levels = []
-    edge, split = _start_edge(positions), None
-    frontier = sites.withColumns({c: F.lit(0).cast("bigint") for c in _PARENT})
-    while True:
-        occupied = positions.select(*_named_cells(_point_position(), edge))
-        if split is None:
-            occupied = occupied.withColumns({c: F.lit(0).cast("bigint") for c in _PARENT})
-        else:
-            occupied = occupied.withColumns(
-                {p: F.floor(F.col(c) / _REFINE) for p, c in zip(_PARENT, _CELL)}
-            ).join(broadcast_if_small(split), _PARENT, "left_semi")
-        children = checkpointed(occupied.distinct())
-
-        pairs = (
-            frontier.join(broadcast_if_small(children), _PARENT)
-            .withColumn("d", geo.distance(_cell_centre(edge), _site_position(F.col("site"))))
-            .select(*_CELL, "site", "d")
-        )
-        best = checkpointed(pairs.groupBy(*_CELL).agg(F.min("d").alias("best")))
-        kept = checkpointed(
-            pairs.join(broadcast_if_small(best), _CELL)
-            .where(F.col("d") <= F.col("best") + (_SQRT3 * edge + _SLACK_M))
-            .select(*_CELL, "site")
-        )
-        sizes = checkpointed(kept.groupBy(*_CELL).agg(F.count("*").alias("n")))
-
-        last = edge <= _MIN_EDGE_M
-        short = F.lit(True) if last else F.col("n") <= leaf_stations
-        leaves = kept.join(broadcast_if_small(sizes.where(short).drop("n")), _CELL, "left_semi")
-        levels.append((edge, checkpointed(leaves.groupBy(*_CELL).agg(F.sort_array(F.collect_list("site")).alias("candidates")))))
-
-        split = sizes.where(~short).select(*[F.col(c).alias(p) for p, c in zip(_PARENT, _CELL)])
-        if split.isEmpty():
-            return levels
-        frontier = kept.withColumnsRenamed(dict(zip(_CELL, _PARENT))).join(
-            broadcast_if_small(split), _PARENT, "left_semi"
-        )
-        edge /= _REFINE
-
-
-def _start_edge(positions: DataFrame) -> float:
-    """The smallest edge at which the points occupy a handful of cells: the coarser
-    rounds would not rule out any station."""
-    edges = [_TOP_EDGE_M / _REFINE**k for k in range(8)]
-    occupied = positions.agg(
-        *[F.approx_count_distinct(F.struct(*_named_cells(_point_position(), e))) for e in edges]
-    ).first()
-    return min([e for e, n in zip(edges, occupied) if n <= _START_CELLS], default=edges[0])
-
-
-def _attach(points: DataFrame, levels: list[tuple[float, DataFrame]]) -> DataFrame:
-    """Give every point the candidates of the cell it lies in.
-
-    Levels without any list are left out; a level is broadcast when it was measured to
-    be small.
-    """
-    measured = [(edge, cells, cells.agg(F.sum(F.size("candidates"))).first()[0]) for edge, cells in levels]
-    here = _point_position()
-    joined, lists = points, []
-    for number, (edge, cells, total) in enumerate([m for m in measured if m[2]] or measured[:1]):
-        lists.append(f"candidates_{number}")
-        side = cells.withColumnRenamed("candidates", lists[-1])
-        small = (total or 0) <= BROADCAST_CANDIDATES
-        joined = (
-            joined.select("*", *_named_cells(here, edge))
-            .join(F.broadcast(side) if small else side, _CELL, "left")
-            .drop(*_CELL)
-        )
-    return joined.withColumn("candidates", F.coalesce(*lists)).drop(*lists)
+def _distances() -> str:
+    """SQL text: the distance from a point to each of its candidates."""
+    squares = [f"pow({p} - s.{c}, 2)" for p, c in zip(_POSITION, _STATION_POSITION)]
+    return f"transform(candidates, s -> sqrt({' + '.join(squares)}))"

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmart.schemas import DIM_FLIGHT_LENGTHS, DIM_STATION_LENGTHS
+from trackmart.sources.snapshots import poll_time, readable
 
 
 class Rule(NamedTuple):
@@ -41,11 +42,15 @@ def state_rules() -> list[Rule]:
 
 
 def payload_rules(value: str = "value") -> list[Rule]:
-    """On raw payloads: no aircraft may occur twice inside one snapshot."""
+    """On raw payloads: every line is JSON and has a time, and no aircraft occurs twice in it."""
     ids = F.transform(
         F.from_json(value, "states ARRAY<ARRAY<STRING>>")["states"], lambda vector: F.get(vector, F.lit(0))
     )
-    return [Rule("payload_aircraft_repeated", F.size(ids) != F.size(F.array_distinct(ids)))]
+    return [
+        Rule("payload_unreadable", ~readable(value)),
+        Rule("payload_time_missing", readable(value) & poll_time(value).isNull()),
+        Rule("payload_aircraft_repeated", F.size(ids) != F.size(F.array_distinct(ids))),
+    ]
 
 
 def station_rules() -> list[Rule]:

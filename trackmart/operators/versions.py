@@ -54,11 +54,12 @@ def fact_projection(points: DataFrame) -> DataFrame:
 def latest(df: DataFrame, key: list[str], version: str = "event_ts", tie: str | None = LOAD_SEQ) -> DataFrame:
     """The newest row per key; among equal versions the later load.
 
+    Rows of a key share their month, so on a month store the months are ranked on their own.
     The rank-one filter is pushed below the shuffle as a partial group limit, so a key
     repeated in many loads leaves each task once.
     """
     order = [F.desc(version)] + ([F.desc(tie)] if tie else [])
-    newest = Window.partitionBy(*key).orderBy(*order)
+    newest = Window.partitionBy(*([MONTH] if MONTH in df.columns else []), *key).orderBy(*order)
     return df.withColumn("place", F.row_number().over(newest)).where("place = 1").drop("place")
 
 
@@ -75,6 +76,11 @@ def retain(df: DataFrame, ts: str, as_of: datetime | Column | None = None) -> Da
     return kept.where(F.col(MONTH) >= month_of(cutoff)) if MONTH in df.columns else kept
 
 
+def current_facts(store: DataFrame, key: list[str], ts: str, as_of: datetime | Column | None = None) -> DataFrame:
+    """What readers of a store see: unexpired rows, the newest of each key, without load and month."""
+    return latest(retain(store, ts, as_of), key).drop(LOAD_SEQ, MONTH)
+
+
 def lookup(facts: DataFrame, dim: DataFrame, key: str, defaults: dict[str, tuple[str, str | float]]) -> DataFrame:
     """Left lookup; a missing key or a null attribute gives the default.
 
@@ -87,14 +93,17 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, defaults: dict[str, tuple
     )
 
 
-def obt_view(facts: DataFrame, dim_flight: DataFrame, dim_station: DataFrame) -> DataFrame:
+def obt_view(
+    facts: DataFrame, dim_flight: DataFrame, dim_station: DataFrame, as_of: datetime | Column | None = None
+) -> DataFrame:
     """The latest version of every fact with the attributes of today's dimensions (26 columns).
 
-    Only current station versions are looked up: old facts of a closed station show the
-    defaults.
+    Facts that have outlived their retention at ``as_of`` (default: now) are hidden. Only
+    current station versions are looked up: old facts of a closed station show the defaults.
+    For a part of the time, read the store with ``between``.
     """
     with_flight = lookup(
-        latest(facts, FACT_KEY, tie=LOAD_SEQ if LOAD_SEQ in facts.columns else None),
+        current_facts(facts, FACT_KEY, "snapshot_time", as_of),
         dim_flight,
         "icao24",
         {"callsign": ("callsign", ""), "origin_country": ("origin_country", "")},

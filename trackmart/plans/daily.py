@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from trackmart.operators.dimensions import (
     flight_dimension_input,
+    newer_sightings,
     scd1_upsert,
     scd2_apply,
     station_dimension_input,
@@ -25,13 +26,27 @@ from trackmart.operators.dimensions import (
 from trackmart.operators.enrich import clean_points, enrich_points, enrich_stations, flight_points, states_in_bbox
 from trackmart.operators.marts import flights_agg, time_agg
 from trackmart.operators.nearest import nearest_station
-from trackmart.operators.quality import require, require_rows, run_checks, source_checks, target_checks
+from trackmart.operators.quality import (
+    Violation,
+    dim_flight_checks,
+    dim_station_checks,
+    geometry_rules,
+    payload_rules,
+    require,
+    require_rows,
+    run_checks,
+    run_rules,
+    source_checks,
+    target_checks,
+)
 from trackmart.operators.versions import fact_projection, to_seconds
 from trackmart.plans.reports import phase_distribution, run_summary, top_flights
+from trackmart.runtime import checkpointed
 from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY, FLIGHTS_KEY, TIME_KEY
 from trackmart.sources.files import (
     append_facts,
     day_path,
+    drop_expired_months,
     publish,
     read_states,
     read_stations,
@@ -39,7 +54,7 @@ from trackmart.sources.files import (
     write_day,
     write_version,
 )
-from trackmart.sources.snapshots import dedup_snapshots, parse_snapshots
+from trackmart.sources.snapshots import first_polls, parse_snapshots, read_polls
 from trackmart.sources.stations import airports_in_region, read_airports, stations_from_airports
 
 # Default region of observation, degrees.
@@ -54,24 +69,32 @@ class DayRun(NamedTuple):
     top: DataFrame
     phases: DataFrame
     summary: DataFrame
+    advice: list[Violation]
 
 
 def load_day(
-    spark: SparkSession, landing: str, airports_csv: str, root: str, ds: str, bbox: dict[str, float] = DEFAULT_BBOX
+    spark: SparkSession,
+    landing: str,
+    airports_csv: str,
+    root: str,
+    ds: str,
+    bbox: dict[str, float] = DEFAULT_BBOX,
+    by_name: bool = False,
 ) -> None:
-    """Landed payload files (one request each) and the airport file -> the day's inputs.
+    """Landed payload files and the airport file -> the day's inputs.
 
-    Requests are ordered by the time their file was written. Both extracts fail when the
-    region yields nothing; stations are looked at before those without height are dropped.
+    Every line is one poll; of polls with one snapshot time the first one counts, in the order
+    of files (by time, or by name) and of lines. Broken lines, lines without time and lines
+    that name an aircraft twice stop the load. Both extracts fail when the region yields
+    nothing; stations are looked at before those without height are dropped.
     """
     airports = read_airports(spark, airports_csv)
     require_rows(airports_in_region(airports, bbox), "no_stations_in_region")
     write_day(stations_from_airports(airports, bbox), f"{root}/stations", ds)
 
-    raw = spark.read.text(landing).select(
-        "value", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("arrival")
-    )
-    states = states_in_bbox(dedup_snapshots(parse_snapshots(raw)).drop("arrival"), bbox)
+    polls = read_polls(spark, landing, by_name)
+    require(run_rules(polls, payload_rules()))
+    states = states_in_bbox(parse_snapshots(first_polls(polls)).drop("arrival"), bbox)
     require_rows(states, "no_points_collected")
     write_day(states, f"{root}/states", ds)
 
@@ -88,47 +111,47 @@ def run_day(
     """Checks, enrichment, nearest station, dimensions, facts and aggregates for one day.
 
     The wide table and the aggregates are written once and everything after them reads those
-    tables: nothing large is cached and a lost executor costs one file read. Dimensions, stores and the curated
-    table are touched only after all checks have passed. Running a day again replaces its
-    curated partition and supersedes its facts.
+    tables: nothing large is cached and a lost executor costs one file read. Dimensions, stores
+    and the curated table are touched only after all checks have passed, those of the new
+    dimensions included. Running a day again replaces its curated partition and supersedes its
+    facts. Dimensions go on from their newest version, whatever ``as_of`` says. Months that have
+    outlived their retention at ``as_of`` are removed from the stores.
     """
     as_of = as_of or datetime.now(timezone.utc)
     load_seq = load_seq if load_seq is not None else time.time_ns() // 1_000_000
     states, stations = read_states(spark, root, ds), read_stations(spark, root, ds)
     require(run_checks(source_checks(states, stations)))
+    advice = run_rules(stations, geometry_rules())
 
     clean, located = clean_points(states), enrich_stations(stations)
     work = f"{root}/work/flight_points"
     points = _settle(flight_points(nearest_station(enrich_points(clean), located), as_of), work, ds)
     require(run_checks(target_checks(clean, points)))
 
-    version = int(as_of.timestamp())
     flight_path, station_path = f"{root}/dim_flight", f"{root}/dim_station"
-    write_version(
-        scd1_upsert(
-            read_version(spark, flight_path, DIM_FLIGHT, before=version), flight_dimension_input(points), "icao24", as_of
-        ),
-        flight_path,
-        version,
-    )
-    write_version(
-        scd2_apply(
-            read_version(spark, station_path, DIM_STATION, before=version),
-            station_dimension_input(located),
-            as_of=as_of,
-        ),
-        station_path,
-        version,
-    )
+    old_flights = read_version(spark, flight_path, DIM_FLIGHT)
+    seen = newer_sightings(old_flights, flight_dimension_input(points))
+    dim_flight = checkpointed(scd1_upsert(old_flights, seen, "icao24", as_of))
+    old_stations = read_version(spark, station_path, DIM_STATION)
+    # all stations, also those that cannot be located: a lost coordinate is no end of a station
+    dim_station = checkpointed(scd2_apply(old_stations, station_dimension_input(stations), as_of=as_of))
+    require(run_checks(dim_flight_checks(dim_flight)) + run_checks(dim_station_checks(dim_station)))
+    write_version(dim_flight, flight_path)
+    write_version(dim_station, station_path)
 
     flights = _settle(flights_agg(points, as_of), f"{root}/work/flights_agg", ds)
     minutes = _settle(time_agg(points, as_of), f"{root}/work/time_agg", ds)
     stored_ts = {"event_ts": to_seconds(F.col("event_ts"))}
-    append_facts(fact_projection(points), f"{root}/fact_flight_points", "snapshot_time", FACT_KEY, load_seq)
-    append_facts(flights.withColumns(stored_ts), f"{root}/flights_agg", "first_seen", FLIGHTS_KEY, load_seq)
-    append_facts(minutes.withColumns(stored_ts), f"{root}/time_agg", "time_window", TIME_KEY, load_seq)
+    stores = [
+        (fact_projection(points), "fact_flight_points", "snapshot_time", FACT_KEY),
+        (flights.withColumns(stored_ts), "flights_agg", "first_seen", FLIGHTS_KEY),
+        (minutes.withColumns(stored_ts), "time_agg", "time_window", TIME_KEY),
+    ]
+    for rows, name, ts, key in stores:
+        append_facts(rows, f"{root}/{name}", ts, key, load_seq)
+        drop_expired_months(spark, f"{root}/{name}", as_of)
     publish(spark, work, f"{root}/curated/flight_points", ds)
-    return DayRun(points, flights, top_flights(flights), phase_distribution(points), run_summary(flights))
+    return DayRun(points, flights, top_flights(flights), phase_distribution(points), run_summary(flights), advice)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -138,6 +161,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--landing", help="folder of payload files; with --airports the day is loaded first")
     parser.add_argument("--airports", help="airport CSV")
     parser.add_argument("--bbox", type=json.loads, default=DEFAULT_BBOX, help="JSON with lamin, lomin, lamax, lomax")
+    parser.add_argument("--files-by-name", action="store_true", help="order landed files by name, not by their time")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="load time; default: now")
     parser.add_argument("--publish-to", help="also publish the curated day below this URI")
     args = parser.parse_args(argv)
@@ -146,13 +170,15 @@ def main(argv: list[str] | None = None) -> None:
         SparkSession.builder.appName("trackmart").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     if args.landing and args.airports:
-        load_day(spark, args.landing, args.airports, args.data_dir, args.date, args.bbox)
+        load_day(spark, args.landing, args.airports, args.data_dir, args.date, args.bbox, args.files_by_name)
     as_of = args.as_of
     if as_of is not None and as_of.tzinfo is None:
         as_of = as_of.replace(tzinfo=timezone.utc)
     run = run_day(spark, args.data_dir, args.date, as_of)
     for report in (run.top, run.phases, run.summary):
         report.show(truncate=False)
+    for rule, rows in run.advice:
+        print(f"note: {rule} in {rows} row(s)")
     if args.publish_to:
         publish(spark, f"{args.data_dir}/curated/flight_points", f"{args.publish_to}/flight_points", args.date)
 

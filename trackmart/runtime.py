@@ -5,20 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# A lookup side is broadcast only after it has been counted and found no larger.
-BROADCAST_ROWS = 200_000
+# A side of a join is broadcast only after it has been measured and found no larger.
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the session.
 
-    Only a local-mode session without the setting (tests) gets a folder of its own.
+    A local session, which has no other machines, may go without the setting and then gets a
+    folder of its own; on a cluster the setting is required.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
@@ -44,15 +47,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` holds at most ``max_rows`` rows; never counts past the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(column: Column, kind: T.DataType) -> Column:
+    """Bytes a value takes, roughly: text by its length, all else by the slot."""
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a + b, [_width(column.getField(f.name), f.dataType) for f in kind], F.lit(8))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    return F.lit(16)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when its counted size allows, else leave the join
-    to a shuffle (adaptive execution then splits hot keys)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def measured_bytes(df: DataFrame) -> int:
+    """What ``df`` takes in memory, by one aggregation; arrays and maps are not measured."""
+    row = reduce(lambda a, b: a + b, [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema])
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast when its measured size allows, else leave the join to a
+    shuffle (adaptive execution then splits hot keys)."""
+    return F.broadcast(df) if measured_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes) else df
 
 
 def load_time(as_of: datetime | Column | None) -> Column:

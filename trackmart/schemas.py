@@ -77,10 +77,12 @@ AIRPORTS = _struct(
     ("elevation_ft", _DOUBLE),
 )
 
+# ``last_ts`` is when the attributes were sent; an older sighting never replaces a newer one.
 DIM_FLIGHT = _struct(
     ("icao24", _STRING),
     ("callsign", _STRING),
     ("origin_country", _STRING),
+    ("last_ts", _LONG),
     ("updated_at", _TS),
 )
 
@@ -97,6 +99,45 @@ DIM_STATION = _struct(
     ("is_current", _BOOL),
 )
 
+# The three versioned stores; on disk each row also has its load and its month.
+FACTS = _struct(
+    ("event_ts", _TS),
+    ("icao24", _STRING),
+    ("station_id", _STRING),
+    ("snapshot_time", _TS),
+    ("time_window", _TS),
+    ("flight_phase", _STRING),
+    ("on_ground", _INT),
+    *[(name, _DOUBLE) for name in (
+        "latitude", "longitude", "height", "x_ecef", "y_ecef", "z_ecef", "velocity", "mach", "vertical_rate",
+        "true_track", "r_to_earth", "r_to_station",
+    )],
+)
+
+FLIGHTS_AGG = _struct(
+    ("event_ts", _TS),
+    ("icao24", _STRING),
+    ("callsign", _STRING),
+    ("origin_country", _STRING),
+    ("total_points", _LONG),
+    ("first_seen", _TS),
+    ("last_seen", _TS),
+    ("tracked_sec", _LONG),
+    *[(name, _DOUBLE) for name in (
+        "max_height", "max_velocity", "max_mach", "avg_velocity", "min_r_to_station", "avg_r_to_station", "distance_km",
+    )],
+    ("dominant_station", _STRING),
+)
+
+TIME_AGG = _struct(
+    ("event_ts", _TS),
+    ("time_window", _TS),
+    ("flight_phase", _STRING),
+    ("points_in_window", _LONG),
+    ("flights_in_window", _LONG),
+    *[(f"avg_{name}", _DOUBLE) for name in ("height", "velocity", "mach", "r_to_station")],
+)
+
 # Longest value each dimension attribute may hold.
 DIM_FLIGHT_LENGTHS = {"icao24": 6, "callsign": 16, "origin_country": 128}
 DIM_STATION_LENGTHS = {"station_id": 16, "name": 255, "station_type": 32}

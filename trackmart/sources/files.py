@@ -6,6 +6,7 @@ repeated run leaves no old part files behind.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from trackmart.runtime import load_time
 from trackmart.schemas import STATES, STATIONS
 
 DATE = "date"
+KEPT_VERSIONS = 5
 
 
 def read_day(spark: SparkSession, path: str, ds: str, schema: T.StructType) -> DataFrame:
@@ -75,11 +77,24 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, path: str, ds: str, schem
 def publish(spark: SparkSession, source: str, target: str, ds: str) -> None:
     """Copy a day of the curated table to its published place, replacing that day there.
 
-    Fails if the table is missing or the day holds nothing.
+    Fails if the table is missing or the day holds nothing. The copy is written beside the
+    published days and takes their place by renaming, so readers keep the old day until the
+    new one is whole.
     """
     day = spark.read.parquet(source).where(F.col(DATE) == ds).drop(DATE)
     require_rows(day, "nothing_to_publish")
-    write_day(day, target, ds)
+    run = uuid.uuid4().hex
+    incoming, outgoing, place = f"{target}/.incoming-{run}", f"{target}/.outgoing-{run}", day_path(target, ds)
+    day.write.parquet(incoming)
+    fs, _ = _file_system(spark, target)
+    new, old, current = (_file_system(spark, p)[1] for p in (incoming, outgoing, place))
+    if fs.exists(current) and not fs.rename(current, old):
+        raise OSError(f"cannot move {place} aside")
+    if not fs.rename(new, current):
+        if fs.exists(old):
+            fs.rename(old, current)
+        raise OSError(f"cannot put {place} in place")
+    fs.delete(old, True)
 
 
 def append_facts(df: DataFrame, path: str, ts: str, key: list[str], load_seq: int) -> None:
@@ -99,9 +114,23 @@ def append_facts(df: DataFrame, path: str, ts: str, key: list[str], load_seq: in
     )
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """All loads of a store, with ``load_seq`` and ``month``."""
-    return spark.read.parquet(path)
+def read_store(
+    spark: SparkSession, path: str, schema: T.StructType, ts: str | None = None, between: tuple[datetime, datetime] | None = None
+) -> DataFrame:
+    """All loads of a store, with ``load_seq`` and ``month``; none if nothing has been stored yet.
+
+    ``between`` keeps rows whose ``ts`` lies in [first, second). It prunes whole months and
+    then goes by file statistics; versions of a key share its time, so no version is lost.
+    """
+    stored = T.StructType([*schema.fields, T.StructField(LOAD_SEQ, T.LongType()), T.StructField(MONTH, T.StringType())])
+    if not exists(spark, path):
+        return spark.createDataFrame([], stored)
+    store = spark.read.schema(stored).parquet(path)
+    if between is None:
+        return store
+    first, last = between
+    months = F.col(MONTH).between(f"{first:%Y%m}", f"{last:%Y%m}")
+    return store.where(months & (F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(last)))
 
 
 def drop_expired_months(spark: SparkSession, path: str, as_of: datetime) -> list[str]:
@@ -127,6 +156,11 @@ def _file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
+
+
 def versions_of(spark: SparkSession, path: str) -> list[int]:
     """Completely written versions below ``path``, oldest first."""
     fs, folder = _file_system(spark, path)
@@ -137,18 +171,31 @@ def versions_of(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(p.getName().split("=")[1]) for p in complete)
 
 
-def read_version(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """The newest complete version of a small table (older than ``before`` if given), or
-    an empty table if there is none."""
-    known = [v for v in versions_of(spark, path) if before is None or v < before]
+def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version of a small table, or an empty table if there is none."""
+    known = versions_of(spark, path)
     if not known:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/version={known[-1]}")
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Write a new version beside the old ones; readers see it once it is complete.
+def write_version(df: DataFrame, path: str, keep: int = KEPT_VERSIONS) -> int:
+    """Write the next version beside the old ones; readers see it once it is complete.
 
-    Writing the same version again replaces it, so a repeated load is harmless.
+    Batch runs and streams share one sequence. Two writers at once cannot both take a number:
+    the later one fails and may try again. All but the newest ``keep`` versions are removed.
     """
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    spark = df.sparkSession
+    known = versions_of(spark, path)
+    version = known[-1] + 1 if known else 1
+    df.write.mode("overwrite" if _incomplete(spark, path, version) else "errorifexists").parquet(f"{path}/version={version}")
+    fs, _ = _file_system(spark, path)
+    for old in [*known, version][:-keep]:
+        fs.delete(_file_system(spark, f"{path}/version={old}")[1], True)
+    return version
+
+
+def _incomplete(spark: SparkSession, path: str, version: int) -> bool:
+    """True for what a failed writer left behind."""
+    fs, folder = _file_system(spark, f"{path}/version={version}")
+    return fs.exists(folder) and not fs.exists(_file_system(spark, f"{path}/version={version}/_SUCCESS")[1])

@@ -1,118 +1,149 @@
-"""Streams: ingestion, minute aggregate, nearest station, upsert sink."""
+"""Streams: ingestion, minute aggregate, nearest station, upsert sink.
+
+A stream is a file stream of payload lines and a list of steps. Each micro-batch is reduced to
+the polls that are first for their snapshot, over the whole stream, and stored under its number;
+the steps then work on the stored rows. A replayed batch writes the same folder again and every
+step is repeatable, so results do not depend on how lines are cut into batches, nor on the order
+in which batches arrive.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from trackmart.operators.dimensions import flight_dimension_input, scd1_upsert
+from trackmart.operators.dimensions import flight_dimension_input, newer_sightings, scd1_upsert
 from trackmart.operators.enrich import clean_points, enrich_points
+from trackmart.operators.marts import time_agg
 from trackmart.operators.nearest import nearest_station
 from trackmart.operators.quality import payload_rules, require, run_rules, state_rules
-from trackmart.runtime import load_time
-from trackmart.schemas import DIM_FLIGHT
-from trackmart.sources.files import read_version, write_version
-from trackmart.sources.snapshots import parse_snapshots
+from trackmart.runtime import broadcast_if_small, checkpointed
+from trackmart.schemas import DIM_FLIGHT, STATES, TIME_KEY
+from trackmart.sources.files import append_facts, exists, read_version, write_version
+from trackmart.sources.snapshots import file_lines, first_polls, parse_snapshots, poll_time, with_arrival
+
+EPOCH = "epoch"
+
+Step = Callable[[DataFrame, int], None]
 
 
 def landed_payloads(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """Unbounded frame of payload lines."""
-    reader = spark.readStream.format("text")
+    """Unbounded frame of payload lines with the file they stand in."""
+    reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(landing)
+    return file_lines(reader.load(landing))
 
 
-def with_event_time(states: DataFrame) -> DataFrame:
-    return states.withColumn("event_time", F.timestamp_seconds("snapshot_ts"))
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of all batches with their number; none before the first batch."""
+    stored = T.StructType([*schema.fields, T.StructField(EPOCH, T.IntegerType())])
+    return spark.read.schema(stored).parquet(path) if exists(spark, path) else spark.createDataFrame([], stored)
 
 
-def ingest_stream(
-    spark: SparkSession, landing: str, delay: str = "10 minutes", max_files: int | None = None
-) -> DataFrame:
-    """Landed states without repeated (aircraft, snapshot) rows.
+def ingested_states(spark: SparkSession, path: str) -> DataFrame:
+    """All states that a stream has stored below ``path``."""
+    return _stored(spark, f"{path}/states", STATES).select(*STATES.names)
 
-    State is kept no longer than ``delay``. This would also hide a repetition inside one
-    payload, which ``payload_rules`` finds on the raw lines.
-    """
-    return (
-        with_event_time(parse_snapshots(landed_payloads(spark, landing, max_files)))
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["icao24", "snapshot_ts"])
-    )
 
+def refused_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Payload lines that could not be used, with the rule they broke."""
+    schema = T.StructType().add("rule", T.StringType()).add("value", T.StringType())
+    return _stored(spark, f"{path}/refused", schema).drop(EPOCH)
 
-def time_agg_stream(states: DataFrame) -> DataFrame:
-    """Per minute and phase: points, exact distinct aircraft, mean height, speed, Mach.
 
-    Two windowed aggregations in a row: the first keeps one small row per aircraft, the
-    second counts those rows, so no set of aircraft is ever collected.
-    """
-    seen = states.withColumnRenamed("event_time", "seen")  # enrichment derives its own event_time
-    per_aircraft = (
-        enrich_points(clean_points(seen))
-        .groupBy(F.window("seen", "1 minute"), "flight_phase", "icao24")
-        .agg(
-            F.count("*").alias("points"),
-            F.sum("height").alias("height"),
-            F.sum("velocity").alias("velocity"),
-            F.sum("mach").alias("mach"),
-        )
-    )
-    return (
-        per_aircraft.groupBy(F.window(F.window_time("window"), "1 minute"), "flight_phase")
-        .agg(
-            F.sum("points").alias("points_in_window"),
-            F.count("*").alias("flights_in_window"),
-            (F.sum("height") / F.sum("points")).alias("avg_height"),
-            (F.sum("velocity") / F.sum("points")).alias("avg_velocity"),
-            (F.sum("mach") / F.sum("points")).alias("avg_mach"),
-        )
-        .select(F.col("window.start").alias("time_window"), "flight_phase", "points_in_window",
-                "flights_in_window", "avg_height", "avg_velocity", "avg_mach")
-    )
-
-
-def nearest_batches(stations: DataFrame, sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Micro-batch function: clean, enrich and locate the batch, hand it to ``sink``.
-
-    Within a batch the batch operator applies unchanged, whatever the number of stations.
-    It looks at the batch more than once, so the batch is kept meanwhile: the stateful
-    steps before it run once. Batches without rows are not handed on.
+def ingest(payloads: DataFrame, path: str, *steps: Step, by_name: bool = False) -> DataStreamWriter:
+    """Store the states of every first poll below ``path`` and hand each batch of them on.
+
+    Of polls with one snapshot time the first wins whole: within a batch by arrival, between
+    batches the earlier batch. The snapshot times seen are a table of one row per snapshot.
+    Nothing is too late to be taken. Lines that are not JSON or have no time are set aside
+    below ``path``; an aircraft named twice in one line, or a state against the rules, stops
+    the stream.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        kept = batch.persist()
-        if not kept.isEmpty():
-            sink(nearest_station(enrich_points(clean_points(kept)), stations), epoch)
-        kept.unpersist()
+        spark = batch.sparkSession
+        lines = with_arrival(batch, by_name).persist()
+        try:
+            rules = payload_rules()
+            broken, wrong = rules[:2], rules[2:]
+            reasons = F.coalesce(*[F.when(r.broken, F.lit(r.name)) for r in broken])
+            refused = lines.select(reasons.alias("rule"), "value").where("rule IS NOT NULL")
+            refused.write.mode("overwrite").parquet(f"{path}/refused/{EPOCH}={epoch}")
+            good = lines.where(reasons.isNull())
+            require(run_rules(good, wrong))
+            times = T.StructType().add("snapshot_ts", T.LongType())
+            seen = _stored(spark, f"{path}/seen", times).where(F.col(EPOCH) < epoch).select("snapshot_ts").distinct()
+            new = good.withColumn("snapshot_ts", poll_time()).join(broadcast_if_small(seen), "snapshot_ts", "left_anti")
+            first = checkpointed(first_polls(new.drop("snapshot_ts")))
+            states = parse_snapshots(first).drop("arrival")
+            require(run_rules(states, state_rules()))
+            states.write.mode("overwrite").parquet(f"{path}/states/{EPOCH}={epoch}")
+            first.select(poll_time().alias("snapshot_ts")).write.mode("overwrite").parquet(f"{path}/seen/{EPOCH}={epoch}")
+        finally:
+            lines.unpersist()
+        stored = spark.read.schema(STATES).parquet(f"{path}/states/{EPOCH}={epoch}")
+        if not stored.isEmpty():
+            for step in steps:
+                step(stored, epoch)
+
+    return payloads.writeStream.foreachBatch(write)
 
-    return write
 
+def minute_step(path: str, store: str, stations: DataFrame | None = None, as_of: datetime | Column | None = None) -> Step:
+    """Keep the minute aggregate of a stream in a month store, trailing minutes included.
 
-def nearest_stream(
-    states: DataFrame, stations: DataFrame, sink: Callable[[DataFrame, int], None]
-) -> DataStreamWriter:
-    return states.writeStream.foreachBatch(nearest_batches(stations, sink))
+    A batch aggregates the minutes it touches again, from all states stored so far, and appends
+    them as load ``epoch``; readers take the latest load per minute and phase. Without
+    ``stations`` distances are unknown.
+    """
 
+    def step(states: DataFrame, epoch: int) -> None:
+        minute = F.floor(F.col("snapshot_ts") / 60)
+        span = states.agg(F.min("snapshot_ts").alias("low"), F.max("snapshot_ts").alias("high")).first()
+        touched = checkpointed(states.select(minute.alias("minute")).distinct())
+        low, high = span["low"] // 60 * 60, span["high"] // 60 * 60 + 60
+        near = ingested_states(states.sparkSession, path).where((F.col("snapshot_ts") >= low) & (F.col("snapshot_ts") < high))
+        whole = near.join(broadcast_if_small(touched), minute == F.col("minute"), "left_semi")
+        points = enrich_points(clean_points(whole))
+        if stations is None:
+            points = points.withColumn("r_to_station", F.lit(None).cast("double"))
+        else:
+            points = nearest_station(points, stations)
+        append_facts(time_agg(points, as_of), store, "time_window", TIME_KEY, epoch)
 
-def flight_upsert_stream(payloads: DataFrame, dim_path: str, as_of=None) -> DataStreamWriter:
-    """Keep the flight dimension up to date from raw payload lines.
+    return step
 
-    Each micro-batch is checked, reads the newest version before its own and writes
-    version ``epoch``; a replayed batch therefore writes the same version again.
+
+def nearest_step(stations: DataFrame, sink: Step) -> Step:
+    """Clean, enrich and locate each batch and hand it to ``sink``. The batch operator applies
+    unchanged; the stations are prepared once."""
+    prepared: list[DataFrame] = []
+
+    def step(states: DataFrame, epoch: int) -> None:
+        if not prepared:
+            prepared.append(checkpointed(stations))
+        sink(nearest_station(enrich_points(clean_points(states)), prepared[0]), epoch)
+
+    return step
+
+
+def upsert_step(dim_path: str, as_of: datetime | Column | None = None) -> Step:
+    """Keep the flight dimension up to date.
+
+    Sightings replace older ones only, so the dimension after a set of batches is the same in
+    any order and after replays. Versions are in one sequence with those of the daily run.
     """
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        kept = batch.persist()
-        states = parse_snapshots(kept)
-        require(run_rules(kept, payload_rules()) + run_rules(states, state_rules()))
-        dim = read_version(batch.sparkSession, dim_path, DIM_FLIGHT, before=epoch)
-        new = flight_dimension_input(clean_points(states).withColumn("callsign", F.trim("callsign")))
-        write_version(scd1_upsert(dim, new, "icao24", load_time(as_of)), dim_path, epoch)
-        kept.unpersist()
+    def step(states: DataFrame, epoch: int) -> None:
+        dim = read_version(states.sparkSession, dim_path, DIM_FLIGHT)
+        seen = flight_dimension_input(clean_points(states).withColumn("callsign", F.trim("callsign")))
+        write_version(scd1_upsert(dim, newer_sightings(dim, seen), "icao24", as_of), dim_path)
 
-    return payloads.writeStream.foreachBatch(write)
+    return step
