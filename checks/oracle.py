@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from checks.queries import decimals
+from checks.queries import comparable
 
 # name -> SQL of the expression; later ones may use earlier ones.
 CTES = {
@@ -246,7 +246,7 @@ def pick(source: str, columns: str | list[str], tail: str = "") -> str:
     for column in columns if isinstance(columns, list) else columns.split():
         name, _, expression = column.partition("=")
         expression = expression or name
-        items.append(f"{expression} AS {name}" if name in EXACT else f"round({expression}, {decimals(name)}) AS {name}")
+        items.append(f"{expression} AS {name}" if name in EXACT else comparable(name, expression))
     return f"SELECT {', '.join(items)} FROM {source} {tail}"
 
 
