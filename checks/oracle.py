@@ -402,6 +402,10 @@ ORACLE = {
     "scan_stations": pick("stations", STATIONS),
     "csv_to_parquet": pick("states", STATES),
     "csv_roundtrip": pick("stations", STATIONS),
+    "dq_csv": " UNION ALL ".join(
+        f"SELECT '{c}' AS rule, (SELECT count(*) FROM states WHERE {w}) AS violations"
+        for c, w in (("velocity", "spi"), ("snapshot_ts", "spi"), ("squawk", "false"), ("latitude", "false"))
+    ),
     "stations_from_airports": pick("stations", STATIONS, "ORDER BY station_id"),
     "parse_snapshots": pick("states", STATES),
     "dedup_snapshots": pick("first_arrivals", STATES),
@@ -477,7 +481,8 @@ ORACLE = {
     ),
     "map_positions": pick(
         "points",
-        "icao24 snapshot_ts latitude longitude height velocity true_track on_ground vertical_rate flight_phase",
+        "icao24 callsign=trim(callsign) origin_country snapshot_ts latitude longitude height velocity true_track on_ground"
+        " vertical_rate flight_phase",
         "QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY snapshot_ts DESC) = 1",
     ),
     "traffic_by_minute": pick(

@@ -91,6 +91,15 @@ def csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, STATIONS)
 
 
+@query
+def dq_csv(spark, sf_dir):
+    """Values of an extract that do not fit their columns."""
+    path = scratch_path(spark, "csv")
+    wrong = {"velocity": F.when(F.col("spi"), "fast").otherwise(F.col("velocity").cast("string")), "snapshot_ts": F.when(F.col("spi"), "1e3x").otherwise(F.col("snapshot_ts").cast("string"))}
+    files.write_csv(fx.states(spark, sf_dir).withColumns(wrong), path)
+    return files.unfit_values(spark, path, STATES).where("rule IN ('velocity', 'snapshot_ts', 'squawk', 'latitude')")
+
+
 @query
 def q_stations_from_airports(spark, sf_dir):
     path = scratch_path(spark, "airports")

@@ -60,6 +60,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return text.select(*[_typed(f.name, f.dataType) for f in schema])
 
 
+def unfit_values(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(rule, violations): how many values of each column of a CSV do not fit its type."""
+    text = spark.read.csv(path, header=True, inferSchema=False)
+    lost = {f.name: F.col(f"`{f.name}`").isNotNull() & (F.lower(f"`{f.name}`") != "nan") & _typed(f.name, f.dataType).isNull() for f in schema}
+    counts = text.agg(*[F.count_if(broken).alias(name) for name, broken in lost.items()])
+    return counts.unpivot([], list(lost), "rule", "violations")
+
+
 def _typed(name: str, kind: T.DataType) -> Column:
     column = F.col(f"`{name}`")
     if isinstance(kind, T.DoubleType):

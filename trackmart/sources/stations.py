@@ -15,7 +15,8 @@ STATION_TYPES = ["large_airport", "medium_airport"]
 def read_airports(spark: SparkSession, path: str) -> DataFrame:
     """A landed world airport CSV (header, quoted fields that may hold line breaks).
 
-    Columns are taken by name, so the file may carry more of them in any order.
+    Columns are taken by name, so the file may carry more of them in any order. Fields with
+    line breaks mean that one task reads a file; it is as long as the world has airports.
     """
     text = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True, inferSchema=False)
     return text.select(*[F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name) for f in AIRPORTS])
