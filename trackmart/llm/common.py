@@ -186,13 +186,23 @@ def encoded_rows(batch: pa.RecordBatch, encode: WordEncoder, at_once: int = 2000
         yield from zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist()), strict=True)
 
 
+def _worker_state() -> dict[str, WordEncoder]:
+    return sys.modules.setdefault("trackmart_worker_state", ModuleType("trackmart_worker_state")).__dict__.setdefault("encoders", {})
+
+
+def drop_encoders() -> None:
+    _worker_state().clear()
+
+
 def tokenizer_encoder(path: str) -> WordEncoder:
     """Encoder for a vocabulary file of the tokenizers library; special strings are text.
 
-    A worker process keeps it, with the words it knows, from task to task.
+    A worker process keeps it, with the words it knows, from task to task; other operators'
+    tasks that need the memory call ``drop_encoders``.
     """
-    kept = sys.modules.setdefault("trackmart_worker_state", ModuleType("trackmart_worker_state")).__dict__
+    kept = _worker_state()
     if path not in kept:
+        kept.clear()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         kept[path] = WordEncoder(path)
     return kept[path]

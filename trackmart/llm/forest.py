@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import texts, written
+from trackmart.llm.common import drop_encoders, texts, written
 from trackmart.llm.graph import connected_components
 from trackmart.llm.repeats import Filter, Hashes
 
@@ -114,6 +114,7 @@ def members(source: DataFrame, words: int = WORDS, trees: int = TREES, length: i
     list_type = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
@@ -145,6 +146,7 @@ def shingle_sets(source: DataFrame, wanted: Filter, words: int = WORDS) -> DataF
     """``set_key, shingles`` of the texts whose sets may be wanted, once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         sent: set[bytes] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
@@ -258,6 +260,7 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD, block_nodes: int = B
     rows = met.select(shard.alias("shard"), "met.*", "node", "copies", "component", "bucket", "block", "shingles")
 
     def run(group: pa.Table) -> pa.Table:
+        drop_encoders()
         return _verify(group, threshold)
 
     return rows.groupBy("shard", "b1", "i1", "b2", "i2").applyInArrow(run, VERIFIED)
