@@ -12,17 +12,28 @@ from pyspark.sql import functions as F
 from trackmart.llm.common import written
 
 
+# A node may have a large part of all edges: its edges are joined in this many parts.
+PARTS = 8
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``edges`` with ``least`` of their node ``a``."""
+    dealt = edges.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(PARTS)))
+    every = least.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    return dealt.join(every, ["a", "part"]).drop("part")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of every node point to its least neighbour or itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return _with_least(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of every node, and the node itself, point to the least of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    moved = _with_least(edges, least).select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.select("a", F.col("least").alias("b"))).filter("a <> b").distinct()
 
 
