@@ -283,8 +283,9 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     joined = connected_components(checked.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")).distinct())
     labelled = nodes.select("set_key", "node", "first_doc", "copies").join(joined, "node", "left").join(links, "node", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "node"))
-    classes = labelled.groupBy("label").agg(F.min("first_doc").alias("class_id"))
+    # both stored, so that the join is between plain tables and a hot class can be split
+    labelled = written(labelled.withColumn("label", F.coalesce("label", "node")), "labelled")
+    classes = written(labelled.groupBy("label").agg(F.min("first_doc").alias("class_id")), "classes")
     of_set = labelled.join(classes, "label").select("set_key", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
     return every.select("doc_id", "set_key").join(of_set, "set_key", "left").select(
         "doc_id",
