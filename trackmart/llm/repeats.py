@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import slices, texts, written
+from trackmart.llm.common import drop_encoders, slices, texts, written
 
 LENGTH, GRAM = 200, 50
-PART = 1 << 20  # bytes that are hashed at once
-SHARD_BYTES = 1 << 20
+PART = 1 << 19  # bytes that are hashed at once
+SHARD_BYTES = 1 << 19
+SHARDS_PER_TASK = 8
 SPLIT = 2000  # distinct pieces of one anchor in one shard
 FILTER_BITS = 28  # the filter of repeated anchors has at most 2**28 bits
 
@@ -143,6 +144,7 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     """``anchor, several``: anchors that occur twice or more, and whether in different pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         for batch in slices(batches, 2000):
             found = [pieces(raw, ends)[:2] for raw, ends, _, _ in _parts(_text_bytes(batch))]
             if found:
@@ -179,16 +181,18 @@ class Filter:
         return out
 
 
-OCCURRENCE = "anchor long, piece long, text_key binary, first int, strings int, content binary"
+OCCURRENCE = "anchor long, piece long, text_key binary, firsts array<int>, strings int, content binary"
 
 
 def occurrences(docs: DataFrame, repeated: Filter, several: Filter) -> DataFrame:
     """Pieces with possibly repeated anchors: in which text, where, how many strings; the bytes
-    come along once a task where pieces of one anchor may differ. Copies of a text give one row
-    a batch, with a second row to mark that there are more."""
+    come along once a task where pieces of one anchor may differ. A piece that a text holds many
+    times is one row. Copies of a text give one row a batch, with a second one to mark that there
+    are more."""
     names = [f.split()[0] for f in OCCURRENCE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         sent: set[tuple[int, int]] = set()
         for batch in slices(batches, 2000):
             every = _text_bytes(batch)
@@ -202,24 +206,29 @@ def occurrences(docs: DataFrame, repeated: Filter, several: Filter) -> DataFrame
             chosen, keys = [every[i] for i in some], [keys[i] for i in some]
             for raw, ends, numbers, begins in _parts(chosen):
                 anchor, piece, first, last = pieces(raw, ends)
-                kept = repeated(anchor)
-                anchor, piece, first, last = anchor[kept], piece[kept], first[kept], last[kept]
-                if not len(anchor):
+                kept = np.flatnonzero(repeated(anchor))
+                if not len(kept):
                     continue
-                contents: list[bytes | None] = [None] * len(anchor)
-                for i in np.flatnonzero(several(anchor)).tolist():
+                part = np.searchsorted(ends, first, side="right")
+                kept = kept[np.lexsort((first[kept], piece[kept], anchor[kept], part[kept]))]
+                anchor, piece, first, last, part = (x[kept] for x in (anchor, piece, first, last, part))
+                new = np.append(True, (anchor[1:] != anchor[:-1]) | (piece[1:] != piece[:-1]) | (part[1:] != part[:-1]))
+                head = np.flatnonzero(new)
+                contents: list[bytes | None] = [None] * len(head)
+                for k in np.flatnonzero(several(anchor[head])).tolist():
+                    i = head[k]
                     name = (int(anchor[i]), int(piece[i]))
                     if name not in sent:
                         sent.add(name)
-                        contents[i] = raw[first[i] : last[i] + LENGTH].tobytes()
-                part = np.searchsorted(ends, first, side="right")
-                start = np.append(0, ends[:-1])[part]
+                        contents[k] = raw[first[i] : last[i] + LENGTH].tobytes()
+                within = (first - np.append(0, ends[:-1])[part] + begins[part]).astype(np.int32)
+                offsets = np.append(head, len(anchor)).astype(np.int32)
                 columns = [
-                    _signed(anchor),
-                    _signed(piece),
-                    pa.array([keys[n] for n in numbers[part]], pa.binary()),
-                    pa.array((first - start + begins[part]).astype(np.int32)),
-                    pa.array((last - first + 1).astype(np.int32)),
+                    _signed(anchor[head]),
+                    _signed(piece[head]),
+                    pa.array([keys[n] for n in numbers[part[head]]], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(within)),
+                    pa.array((last - first + 1)[head].astype(np.int32)),
                     pa.array(contents, pa.binary()),
                 ]
                 yield pa.record_batch(columns, names=names)
@@ -277,13 +286,16 @@ def suffix_array(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.
     return order, place
 
 
-def common_prefixes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray, place: np.ndarray, most: int = LENGTH) -> np.ndarray:
+def common_prefixes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray, place: np.ndarray, most: int = LENGTH, least: int = 1) -> np.ndarray:
     """Kasai's method, for all texts side by side: for each place of the order, how many symbols
-    its suffix shares with the one before, up to ``most``. ``starts`` are those of the texts."""
+    its suffix shares with the one before, up to ``most``. ``starts`` are those of the texts.
+    Suffixes of less than ``least`` symbols are not looked at and have 0."""
     n = len(symbols)
     out = np.zeros(n, dtype=np.int64)
     at, h = starts.copy(), np.zeros(len(starts), dtype=np.int64)
-    stop = ends[starts]
+    stop = ends[starts] - least + 1
+    on = at < stop
+    at, h, stop = at[on], h[on], stop[on]
     while len(at):
         mine = place[at]
         other = np.where(mine > 0, order[mine - 1], at)
@@ -310,7 +322,7 @@ def repeated_strings(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.
     stops = np.cumsum(sizes)
     ends = np.repeat(stops, sizes)
     order, place = suffix_array(symbols, ends)
-    shared = common_prefixes(symbols, stops - sizes, ends, order, place)
+    shared = common_prefixes(symbols, stops - sizes, ends, order, place, least=LENGTH)
     reach = np.maximum(shared, np.append(shared[1:], 0)) >= LENGTH
     flags = np.zeros(len(symbols), dtype=bool)
     flags[order[reach]] = True
@@ -340,9 +352,10 @@ def _shard_strings(contents: list[bytes]) -> list[np.ndarray]:
     return [hashes[stop - len(c) : stop - LENGTH + 1] for stop, c in zip(stops, contents, strict=True)]
 
 
-def shared_ranges(content: DataFrame) -> DataFrame:
+def shared_ranges(content: DataFrame, tasks: int) -> DataFrame:
     """``anchor, piece, ranges``: strings that other pieces hold too. ``content`` has distinct
-    pieces with ``shard`` and ``split``, true where an anchor has several shards."""
+    pieces with ``shard`` and ``split``, true where an anchor has several shards; they are dealt
+    to ``tasks`` tasks."""
 
     def within(group: pa.Table) -> pa.Table:
         flags = _shard_flags(group.column("content").to_pylist())
@@ -367,7 +380,7 @@ def shared_ranges(content: DataFrame) -> DataFrame:
         return pa.table([group.column("anchor"), group.column("piece"), pa.array(out, _RANGE_TYPE)], names=["anchor", "piece", "ranges"])
 
     schema = f"anchor long, piece long, ranges {RANGES}"
-    whole = content.filter("NOT split").groupBy("shard").applyInArrow(within, schema)
+    whole = content.filter("NOT split").repartition(tasks, "shard").groupBy("shard").applyInArrow(within, schema)
     divided = content.filter("split")
     exported = divided.groupBy("shard").applyInArrow(strings, "shard long, string long")
     both = exported.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
@@ -385,11 +398,12 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     several = Filter(anchors.filter("several"), "anchor", sizes["several"])
     found = written(occurrences(source, repeated, several), "occurrences")
 
-    counts = found.groupBy("anchor", "piece").agg(F.count("*").alias("n"))
+    counts = found.groupBy("anchor", "piece").agg(F.sum(F.size("firsts")).alias("n"))
     # an anchor matters if it has several pieces, some of them only once
-    per_anchor = counts.groupBy("anchor").agg(F.count("*").alias("pieces"), F.min("n").alias("least")).filter("pieces > 1 AND least = 1").drop("least")
+    per_anchor = counts.groupBy("anchor").agg(F.count("*").alias("pieces"), F.min("n").alias("least"))
+    wanted = written(per_anchor.filter("pieces > 1 AND least = 1").drop("least"), "contested-anchors")
     bytes_ = found.filter("content IS NOT NULL").select("anchor", "piece", "content").dropDuplicates(["anchor", "piece"])
-    contested = written(bytes_.join(per_anchor, "anchor"), "contested")
+    contested = written(bytes_.join(wanted, "anchor"), "contested")
     volume = contested.agg(F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("size")).first()["size"]
     shards = max(1, -(-volume // SHARD_BYTES))
     parts = F.ceil(F.col("pieces") / SPLIT)
@@ -398,15 +412,20 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     # a part of a split anchor is a shard by itself; other anchors share shards
     shard = F.when(split, F.xxhash64("anchor", salt)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     dealt = contested.select("anchor", "piece", "content", shard.alias("shard"), split.alias("split"))
-    ranges = shared_ranges(dealt).filter(F.size("ranges") > 0)
-
-    copies = counts.filter("n > 1").select("anchor", "piece", F.lit(True).alias("whole"))
-    marked = found.select("anchor", "piece", "text_key", "first", "strings").join(copies, ["anchor", "piece"], "left")
-    marked = marked.join(ranges, ["anchor", "piece"], "left").filter("whole OR ranges IS NOT NULL")
-    entire = F.array(F.struct(F.lit(0).alias("first"), (F.col("strings") - 1).alias("last")))
-    spans = marked.select("text_key", "first", F.explode(F.when(F.col("whole"), entire).otherwise(F.col("ranges"))).alias("r"))
-    placed = spans.select("text_key", (F.col("first") + F.col("r.first")).alias("first"), (F.col("first") + F.col("r.last")).alias("last"))
-    return placed.distinct().groupBy("text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    ranges = shared_ranges(dealt, max(1, shards // SHARDS_PER_TASK)).filter(F.size("ranges") > 0)
+
+    # stored, so that the join below is between two plain tables and hot pieces can be split
+    whole = F.array(F.struct(F.lit(0).alias("first"), F.lit(-1).alias("last")))  # up to the piece's last string
+    copies = counts.filter("n > 1").select("anchor", "piece", whole.alias("ranges"))
+    status = written(copies.unionByName(ranges), "status")
+    marked = found.select("anchor", "piece", "text_key", "firsts", "strings").join(status, ["anchor", "piece"])
+
+    def placed(first):
+        last = lambda r: F.when(r["last"] < 0, F.col("strings") - 1).otherwise(r["last"])
+        return F.transform("ranges", lambda r: F.struct((first + r["first"]).alias("first"), (first + last(r)).alias("last")))
+
+    spans = marked.select("text_key", F.flatten(F.transform("firsts", placed)).alias("spans")).distinct()
+    return spans.groupBy("text_key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def covered(spans: list[dict[str, int]], size: int) -> list[tuple[int, int]]:
