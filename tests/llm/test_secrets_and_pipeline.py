@@ -66,6 +66,28 @@ def test_literals_by_the_names_they_reach(text, names):
     assert {s.name for s in secret_scan.scan(text) if s.kind == "literal"} == names
 
 
+@pytest.mark.parametrize(
+    "text,names",
+    [
+        (f'{"settings." * 9}db_pwd = "{SECRET}"', {"settings." * 9 + "db_pwd"}),
+        (f'{"a" * 90} = "{SECRET}"\ndb_pwd = {"a" * 90}', {"db_pwd"}),
+        (f'conf["{"part." * 20}db_pwd"] = "{SECRET}"', {"part." * 20 + "db_pwd"}),
+        (f'db_pwd = """{SECRET}"""', {"db_pwd"}),
+        (f"db_pwd = '''\\\n  {SECRET}\n'''\ntitle = 'x'", {"db_pwd"}),
+        (f'DBPassphrase = "{SECRET}"', {"DBPassphrase"}),
+        (f'userpwd = "{SECRET}"', {"userpwd"}),
+        (f'connectionString = "{SECRET}"', {"connectionString"}),
+        (f'compass = "{SECRET}"', set()),
+        (f'monkey_label = """{SECRET}"""', set()),
+        ('db_pwd = """"""', set()),
+    ],
+)
+def test_long_names_triple_quotes_and_glued_names(text, names):
+    found = [s for s in secret_scan.scan(text) if s.kind == "literal"]
+    assert {s.name for s in found} == names
+    assert all(text[s.value_start : s.value_end] == SECRET for s in found)
+
+
 def test_redaction(spark):
     docs = documents(spark, [None, EXTRA[0], EXTRA[4], PROSE])
     got = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}

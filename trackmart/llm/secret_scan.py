@@ -39,17 +39,27 @@ SENSITIVE = {
     "credentials": 1.0, "creds": 1.0, "auth": 0.7, "authorization": 0.8, "signature": 0.6, "salt": 0.6, "key": 0.5,
     "webhook": 0.6, "connectionstring": 0.8, "dsn": 0.7,
 }
+LENGTHS = sorted({len(word) for word in SENSITIVE})
+# Words that only end like a sensitive one.
+ORDINARY = {
+    "compass", "encompass", "bypass", "surpass", "trespass", "overpass", "underpass", "monkey", "donkey", "turkey",
+    "hockey", "jockey", "whiskey", "hotkey", "lackey", "basalt",
+}
 SHARPENING = {"api", "access", "private", "secret", "encryption", "signing", "auth", "client", "master", "license", "ssh", "account"}
 BLUNTING = {"file", "path", "url", "uri", "name", "id", "count", "length", "len", "size", "type", "field", "label", "hint", "policy", "limit", "expiry", "ttl", "public"}
-HINT = re.compile("pass|pw|secret|token|bearer|jwt|key|cred|auth|signature|salt|webhook|connection|dsn", re.IGNORECASE)
+HINT = re.compile(r"pass|pw|secret|token|bearer|jwt|key|cred|auth|signature|salt|web[\W_]?hook|connection|dsn", re.IGNORECASE)
 PLACEHOLDER = re.compile(r"^(?:<.*>|\$?\{.*\}|%\(?\w+\)?s?|x+|\*+|\.+|your[-_ ].*|changeme|example.*|none|null|true|false|undefined)$", re.IGNORECASE)
 
 TARGET = re.compile(
-    r"""(?<![\w.$-])(?P<quote>["'`]?)(?P<name>[A-Za-z_$][\w.$-]{0,80})(?P=quote)(?:\[["'](?P<item>[\w.-]{1,80})["']\])?[ \t]*"""
+    r"""(?<![\w.$-])(?P<quote>["'`]?)(?P<name>[A-Za-z_$][\w.$-]*+)(?P=quote)(?:\[["'](?P<item>[\w.-]++)["']\])?[ \t]*"""
     r"""(?P<sign>:=|=>|:[ \t]*[A-Za-z_][\w\[\], ]{0,40}=|=(?![=~])|:(?!:))[ \t]*"""
 )
-STRING = re.compile(r"""[rbfuRBFU]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`((?:[^`\\\n]|\\.)*)`)""")
-NAME = re.compile(r"[A-Za-z_$][\w.$]{0,80}")
+STRING = re.compile(
+    r"""[rbfuRBFU]{0,2}(?:\"{3}(?P<three>(?:[^"\\]++|\\[\s\S]|"(?!""))*+)\"{3}|'{3}(?P<triple>(?:[^'\\]++|\\[\s\S]|'(?!''))*+)'{3}"""
+    r"""|"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`((?:[^`\\\n]|\\.)*)`)"""
+)
+MARGIN = re.compile(r"(?:\\?\s)*+")  # white space and continued lines at the start of a triple-quoted string
+NAME = re.compile(r"[A-Za-z_$][\w.$]*+")
 JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&|\|\|)[ \t]*\n?[ \t]*")
 BARE = re.compile(r"[^\s\"'`,;#]+(?=[ \t]*(?:[;,#]|$))", re.MULTILINE)
 LINE_START = re.compile(r"[ \t]*(?:-[ \t]+)?(?:(?:export|set|setenv|env|ENV|ARG)[ \t]+)?(?:--?)?$")
@@ -65,11 +75,25 @@ class Span(NamedTuple):
     score: float
 
 
+def _words(parts: list[str]) -> Iterator[str]:
+    """The sensitive words in a name's parts: parts, their ends, and neighbouring parts joined."""
+    for i, part in enumerate(parts):
+        if part not in ORDINARY:
+            yield from (part[-n:] for n in LENGTHS if part[-n:] in SENSITIVE)
+        joined = part
+        for other in parts[i + 1 : i + LENGTHS[-1]]:
+            joined += other
+            if len(joined) > LENGTHS[-1] or min(len(part), len(other)) < 2:
+                break
+            if joined in SENSITIVE:
+                yield joined
+
+
 def name_score(name: str) -> float:
     """How sensitive a target's name is, from its parts; the last dotted part counts."""
-    spaced = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name.rsplit(".", 1)[-1])
+    spaced = re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name.rsplit(".", 1)[-1])
     parts = [p.lower() for p in re.split(r"[^A-Za-z0-9]+", spaced) if p]
-    found = [SENSITIVE[p] for p in parts if p in SENSITIVE]
+    found = [SENSITIVE[w] for w in _words(parts)]
     if not found:
         return 0.0
     score = max(found)
@@ -97,7 +121,11 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
         at = match.end()
         while True:
             if string := STRING.match(text, at):
-                literals.append(string.span(string.lastindex))
+                start, end = string.span(string.lastindex)
+                if string.lastgroup:  # triple quotes
+                    start = MARGIN.match(text, start, end).end()
+                    end = start + len(text[start:end].rstrip())
+                literals.append((start, end))
                 at = string.end()
             elif setting and not literals and not used and (bare := BARE.match(text, at)):
                 (used if NAME.fullmatch(bare[0]) else literals).append(bare[0] if NAME.fullmatch(bare[0]) else bare.span())
