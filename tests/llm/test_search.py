@@ -47,6 +47,17 @@ def test_few_and_none(spark):
     assert rows(topk.top_k(table(spark, []), F.col("vec_id") % 50 == 0)) == []
 
 
+@pytest.mark.parametrize("large", [1e5, 3e6, 1e9, 1e37])
+def test_large_components_cost_no_result(spark, large):
+    rng = np.random.default_rng(5)
+    vectors = [(i, rng.normal(0, 1, 8).astype(np.float32).tolist()) for i in range(200)]
+    vectors += [(i, [large * x for x in v]) for i, v in vectors[:3]] + [(250, [-large] * 8), (251, [large] * 8), (252, [large] * 8), (251, [large] * 8)]
+    expected = [(q, rank, i, s if -(2**63) <= s < 2**63 else None) for q, rank, i, s in brute_force(vectors, 5)]
+    got = topk.top_k(table(spark, vectors), F.col("vec_id") % 50 == 0)
+    by_rank = [sorted(e, key=lambda r: (*r[:3], str(r[3]))) for e in ([tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()], expected)]
+    assert by_rank[0] == by_rank[1]
+
+
 def test_bounds_spare_most_candidates():
     rng = np.random.default_rng(4)
     centres = rng.normal(0, 300, (20, 16))
