@@ -587,8 +587,8 @@ def daily_run_tables(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------
 
 
-def _drain(writer, spark) -> None:
-    stream = writer.option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start()
+def _drain(writer, spark, checkpoint=None) -> None:
+    stream = writer.option("checkpointLocation", checkpoint or scratch_path(spark, "stream")).trigger(availableNow=True).start()
     stream.awaitTermination()
 
 
@@ -634,11 +634,11 @@ def stream_nearest(spark, sf_dir):
 
 @query
 def stream_upsert(spark, sf_dir):
-    """On top of a daily version, with batches that land out of order."""
-    dim, source, path = (scratch_path(spark, n) for n in ("dim", "landing", "ingested"))
+    """On top of a daily version, with batches that land out of order: each third is one batch."""
+    dim, source, path, state = (scratch_path(spark, n) for n in ("dim", "landing", "ingested", "stream"))
     files.write_version(fx.previous_dim_flight(fx.sightings(spark, sf_dir)), dim)
     lines = fx.payloads(spark, sf_dir).withColumn("part", F.expr("(snapshot_ts div 20) % 90 div 30"))
     for part in (2, 0, 1):
-        lines.where(F.col("part") == part).coalesce(1).select("value").write.text(f"{source}/{part}")
-    _drain(ingest.ingest(ingest.landed_payloads(spark, source, max_files=1), path, ingest.upsert_step(dim, fx.AS_OF)), spark)
+        lines.where(F.col("part") == part).select("value").write.text(f"{source}/{part}")
+        _drain(ingest.ingest(ingest.landed_payloads(spark, source), path, ingest.upsert_step(dim, fx.AS_OF)), spark, state)
     return files.read_version(spark, dim, DIM_FLIGHT)

@@ -1,15 +1,19 @@
 import json
 import time
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
+from checks.compare import DATA
 from trackmart.operators.enrich import clean_points, enrich_points, enrich_stations
 from trackmart.operators.marts import time_agg
 from trackmart.operators.nearest import nearest_station
 from trackmart.operators.versions import current_facts
 from trackmart.plans import live
+from trackmart.runtime import scratch_path
 from trackmart.schemas import DIM_FLIGHT, STATIONS, TIME_AGG, TIME_KEY
 from trackmart.sources.files import read_store, read_version, versions_of, write_version
 from trackmart.sources.snapshots import parse_snapshots
@@ -129,6 +133,20 @@ def test_upsert_goes_on_from_a_daily_version_in_any_order(spark, tmp_path):
     assert {r.icao24: r.callsign for r in read_version(spark, dim, DIM_FLIGHT).collect()} == expected
 
 
+def test_the_upsert_query_writes_its_landing_files_in_many_tasks(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: made.setdefault(name, scratch_path(spark, name)))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        queries.QUERIES["stream_upsert"](spark, f"{DATA}/sf0.01").collect()
+    finally:
+        spark.conf.set(coalesce, before)
+    assert all(len(list(Path(made["landing"].removeprefix("file:"), part).glob("part-*"))) > 1 for part in "201")
+    assert versions_of(spark, made["dim"]) == [1, 2, 3, 4]  # one batch a part, whatever its files
+
+
 def test_a_repeated_aircraft_stops_the_stream(spark, tmp_path):
     landing, dim = tmp_path / "landing", str(tmp_path / "dim")
     land(landing, "1.json", (START, [vector("a"), vector("a")]))
