@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm import bpe, forest, gam, lm, packing, repeats, rules, secret_scan, tokenfile, topk
+from trackmart.llm import alignment, bpe, forest, gam, lexical, lines, lm, packing, repeats, rules, secret_scan, tokenfile, topk
 from trackmart.llm.common import table
 from trackmart.runtime import scratch_path
 
@@ -114,6 +114,59 @@ def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLES["op11_best_position"] = """
+    WITH d AS (
+        SELECT row_number() OVER () AS row_id, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS terms
+        FROM documents),
+    b AS (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+        FROM benchmark),
+    asked AS (SELECT item_id, term, count(*) AS times FROM b GROUP BY ALL),
+    size AS (SELECT count(*) FILTER (len(terms) > 0) AS docs, sum(len(terms))::BIGINT AS total FROM d),
+    held AS (
+        SELECT row_id, doc_id, len(terms) AS n, term, count(*) AS tf
+        FROM (SELECT row_id, doc_id, terms, unnest(terms) AS term FROM d) SEMI JOIN asked USING (term) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held, size GROUP BY term),
+    scored AS (
+        SELECT item_id, row_id, doc_id,
+               sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+        FROM held JOIN w USING (term) JOIN asked USING (term), size GROUP BY ALL)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 10"""
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.drop_frequent_lines(table(spark, sf_dir, "documents"), min_documents=10, min_chars=1)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op12_line_dedup"] = """
+    WITH l AS (
+        SELECT row_id, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+        FROM (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+    k AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+    marked AS (SELECT k.*, often.key IS NOT NULL AS gone FROM k LEFT JOIN often USING (key))
+    SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY row_id"""
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), *files)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
