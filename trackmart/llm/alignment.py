@@ -34,20 +34,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import slices, texts, tokenizer_encoder, written
+from trackmart.llm.common import drop_encoders, slices, texts, tokenizer_encoder, written
 from trackmart.runtime import broadcast_if_small
 
 HOT_PAIRS = 1 << 20
-LINK_ROWS = 1 << 20
-TEXT_CHARS = 1 << 19  # characters of the texts aligned at a time
+LINK_ROWS = 1 << 18  # of the documents aligned at a time, and of a stored row
+KNOWN_WORDS = 200_000  # words of which an encoder remembers the ids
+PARTIAL_ROWS = 1 << 20  # of the partial counts of a task
+TEXT_CHARS = 1 << 18  # characters of the texts aligned at a time
+ID_BITS = 26  # of a token id, where a document's place and two ids are one key
+ID_MASK = (1 << ID_BITS) - 1
 
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 _ROW = [("doc_id", pa.int64()), ("text_1", pa.int64()), ("text_2", pa.int64()), ("chunk", pa.int32())]
 _ROW += [(c, pa.int64()) for c in _COUNTS] + [("groups", pa.string())]
-_ROW += [("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))]
+_ROW += [("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]
 _ROW_DDL = (
     "doc_id long, text_1 long, text_2 long, chunk int, n_a long, n_b long, n_groups long, n_links long, "
-    "groups string, a array<int>, b array<int>, n array<long>"
+    "groups string, a array<int>, b array<int>, n array<int>"
 )
 _KEY = ["text_1", "text_2"]
 
@@ -88,8 +92,9 @@ class Side:
     def text(self, doc: int) -> memoryview:
         return memoryview(self.spelled or b"").cast("B")[self.starts[doc] : self.starts[doc + 1]]
 
-    def table(self, other: str) -> pa.Table:
-        return pa.table({"doc": self.parent, "end": self.end, f"place_{other}": np.arange(len(self.ids))})
+    def ends(self, name: str) -> pa.Table:
+        """Document and end of every token as one key, with the token's place."""
+        return pa.table({"document_end": (self.parent.to_numpy() << 32) + self.end, name: np.arange(len(self.ids))})
 
 
 def lists(values: list[np.ndarray]) -> pa.ListArray:
@@ -115,38 +120,64 @@ def align(raw: list[str], a_ids: list[np.ndarray], b_ids: list[np.ndarray], a_to
     if not all(whole):
         sides = tuple(Side(lists([x if w else x[:0] for x, w in zip(ids, whole)]), t) for ids, t in ((a_ids, a_tokens), (b_ids, b_tokens)))
     a, b = sides
-    cuts = a.table("a").join(b.table("b"), ["doc", "end"], join_type="inner", use_threads=False)
+    cuts = a.ends("place_a").join(b.ends("place_b"), "document_end", join_type="inner", use_threads=False)
     groups = []
     for side, place in ((a, "place_a"), (b, "place_b")):
         cut = np.zeros(len(side.ids), dtype=np.int64)
         cut[cuts[place].to_numpy()] = 1
         groups.append(pc.cumulative_sum(pa.array(cut)).to_numpy() - cut if len(cut) else cut)
-    n_groups = np.bincount(cuts["doc"].to_numpy(), minlength=len(raw))
+    n_groups = np.bincount(cuts["document_end"].to_numpy() >> 32, minlength=len(raw))
     all_groups = int(n_groups.sum())
     group_doc = np.repeat(np.arange(len(raw)), n_groups)
     n_of = [np.bincount(g, minlength=all_groups) for g in groups]
-    n_links = np.bincount(group_doc, weights=None, minlength=len(raw)) * 0
-    np.add.at(n_links, group_doc, n_of[0] * n_of[1])
+    before = np.concatenate([[0], np.cumsum(n_of[0] * n_of[1])])
+    n_links = np.diff(before[np.concatenate([[0], np.cumsum(n_groups)])])
     named = pc.binary_join_element_wise(*[_joined(s.ids.cast(pa.string()), n, ",") for s, n in zip(sides, n_of)], "|")
     listed = _joined(named, n_groups, ";").to_pylist()
     counts = [np.bincount(s.parent.to_numpy(), minlength=len(raw)) for s in sides]
-    return [*counts, n_groups, n_links], listed, _links(a, b, groups, group_doc, all_groups, link_rows)
+    return [*counts, n_groups, n_links], listed, _links(a, b, groups, group_doc, n_of, link_rows)
 
 
-def _links(a: Side, b: Side, groups: list[np.ndarray], group_doc: np.ndarray, n_groups: int, link_rows: int) -> Iterator[pa.Table]:
+def _links(a: Side, b: Side, groups: list[np.ndarray], group_doc: np.ndarray, n_of: list[np.ndarray], link_rows: int) -> Iterator[pa.Table]:
+    """Groups of one token each give a link as they are. Of all others the distinct ids of both
+    sides, with their numbers, meet in a join on the group."""
+    pairs = (n_of[0] == 1) & (n_of[1] == 1)
+    alone = [s.ids.to_numpy()[pairs[g]] for s, g in ((a, groups[0]), (b, groups[1]))]
     per_a, per_b = (
-        pa.table({"group": g, name: s.ids}).group_by(["group", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(["group", name, f"n_{name}"])
-        for s, g, name in ((a, groups[0], "a"), (b, groups[1], "b"))
+        pa.table({"key": (g[~pairs[g]] << 32) + s.ids.to_numpy()[~pairs[g]]}).group_by("key", use_threads=False).aggregate([([], "count_all")])
+        for s, g in ((a, groups[0]), (b, groups[1]))
     )
-    doc, ids = group_doc[per_a["group"].to_numpy()], per_a["a"].to_numpy()
-    order = np.lexsort((ids, doc))
-    per_a, doc, ids = per_a.take(pa.array(order)), doc[order], ids[order]
-    grown = np.bincount(per_b["group"].to_numpy(), minlength=n_groups)[per_a["group"].to_numpy()]
+    group = [t["key"].to_numpy() >> 32 for t in (per_a, per_b)]
+    ids_a, ids_b = (t["key"].to_numpy() & 0xFFFFFFFF for t in (per_a, per_b))
+    per_b = pa.table({"group": group[1], "b": ids_b, "n_b": per_b["count_all"]})
+    # rows of A: single links, and ids that grow by the distinct B ids of their group
+    doc = np.concatenate([group_doc[pairs], group_doc[group[0]]])
+    ids = np.concatenate([alone[0], ids_a])
+    grown = np.concatenate([np.ones(len(alone[0]), dtype=np.int64), np.bincount(group[1], minlength=len(pairs))[group[0]]])
+    n_a, single = per_a["count_all"].to_numpy(), len(alone[0])
+
+    def links(rows: np.ndarray) -> pa.Table:
+        one, more = rows[rows < single], rows[rows >= single] - single
+        grouped = pa.table({"group": group[0][more], "head": (group_doc[group[0][more]] << 2 * ID_BITS) + (ids_a[more] << ID_BITS), "n_a": n_a[more]})
+        met = grouped.join(per_b, "group", join_type="inner", use_threads=False)
+        key = np.concatenate([(doc[one] << 2 * ID_BITS) + (ids[one].astype(np.int64) << ID_BITS) + alone[1][one], met["head"].to_numpy() + met["b"].to_numpy()])
+        n = np.concatenate([np.ones(len(one), dtype=np.int64), met["n_a"].to_numpy() * met["n_b"].to_numpy()])
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, n = key[first], np.add.reduceat(n, first)
+        return pa.table({"doc": key >> 2 * ID_BITS, "a": key >> ID_BITS & ID_MASK, "b": key & ID_MASK, "n": n})
+
     if not len(doc):
         return
+    if grown.sum() <= link_rows:
+        yield links(np.arange(len(doc)))
+        return
     # rows of one document and A id stay together; a document is cut by itself, so that copies are cut alike
-    begins = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (ids[1:] != ids[:-1])]))
-    sizes, of = np.add.reduceat(grown, begins), doc[begins]
+    order = np.lexsort((ids, doc))
+    doc_of, id_of, grown = doc[order], ids[order], grown[order]
+    begins = np.flatnonzero(np.concatenate([[True], (doc_of[1:] != doc_of[:-1]) | (id_of[1:] != id_of[:-1])]))
+    sizes, of = np.add.reduceat(grown, begins), doc_of[begins]
     before = np.cumsum(sizes) - sizes
     cut = (before - before[np.searchsorted(of, of)]) // link_rows
     units = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (cut[1:] != cut[:-1])]))
@@ -156,11 +187,7 @@ def _links(a: Side, b: Side, groups: list[np.ndarray], group_doc: np.ndarray, n_
         size += more
         if d != last and d >= 0 and size < link_rows:
             continue
-        part = per_a.slice(start, at - start).append_column("doc", pa.array(doc[start:at]))
-        met = part.join(per_b, "group", join_type="inner", use_threads=False)
-        met = met.append_column("n", pc.multiply(met["n_a"], met["n_b"]))
-        found = met.group_by(["doc", "a", "b"], use_threads=False).aggregate([("n", "sum")])
-        yield found.rename_columns(["doc", "a", "b", "n"]).sort_by([("doc", "ascending"), ("a", "ascending"), ("b", "ascending")])
+        yield links(order[start:at])
         start, size = at, 0
 
 
@@ -184,6 +211,7 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, link_rows: int = LINK_ROW
         import sentencepiece
 
         encode = tokenizer_encoder(a_file)
+        encode.limit = KNOWN_WORDS
         pieces = sentencepiece.SentencePieceProcessor(model_file=b_file)
         a_tokens, b_tokens = byte_level_tokens(encode.tokenizer), piece_tokens(pieces)
         for batch in _portions(batches):
@@ -214,6 +242,7 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, link_rows: int = LINK_ROW
             without = np.flatnonzero(chunk == 0)
             if len(without):
                 yield rows(without, None)
+            pa.default_memory_pool().release_unused()
 
     source = texts(docs).withColumns({"text_1": F.xxhash64("text"), "text_2": F.xxhash64(F.lit(1), F.col("text"))})
     return source.mapInArrow(run, _ROW_DDL)
@@ -221,7 +250,8 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, link_rows: int = LINK_ROW
 
 def _flat_links(batch: pa.RecordBatch) -> pa.Table:
     """``row, a, b, n`` of every link."""
-    links = {c: pc.list_flatten(batch.column(c)) for c in ("a", "b", "n")}
+    links = {c: pc.list_flatten(batch.column(c)) for c in ("a", "b")}
+    links["n"] = pc.list_flatten(batch.column("n")).cast(pa.int64())
     return pa.table({"row": pc.list_parent_indices(batch.column("a")), **links})
 
 
@@ -229,6 +259,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     """``a, b, docs``: how many documents hold each linked pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         held, size = [], 0
 
         def merged() -> pa.Table:
@@ -239,10 +270,10 @@ def pair_counts(rows: DataFrame) -> DataFrame:
             some = links.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["a", "b", "docs"])
             held.append(some)
             size += some.num_rows
-            if size > 2 * LINK_ROWS:
+            if size > 2 * PARTIAL_ROWS:
                 held[:] = [merged()]
                 size = held[0].num_rows
-                if size > LINK_ROWS:
+                if size > PARTIAL_ROWS:
                     yield from held.pop().to_batches()
                     size = 0
         if held:
@@ -277,6 +308,7 @@ def align_tokens(
         return _flat_links(batch).join(sent.value[0], ["a", "b"], join_type="left outer", use_threads=False)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         for batch in slices(batches, 1000):
             links = met(batch).filter(pc.field("docs").is_valid()).join(sent.value[1], "a", join_type="inner", use_threads=False)
             is_best = pc.if_else(pc.equal(links["docs"], links["best"]), links["n"], 0)
