@@ -490,6 +490,17 @@ ORACLE = {
         ["time_window=make_timestamp(time_window * 1000000)", "points=count(*)", "aircraft=count(DISTINCT icao24)"],
         "GROUP BY points.time_window",
     ),
+    "time_agg_merged": pick("minutes", MINUTES),
+    "traffic_merged": pick(
+        "points",
+        ["time_window=make_timestamp(time_window * 1000000)", "points=count(*)", "aircraft=count(DISTINCT icao24)"],
+        "GROUP BY points.time_window",
+    ),
+    "traffic_by_hour": pick(
+        "points",
+        ["time_window=make_timestamp(time_window // 3600 * 3600000000)", "points=count(*)", "aircraft=count(DISTINCT icao24)"],
+        "GROUP BY points.time_window // 3600",
+    ),
     "traffic_by_country": pick(
         "points", ["origin_country", "points=count(*)", "aircraft=count(DISTINCT icao24)"], "GROUP BY origin_country"
     ),

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from checks import fixtures as fx
 from trackmart.functions import geo
 from trackmart.operators import dimensions as dims
-from trackmart.operators import enrich, marts, quality, versions
+from trackmart.operators import enrich, marts, partials, quality, versions
 from trackmart.operators.nearest import nearest_station as find_nearest
 from trackmart.operators.nearest import nearest_station_window, station_distance
 from trackmart.plans import daily, reports
@@ -319,6 +319,30 @@ def traffic_by_minute(spark, sf_dir):
     return reports.traffic_by_minute(fx.enriched(spark, sf_dir))
 
 
+def _parts(spark, sf_dir) -> DataFrame:
+    """Parts of three loads, stored apart."""
+    wide = fx.stored_wide(spark, sf_dir)
+    loads = [fx.stored(partials.minute_partials(wide.where(F.expr(f"snapshot_ts div 20 % 3 = {i}")))) for i in range(3)]
+    return reduce(DataFrame.unionByName, loads)
+
+
+@query
+def time_agg_merged(spark, sf_dir):
+    """From parts of several loads, without going back to the points."""
+    return partials.time_agg_of(_parts(spark, sf_dir), fx.AS_OF)
+
+
+@query
+def traffic_merged(spark, sf_dir):
+    """Distinct aircraft over all phases and loads, from bitmaps."""
+    return partials.traffic_of(_parts(spark, sf_dir))
+
+
+@query
+def traffic_by_hour(spark, sf_dir):
+    return partials.traffic_of(_parts(spark, sf_dir), 3600)
+
+
 @query
 def traffic_by_country(spark, sf_dir):
     return reports.traffic_by_country(fx.enriched(spark, sf_dir))

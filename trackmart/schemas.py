@@ -138,6 +138,17 @@ TIME_AGG = _struct(
     *[(f"avg_{name}", _DOUBLE) for name in ("height", "velocity", "mach", "r_to_station")],
 )
 
+# Parts of minute aggregates, which add up.
+MINUTE_PARTIALS = _struct(
+    ("minute", _LONG),
+    ("flight_phase", _STRING),
+    ("block", _LONG),
+    ("other", _STRING),
+    ("points", _LONG),
+    *[(f"{name}_{c}", kind) for c in ("height", "velocity", "mach", "r_to_station") for name, kind in (("sum", _DOUBLE), ("known", _LONG))],
+    ("aircraft", T.BinaryType()),
+)
+
 # Longest value each dimension attribute may hold.
 DIM_FLIGHT_LENGTHS = {"icao24": 6, "callsign": 16, "origin_country": 128}
 DIM_STATION_LENGTHS = {"station_id": 16, "name": 255, "station_type": 32}

@@ -5,6 +5,12 @@ the polls that are first for their snapshot, over the whole stream, and stored u
 the steps then work on the stored rows. A replayed batch writes the same folder again and every
 step is repeatable, so results do not depend on how lines are cut into batches, nor on the order
 in which batches arrive.
+
+What is remembered between batches is cut by time (``sources.slots``): the snapshots seen, by the
+hour, and the parts of minute aggregates, by ten minutes. A batch opens the slots it touches, so
+its cost does not grow with the age of the stream, and nothing is too late to be taken. Spark's
+own state for dropping repeats would take any poll of a batch, not the first one, and lose polls
+behind its watermark.
 """
 
 from __future__ import annotations
@@ -19,15 +25,16 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from trackmart.operators.dimensions import flight_dimension_input, newer_sightings, scd1_upsert
 from trackmart.operators.enrich import clean_points, enrich_points
-from trackmart.operators.marts import time_agg
 from trackmart.operators.nearest import nearest_station
+from trackmart.operators.partials import minute_partials, time_agg_of
 from trackmart.operators.quality import payload_rules, require, run_rules, state_rules
 from trackmart.runtime import broadcast_if_small, checkpointed
-from trackmart.schemas import DIM_FLIGHT, STATES, TIME_KEY
+from trackmart.schemas import DIM_FLIGHT, MINUTE_PARTIALS, STATES, TIME_KEY
 from trackmart.sources.files import append_facts, exists, read_version, write_version
+from trackmart.sources.slots import EPOCH, read_slots, slots_in, write_slots
 from trackmart.sources.snapshots import file_lines, first_polls, parse_snapshots, poll_time, with_arrival
 
-EPOCH = "epoch"
+HOUR, TEN_MINUTES = 3600, 600
 
 Step = Callable[[DataFrame, int], None]
 
@@ -61,8 +68,8 @@ def ingest(payloads: DataFrame, path: str, *steps: Step, by_name: bool = False)
     """Store the states of every first poll below ``path`` and hand each batch of them on.
 
     Of polls with one snapshot time the first wins whole: within a batch by arrival, between
-    batches the earlier batch. The snapshot times seen are a table of one row per snapshot.
-    Nothing is too late to be taken. Lines that are not JSON or have no time are set aside
+    batches the earlier batch. The snapshot times seen are a table of one row per snapshot, of
+    which a batch reads the hours that its polls lie in. Lines that are not JSON or have no time are set aside
     below ``path``; an aircraft named twice in one line, or a state against the rules, stops
     the stream.
     """
@@ -79,13 +86,16 @@ def ingest(payloads: DataFrame, path: str, *steps: Step, by_name: bool = False)
             good = lines.where(reasons.isNull())
             require(run_rules(good, wrong))
             times = T.StructType().add("snapshot_ts", T.LongType())
-            seen = _stored(spark, f"{path}/seen", times).where(F.col(EPOCH) < epoch).select("snapshot_ts").distinct()
-            new = good.withColumn("snapshot_ts", poll_time()).join(broadcast_if_small(seen), "snapshot_ts", "left_anti")
+            timed = good.withColumn("snapshot_ts", poll_time())
+            known = read_slots(spark, f"{path}/seen", times, slots_in(timed, F.col("snapshot_ts"), HOUR))
+            seen = known.where(F.col(EPOCH) < epoch).select("snapshot_ts").distinct()
+            new = timed.join(broadcast_if_small(seen), "snapshot_ts", "left_anti")
             first = checkpointed(first_polls(new.drop("snapshot_ts")))
             states = parse_snapshots(first).drop("arrival")
             require(run_rules(states, state_rules()))
             states.write.mode("overwrite").parquet(f"{path}/states/{EPOCH}={epoch}")
-            first.select(poll_time().alias("snapshot_ts")).write.mode("overwrite").parquet(f"{path}/seen/{EPOCH}={epoch}")
+            taken = first.select(poll_time().alias("snapshot_ts"))
+            write_slots(taken, f"{path}/seen", F.col("snapshot_ts"), HOUR, epoch)
         finally:
             lines.unpersist()
         stored = spark.read.schema(STATES).parquet(f"{path}/states/{EPOCH}={epoch}")
@@ -99,24 +109,25 @@ def ingest(payloads: DataFrame, path: str, *steps: Step, by_name: bool = False)
 def minute_step(path: str, store: str, stations: DataFrame | None = None, as_of: datetime | Column | None = None) -> Step:
     """Keep the minute aggregate of a stream in a month store, trailing minutes included.
 
-    A batch aggregates the minutes it touches again, from all states stored so far, and appends
-    them as load ``epoch``; readers take the latest load per minute and phase. Without
-    ``stations`` distances are unknown.
+    A batch adds parts of its own points; the minutes it touches are put together from all parts
+    stored so far and appended as load ``epoch``. Readers take the latest load per minute and
+    phase. Without ``stations`` distances are unknown.
     """
+    parts = f"{path}/minutes"
 
     def step(states: DataFrame, epoch: int) -> None:
-        minute = F.floor(F.col("snapshot_ts") / 60)
-        span = states.agg(F.min("snapshot_ts").alias("low"), F.max("snapshot_ts").alias("high")).first()
-        touched = checkpointed(states.select(minute.alias("minute")).distinct())
-        low, high = span["low"] // 60 * 60, span["high"] // 60 * 60 + 60
-        near = ingested_states(states.sparkSession, path).where((F.col("snapshot_ts") >= low) & (F.col("snapshot_ts") < high))
-        whole = near.join(broadcast_if_small(touched), minute == F.col("minute"), "left_semi")
-        points = enrich_points(clean_points(whole))
+        spark, minute = states.sparkSession, F.col("minute")
+        points = enrich_points(clean_points(states))
         if stations is None:
             points = points.withColumn("r_to_station", F.lit(None).cast("double"))
         else:
             points = nearest_station(points, stations)
-        append_facts(time_agg(points, as_of), store, "time_window", TIME_KEY, epoch)
+        write_slots(minute_partials(points), parts, minute, TEN_MINUTES, epoch)
+        slots = slots_in(states, F.col("snapshot_ts"), TEN_MINUTES)
+        near = read_slots(spark, parts, MINUTE_PARTIALS, slots).where(F.col(EPOCH) <= epoch)
+        touched = checkpointed(near.where(F.col(EPOCH) == epoch).select("minute").distinct())
+        whole = near.join(broadcast_if_small(touched), "minute", "left_semi")
+        append_facts(time_agg_of(whole, as_of), store, "time_window", TIME_KEY, epoch)
 
     return step
 
