@@ -652,7 +652,8 @@ def stream_nearest(spark, sf_dir):
     def sink(batch, epoch):
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    _ingest(spark, sf_dir, ingest.nearest_step(fx.enriched_stations(spark, sf_dir), sink))
+    path = scratch_path(spark, "ingested")
+    _ingest(spark, sf_dir, ingest.nearest_step(path, fx.enriched_stations(spark, sf_dir), sink), max_files=3, path=path)
     return spark.read.parquet(out).select("icao24", "snapshot_ts", "station_id", "r_to_station")
 
 

@@ -122,12 +122,46 @@ def test_crowded_stations_under_high_points(spark):
     high = scattered(rng, 4000, box=village, top=20) + [0, 0, 3000]
     points = make_points(spark, high).cache()
     agree(answer(nearest_station(points, stations)), brute_force(points, stations))
-    _, entries = candidate_lists(points, stations)
+    entries = candidate_lists(points, stations).entries
     sizes = [r["n"] for r in entries.groupBy("edge", "cell_x", "cell_y", "cell_z").agg(F.count("*").alias("n")).collect()]
     assert max(sizes) <= nearest.LEAF_STATIONS
     assert len(sizes) < 4000 / 4
 
 
+@pytest.mark.parametrize("first_pairs", [0, 1000, 1 << 40])
+def test_lists_may_begin_at_any_level(spark, first_pairs):
+    rng = np.random.default_rng(8)
+    stations, points = make_stations(spark, scattered(rng, 150)), make_points(spark, scattered(rng, 500, top=9000))
+    found = candidate_lists(points, stations, first_pairs=first_pairs)
+    lists = nearest._arrays(found.entries, found.sites)
+    met = nearest._keyed(points, found.edges).join(lists, ["edge", *nearest._CELL])
+    agree(answer(nearest._closest(met.select(*points.columns, "candidates"), points.columns)), brute_force(points, stations))
+
+
+def test_an_index_grows_with_the_space_that_points_occupy(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(11)
+    village = (52.0, 52.01, 6.0, 6.015)
+    sites = np.concatenate([scattered(rng, 300, box=village, top=30), scattered(rng, 60)])
+    stations = make_stations(spark, sites).cache()
+    high = scattered(rng, 900, box=village, top=20) + [0, 0, 3000]
+    far = scattered(rng, 300, top=9000)
+    batches = [make_points(spark, part).cache() for part in (high[:400], high[:400], high[400:], np.concatenate([far, high[300:500]]))]
+    index = nearest.StationIndex(str(tmp_path), stations, leaf_stations=16)
+    refined = []
+    monkeypatch.setattr(nearest, "lists_of", lambda *a, known=nearest.lists_of: refined.append(1) or known(*a))
+    steps = []
+    for epoch, batch in enumerate(batches):
+        steps.append(index.extend(batch, epoch))
+        agree(answer(index.nearest(batch, epoch)), brute_force(batch, stations))
+    # new tiles; nothing; new cells in tiles that are cut; new tiles
+    assert steps[:2] == [1, 0] and steps[2] >= 1 and steps[3] >= 1
+    assert len(refined) <= 3
+    again = nearest.StationIndex(str(tmp_path), stations, leaf_stations=16)  # a job that starts anew
+    assert again.extend(batches[3], 9) == 0
+    other = nearest.StationIndex(str(tmp_path), stations.where("station_id < 'S00100'"), leaf_stations=16)
+    assert other.path != index.path
+
+
 def test_nothing_to_join(spark):
     points, stations = make_points(spark, [(50, 5, 0)]), make_stations(spark, [(50, 5, 0), (51, 5, 0)])
     assert nearest_station(points, stations.where("false")).count() == 0

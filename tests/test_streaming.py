@@ -112,7 +112,7 @@ def test_nearest_equals_batch(spark, landing, tmp_path):
     def sink(batch, epoch):
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    run(spark, landing, tmp_path, ingest.nearest_step(stations, sink), max_files=5)
+    run(spark, landing, tmp_path, ingest.nearest_step(str(tmp_path / "in"), stations, sink), max_files=5)
     streamed = spark.read.parquet(out).select("icao24", "snapshot_ts", "station_id", "r_to_station")
     expected = nearest_station(enrich_points(clean_points(unique(spark, landing))), stations).select(streamed.columns)
     assert sorted(streamed.collect()) == sorted(expected.collect())

@@ -47,17 +47,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` written once to the shared folder and read back: computed once, cuts its lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _width(column: Column, kind: T.DataType) -> Column:
     """Bytes a value takes, roughly: text by its length, all else by the slot."""
     if isinstance(kind, T.StructType):
         return reduce(lambda a, b: a + b, [_width(column.getField(f.name), f.dataType) for f in kind], F.lit(8))
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + _width(x, kind.elementType)), F.lit(0)) + 24
     return F.lit(16)
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """What ``df`` takes in memory, by one aggregation; arrays and maps are not measured."""
+    """What ``df`` takes in memory, by one aggregation; maps are not measured."""
     row = reduce(lambda a, b: a + b, [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema])
     return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from trackmart.operators.dimensions import flight_dimension_input, newer_sightings, scd1_upsert
 from trackmart.operators.enrich import clean_points, enrich_points
-from trackmart.operators.nearest import nearest_station
+from trackmart.operators.nearest import StationIndex
 from trackmart.operators.partials import minute_partials, time_agg_of
 from trackmart.operators.quality import payload_rules, require, run_rules, state_rules
 from trackmart.runtime import broadcast_if_small, checkpointed
@@ -113,7 +113,7 @@ def minute_step(path: str, store: str, stations: DataFrame | None = None, as_of:
     stored so far and appended as load ``epoch``. Readers take the latest load per minute and
     phase. Without ``stations`` distances are unknown.
     """
-    parts = f"{path}/minutes"
+    parts, kept = f"{path}/minutes", []
 
     def step(states: DataFrame, epoch: int) -> None:
         spark, minute = states.sparkSession, F.col("minute")
@@ -121,7 +121,9 @@ def minute_step(path: str, store: str, stations: DataFrame | None = None, as_of:
         if stations is None:
             points = points.withColumn("r_to_station", F.lit(None).cast("double"))
         else:
-            points = nearest_station(points, stations)
+            if not kept:
+                kept.append(StationIndex(f"{path}/station-index", stations))
+            points = kept[0].nearest(points, epoch)
         write_slots(minute_partials(points), parts, minute, TEN_MINUTES, epoch)
         slots = slots_in(states, F.col("snapshot_ts"), TEN_MINUTES)
         near = read_slots(spark, parts, MINUTE_PARTIALS, slots).where(F.col(EPOCH) <= epoch)
@@ -132,15 +134,18 @@ def minute_step(path: str, store: str, stations: DataFrame | None = None, as_of:
     return step
 
 
-def nearest_step(stations: DataFrame, sink: Step) -> Step:
-    """Clean, enrich and locate each batch and hand it to ``sink``. The batch operator applies
-    unchanged; the stations are prepared once."""
-    prepared: list[DataFrame] = []
+def nearest_step(path: str, stations: DataFrame, sink: Step) -> Step:
+    """Clean, enrich and locate each batch and hand it to ``sink``.
+
+    The lists of candidate stations are kept below ``path`` and outlive the job; a batch over
+    cells that were occupied before only looks them up.
+    """
+    kept: list[StationIndex] = []
 
     def step(states: DataFrame, epoch: int) -> None:
-        if not prepared:
-            prepared.append(checkpointed(stations))
-        sink(nearest_station(enrich_points(clean_points(states)), prepared[0]), epoch)
+        if not kept:
+            kept.append(StationIndex(f"{path}/station-index", stations))
+        sink(kept[0].nearest(enrich_points(clean_points(states)), epoch), epoch)
 
     return step
 
