@@ -112,7 +112,22 @@ def test_published_day_is_replaced_whole(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     files.publish(spark, source, target, "2024-01-01")
     assert spark.read.parquet(target).count() == 5
-    assert [p.name for p in (tmp_path / "target").iterdir()] == ["date=2024-01-01"]
+    assert [p.name for p in (tmp_path / "target").iterdir() if p.is_dir()] == ["date=2024-01-01"]
+
+
+def test_a_write_that_fails_leaves_the_published_day(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "source", str(tmp_path / "target")
+    for ds, n in (("2024-01-01", 3), ("2024-01-02", 2)):
+        files.write_day(spark.range(n), str(source), ds)
+        files.publish(spark, str(source), target, ds)
+    files.write_day(spark.range(50).repartition(5), str(source), "2024-01-01")
+    part = sorted((source / "date=2024-01-01").glob("part-*"))[-1]
+    part.write_bytes(part.read_bytes()[:20])
+    monkeypatch.setattr(files, "require_rows", lambda df, name: None)
+    with pytest.raises(Exception, match="part-"):
+        files.publish(spark, str(source), target, "2024-01-01")
+    found = {str(r.date): r["count"] for r in spark.read.parquet(target).groupBy("date").count().collect()}
+    assert found == {"2024-01-01": 3, "2024-01-02": 2}
 
 
 def test_versions(spark, tmp_path):

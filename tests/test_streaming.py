@@ -1,4 +1,5 @@
 import json
+import threading
 import time
 from datetime import datetime, timezone
 from pathlib import Path
@@ -162,3 +163,20 @@ def test_streaming_job(spark, landing, tmp_path):
     assert ingest.ingested_states(spark, f"{root}/ingested").count() == 24
     assert read_version(spark, f"{root}/dim_flight", DIM_FLIGHT).count() == 2
     assert read_store(spark, f"{root}/time_agg", TIME_AGG).count() > 0
+
+
+def test_a_poll_window_takes_what_lands_and_ends(spark, tmp_path):
+    landing, path = tmp_path / "landing", str(tmp_path / "in")
+    land(landing, "1.json", (START, [vector("a")]))
+
+    def start(trigger):
+        writer = ingest.ingest(ingest.landed_payloads(spark, str(landing)), path).trigger(**trigger)
+        return writer.option("checkpointLocation", str(tmp_path / "state")).start()
+
+    later = threading.Timer(4, land, (landing, "2.json", (START + 20, [vector("a"), vector("b")])))
+    later.start()
+    began = time.time()
+    ingest.run_for(start, "1 second", 8)
+    later.join()
+    assert ingest.ingested_states(spark, path).count() == 3
+    assert 8 <= time.time() - began < 90 and not spark.streams.active

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trackmart.schemas import DIM_FLIGHT_LENGTHS, DIM_STATION_LENGTHS
@@ -125,6 +125,20 @@ def target_checks(clean: DataFrame, points: DataFrame) -> DataFrame:
     return difference.unionByName(rule_counts(points, target_rules()))
 
 
+def observed(df: DataFrame, rules: Iterable[Rule] = ()) -> tuple[DataFrame, Observation]:
+    """``df`` with its rows and the violations of ``rules`` counted while it is first computed."""
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(r.broken).alias(r.name) for r in rules]]
+    observation = Observation()
+    return df.observe(observation, *counts), observation
+
+
+def target_violations(clean: Observation, points: Observation) -> list[Violation]:
+    """``target_checks`` from what was counted while the points were located and written."""
+    counts = {"points_count_changed": abs(clean.get["rows"] - points.get["rows"])}
+    counts |= {r.name: points.get[r.name] for r in target_rules()}
+    return [Violation(name, n) for name, n in counts.items() if n]
+
+
 def dim_flight_checks(dim: DataFrame) -> DataFrame:
     return rule_counts(dim, dim_flight_rules()).unionByName(unique_rule(dim, ["icao24"], "icao24_repeated"))
 

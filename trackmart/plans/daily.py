@@ -31,13 +31,15 @@ from trackmart.operators.quality import (
     dim_flight_checks,
     dim_station_checks,
     geometry_rules,
+    observed,
     payload_rules,
     require,
     require_rows,
     run_checks,
     run_rules,
     source_checks,
-    target_checks,
+    target_rules,
+    target_violations,
 )
 from trackmart.operators.versions import fact_projection, to_seconds
 from trackmart.plans.reports import phase_distribution, run_summary, top_flights
@@ -110,7 +112,8 @@ def run_day(
 ) -> DayRun:
     """Checks, enrichment, nearest station, dimensions, facts and aggregates for one day.
 
-    The wide table and the aggregates are written once and everything after them reads those
+    The wide table and the aggregates are written once, the wide table's checks being counted
+    while it is written, and everything after them reads those
     tables: nothing large is cached and a lost executor costs one file read. Dimensions, stores
     and the curated table are touched only after all checks have passed, those of the new
     dimensions included. Running a day again replaces its curated partition and supersedes its
@@ -123,10 +126,11 @@ def run_day(
     require(run_checks(source_checks(states, stations)))
     advice = run_rules(stations, geometry_rules())
 
-    clean, located = clean_points(states), enrich_stations(stations)
-    work = f"{root}/work/flight_points"
-    points = _settle(flight_points(nearest_station(enrich_points(clean), located), as_of), work, ds)
-    require(run_checks(target_checks(clean, points)))
+    clean, before = observed(clean_points(states))
+    work, located = f"{root}/work/flight_points", enrich_stations(stations)
+    wide, after = observed(flight_points(nearest_station(enrich_points(clean), located), as_of), target_rules())
+    points = _settle(wide, work, ds)
+    require(target_violations(before, after))
 
     flight_path, station_path = f"{root}/dim_flight", f"{root}/dim_station"
     old_flights = read_version(spark, flight_path, DIM_FLIGHT)

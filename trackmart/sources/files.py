@@ -6,7 +6,6 @@ repeated run leaves no old part files behind.
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,24 +84,14 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, path: str, ds: str, schem
 def publish(spark: SparkSession, source: str, target: str, ds: str) -> None:
     """Copy a day of the curated table to its published place, replacing that day there.
 
-    Fails if the table is missing or the day holds nothing. The copy is written beside the
-    published days and takes their place by renaming, so readers keep the old day until the
-    new one is whole.
+    Fails if the table is missing or the day holds nothing. Spark stages the rows, and its commit
+    puts them in the place of the day's partition once all tasks have ended, on object stores too;
+    a failed write leaves the old day as it was, and other days are never touched.
     """
-    day = spark.read.parquet(source).where(F.col(DATE) == ds).drop(DATE)
+    day = spark.read.parquet(source).where(F.col(DATE) == ds)
     require_rows(day, "nothing_to_publish")
-    run = uuid.uuid4().hex
-    incoming, outgoing, place = f"{target}/.incoming-{run}", f"{target}/.outgoing-{run}", day_path(target, ds)
-    day.write.parquet(incoming)
-    fs, _ = _file_system(spark, target)
-    new, old, current = (_file_system(spark, p)[1] for p in (incoming, outgoing, place))
-    if fs.exists(current) and not fs.rename(current, old):
-        raise OSError(f"cannot move {place} aside")
-    if not fs.rename(new, current):
-        if fs.exists(old):
-            fs.rename(old, current)
-        raise OSError(f"cannot put {place} in place")
-    fs.delete(old, True)
+    writer = day.withColumn(DATE, F.lit(ds)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(DATE).parquet(target)
 
 
 def append_facts(df: DataFrame, path: str, ts: str, key: list[str], load_seq: int) -> None:

@@ -21,7 +21,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trackmart.operators.dimensions import flight_dimension_input, newer_sightings, scd1_upsert
 from trackmart.operators.enrich import clean_points, enrich_points
@@ -106,6 +106,18 @@ def ingest(payloads: DataFrame, path: str, *steps: Step, by_name: bool = False)
     return payloads.writeStream.foreachBatch(write)
 
 
+def run_for(start: Callable[[dict], StreamingQuery], interval: str, window: float) -> None:
+    """Poll every ``interval`` for ``window`` seconds, then take what has landed by then and end.
+
+    ``start`` starts the stream with a trigger, each time on the same checkpoint. A batch cut
+    short by the end of the window is taken again by the last run, which every step allows.
+    """
+    query = start({"processingTime": interval})
+    if not query.awaitTermination(window):
+        query.stop()
+    start({"availableNow": True}).awaitTermination()
+
+
 def minute_step(path: str, store: str, stations: DataFrame | None = None, as_of: datetime | Column | None = None) -> Step:
     """Keep the minute aggregate of a stream in a month store, trailing minutes included.
 
