@@ -134,6 +134,7 @@ def passages():
 @pytest.mark.parametrize("part", [1 << 20, 150])
 def test_repeats_equal_brute_force(spark, monkeypatch, split, part):
     monkeypatch.setattr(repeats, "SPLIT", split)
+    monkeypatch.setattr(repeats, "RANGE_PIECES", split)
     monkeypatch.setattr(repeats, "PART", part)
     chosen = [t for t in TEXTS if not t or len(t) < 10_000]
     docs = documents(spark, chosen + passages()).repartition(5)

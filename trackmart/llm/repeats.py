@@ -9,8 +9,9 @@ into shards of a few megabytes. A shard builds its suffix array by Larsson-Sadak
 suffixes are sorted by their first symbols, then groups that are still equal are refined by the
 ranks twice as far on. Kasai's method gives the common prefixes of neighbours; a string repeats
 if one of them reaches 200. An anchor with very many distinct pieces is dealt to several shards;
-these merge by exchanging the hashes of their distinct strings, sorted, and looking up by binary
-search which of them other shards hold too. Pieces that occur twice as a whole repeat throughout.
+these merge by exchanging the hashes of their distinct strings, as sorted arrays, one a shard and
+range of hashes, and looking up by binary search which of them other shards hold too. An anchor
+has the more ranges the more pieces it has, so that a range fits one task. Pieces that occur twice as a whole repeat throughout.
 
 Contract: null and empty texts and those under 200 bytes lose nothing; repeated rows are copies
 of each other; an empty table gives an empty result; matches never cross documents; only
@@ -35,6 +36,7 @@ PART = 1 << 19  # bytes that are hashed at once
 SHARD_BYTES = 1 << 19
 SHARDS_PER_TASK = 8
 SPLIT = 2000  # distinct pieces of one anchor in one shard
+RANGE_PIECES = 8192  # pieces of one anchor whose hashes one range holds
 FILTER_BITS = 28  # the filter of repeated anchors has at most 2**28 bits
 
 _RNG = np.random.default_rng(20)
@@ -354,25 +356,38 @@ def _shard_strings(contents: list[bytes]) -> list[np.ndarray]:
 
 def shared_ranges(content: DataFrame, tasks: int) -> DataFrame:
     """``anchor, piece, ranges``: strings that other pieces hold too. ``content`` has distinct
-    pieces with ``shard`` and ``split``, true where an anchor has several shards; they are dealt
-    to ``tasks`` tasks."""
+    pieces with ``shard``, ``split``, true where an anchor has several shards, and ``bits``, which
+    tell the ranges of an anchor's hashes apart; they are dealt to ``tasks`` tasks."""
 
     def within(group: pa.Table) -> pa.Table:
         flags = _shard_flags(group.column("content").to_pylist())
         return pa.table([group.column("anchor"), group.column("piece"), pa.array([_ranges(f) for f in flags], _RANGE_TYPE)], names=["anchor", "piece", "ranges"])
 
     def strings(group: pa.Table) -> pa.Table:
-        """The distinct strings of a shard by hash, in order."""
+        """The distinct strings of a shard by hash, in order, cut at the first bits."""
         found = np.unique(np.concatenate(_shard_strings(group.column("content").to_pylist())))
-        shard = group.column("shard")[0].as_py()
-        return pa.table([pa.array(np.full(len(found), shard)), _signed(found)], names=["shard", "string"])
+        bits = group.column("bits")[0].as_py()
+        ranges = found >> np.uint64(64 - bits) if bits else np.zeros(len(found), dtype=np.uint64)
+        first = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
+        parts = [part.tobytes() for part in np.split(found, first[1:])]
+        heads = [group.column(c).slice(0, 1).combine_chunks().take(pa.array(np.zeros(len(first), dtype=np.int64))) for c in ("anchor", "shard")]
+        return pa.table([*heads, _signed(ranges[first]), pa.array(parts, pa.binary())], names=["anchor", "shard", "range", "hashes"])
+
+    def common(group: pa.Table) -> pa.Table:
+        """Of each shard's strings in a range those that another shard holds too."""
+        parts = [np.frombuffer(h, dtype=np.uint64) for h in group.column("hashes").to_pylist()]
+        every, times = np.unique(np.concatenate(parts), return_counts=True)
+        shared = every[times > 1]
+        held = [np.intersect1d(part, shared, assume_unique=True).tobytes() for part in parts]
+        out = pa.table([group.column("shard"), pa.array(held, pa.binary())], names=["shard", "hashes"])
+        return out.filter(pa.array([bool(h) for h in held], pa.bool_()))
 
     def across(group: pa.Table, others: pa.Table) -> pa.Table:
         """Flags from the shard itself and from the strings that other shards hold too."""
         if not group.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), _RANGE_TYPE)], names=["anchor", "piece", "ranges"])
         contents = group.column("content").to_pylist()
-        held = np.sort(others.column("string").to_numpy().view(np.uint64))
+        held = np.sort(np.frombuffer(b"".join(others.column("hashes").to_pylist()), dtype=np.uint64))
         out = []
         for flag, gram in zip(_shard_flags(contents), _shard_strings(contents), strict=True):
             at = np.searchsorted(held, gram)
@@ -382,9 +397,8 @@ def shared_ranges(content: DataFrame, tasks: int) -> DataFrame:
     schema = f"anchor long, piece long, ranges {RANGES}"
     whole = content.filter("NOT split").repartition(tasks, "shard").groupBy("shard").applyInArrow(within, schema)
     divided = content.filter("split")
-    exported = divided.groupBy("shard").applyInArrow(strings, "shard long, string long")
-    both = exported.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
-    held = exported.join(both, "string")
+    exported = divided.groupBy("shard").applyInArrow(strings, "anchor long, shard long, range long, hashes binary")
+    held = exported.groupBy("anchor", "range").applyInArrow(common, "shard long, hashes binary")
     merged = divided.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(across, schema)
     return whole.unionByName(merged)
 
@@ -411,7 +425,8 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     split = parts > 1
     # a part of a split anchor is a shard by itself; other anchors share shards
     shard = F.when(split, F.xxhash64("anchor", salt)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    dealt = contested.select("anchor", "piece", "content", shard.alias("shard"), split.alias("split"))
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("pieces") / RANGE_PIECES))).cast("int")
+    dealt = contested.select("anchor", "piece", "content", shard.alias("shard"), split.alias("split"), bits.alias("bits"))
     ranges = shared_ranges(dealt, max(1, shards // SHARDS_PER_TASK)).filter(F.size("ranges") > 0)
 
     # stored, so that the join below is between two plain tables and hot pieces can be split
