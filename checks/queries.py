@@ -25,7 +25,7 @@ from trackmart.operators.nearest import nearest_station_window, station_distance
 from trackmart.plans import daily, reports
 from trackmart.runtime import scratch_path
 from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY, FACTS, FLIGHTS_AGG, FLIGHTS_KEY, STATES, STATIONS, TIME_AGG, TIME_KEY
-from trackmart.sources import files
+from trackmart.sources import buckets, files, history
 from trackmart.sources.snapshots import dedup_snapshots, first_polls, parse_snapshots, read_polls
 from trackmart.sources.stations import airports_in_region, read_airports, stations_from_airports
 from trackmart.streaming import ingest
@@ -492,11 +492,12 @@ def vanished_stations(spark, sf_dir):
 
 @query
 def dim_station_current(spark, sf_dir):
-    path = scratch_path(spark, "dim")
-    files.write_version(fx.previous_dim_station(spark, sf_dir), path)
-    files.write_version(_scd2(spark, sf_dir), path)
-    dim = files.read_version(spark, path, fx.previous_dim_station(spark, sf_dir).schema)
-    return _readable(dims.current(dim))
+    """What lookups read after a load: the open versions, without the archive beside them."""
+    path, before = scratch_path(spark, "dim"), fx.previous_dim_station(spark, sf_dir)
+    history.write_history(dims.current(before), before.where("NOT is_current"), path)
+    after = _scd2(spark, sf_dir)
+    history.write_history(dims.current(after), after.where("NOT is_current").join(history.read_closed(spark, path, DIM_STATION), "station_sk", "left_anti").select(*after.columns), path)
+    return _readable(history.read_open(spark, path, DIM_STATION))
 
 
 # --- stores --------------------------------------------------------------------------
@@ -577,7 +578,8 @@ def fact_latest_unexpired(spark, sf_dir):
 def _day(spark, sf_dir) -> str:
     root = scratch_path(spark, "day")
     files.write_csv(fx.airports(spark, sf_dir), f"{root}/airports.csv")
-    files.write_version(fx.previous_dim_station(spark, sf_dir), f"{root}/dim_station")
+    before = fx.previous_dim_station(spark, sf_dir)
+    history.write_history(dims.current(before), before.where("NOT is_current"), f"{root}/dim_station")
     daily.load_day(spark, fx.landing(spark, sf_dir), f"{root}/airports.csv", root, DAY, fx.BBOX)
     daily.run_day(spark, root, DAY, fx.AS_OF, load_seq=1)
     return root
@@ -600,9 +602,9 @@ def daily_run_tables(spark, sf_dir):
         "facts": versions.current_facts(facts, FACT_KEY, "snapshot_time", fx.AS_OF),
         "flights": versions.current_facts(flights, FLIGHTS_KEY, "first_seen", fx.AS_OF),
         "minutes": versions.current_facts(minutes, TIME_KEY, "time_window", fx.AS_OF),
-        "dim_flight": files.read_version(spark, f"{root}/dim_flight", DIM_FLIGHT),
-        "dim_station": files.read_version(spark, f"{root}/dim_station", DIM_STATION),
-        "open_stations": dims.current(files.read_version(spark, f"{root}/dim_station", DIM_STATION)),
+        "dim_flight": buckets.read_buckets(spark, f"{root}/dim_flight", DIM_FLIGHT),
+        "dim_station": history.read_history(spark, f"{root}/dim_station", DIM_STATION),
+        "open_stations": history.read_open(spark, f"{root}/dim_station", DIM_STATION),
     }
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
     return reduce(DataFrame.unionByName, counts)
@@ -661,9 +663,9 @@ def stream_nearest(spark, sf_dir):
 def stream_upsert(spark, sf_dir):
     """On top of a daily version, with batches that land out of order: each third is one batch."""
     dim, source, path, state = (scratch_path(spark, n) for n in ("dim", "landing", "ingested", "stream"))
-    files.write_version(fx.previous_dim_flight(fx.sightings(spark, sf_dir)), dim)
+    buckets.replace_buckets(fx.previous_dim_flight(fx.sightings(spark, sf_dir)), dim, "icao24")
     lines = fx.payloads(spark, sf_dir).withColumn("part", F.expr("(snapshot_ts div 20) % 90 div 30"))
     for part in (2, 0, 1):
         lines.where(F.col("part") == part).select("value").write.text(f"{source}/{part}")
         _drain(ingest.ingest(ingest.landed_payloads(spark, source), path, ingest.upsert_step(dim, fx.AS_OF)), spark, state)
-    return files.read_version(spark, dim, DIM_FLIGHT)
+    return buckets.read_buckets(spark, dim, DIM_FLIGHT)

@@ -10,7 +10,9 @@ from trackmart.operators.versions import latest, obt_view
 from trackmart.plans import daily
 from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY, FACTS
 from trackmart.runtime import checkpointed
-from trackmart.sources.files import read_states, read_stations, read_store, read_version, versions_of, write_day
+from trackmart.sources.buckets import read_buckets
+from trackmart.sources.files import read_states, read_stations, read_store, versions_of, write_day
+from trackmart.sources.history import read_history
 
 START = 1704067200
 AS_OF = datetime(2024, 6, 1, tzinfo=timezone.utc)
@@ -60,9 +62,9 @@ def test_whole_day_and_rerun(spark, root):
     newest = latest(facts, FACT_KEY)
     assert newest.count() == 4 and {r.event_ts.hour for r in newest.collect()} == {1}
     assert spark.read.parquet(str(root / "curated/flight_points")).count() == 4
-    stations = read_version(spark, str(root / "dim_station"), DIM_STATION)
+    stations = read_history(spark, str(root / "dim_station"), DIM_STATION)
     assert [(r.station_sk, r.is_current) for r in stations.orderBy("station_sk").collect()] == [(1, True), (2, True)]
-    flights = read_version(spark, str(root / "dim_flight"), DIM_FLIGHT)
+    flights = read_buckets(spark, str(root / "dim_flight"), DIM_FLIGHT)
     view = obt_view(facts, flights, stations, AS_OF)
     assert len(view.columns) == 26
     assert {(r.callsign, r.station_name, r.station_type) for r in view.collect()} == {("a", "One", "large_airport"), ("b", "Two", "medium_airport")}
@@ -107,7 +109,7 @@ def test_a_station_that_loses_a_coordinate_stays_open(spark, root):
     lost = stations.withColumn("lat", F.when(F.col("station_id") != "ST2", F.col("lat")))
     write_day(checkpointed(lost), str(root / "stations"), DS)
     run = daily.run_day(spark, str(root), DS, AS_OF + timedelta(hours=1))
-    dim = read_version(spark, str(root / "dim_station"), DIM_STATION)
+    dim = read_history(spark, str(root / "dim_station"), DIM_STATION)
     assert [(r.station_id, r.lat, r.is_current) for r in dim.orderBy("station_id").collect()] == [("ST1", 51.0, True), ("ST2", 52.0, True)]
     assert [(v.rule, v.rows) for v in run.advice] == [("stations_geometry_null", 1)]
 
@@ -118,10 +120,32 @@ def test_an_earlier_load_time_still_goes_on_from_the_newest_dimension(spark, roo
     (root / "airports.csv").write_text(AIRPORTS + "ST4,large_airport,Four,51.5,7,100\n")
     prepare(spark, root)
     daily.run_day(spark, str(root), DS, AS_OF - timedelta(days=1))
-    dim = read_version(spark, str(root / "dim_station"), DIM_STATION)
+    dim = read_history(spark, str(root / "dim_station"), DIM_STATION)
     assert {r.station_id for r in dim.collect()} == {"ST1", "ST2", "ST4"}
 
 
+def test_stations_close_into_an_archive_that_is_only_added_to(spark, root):
+    def archived():
+        return {p: p.stat().st_mtime_ns for p in (root / "dim_station" / "closed").rglob("part-*")}
+
+    def run(airports, hours):
+        (root / "airports.csv").write_text(airports)
+        prepare(spark, root)
+        daily.run_day(spark, str(root), DS, AS_OF + timedelta(hours=hours))
+        dim = read_history(spark, str(root / "dim_station"), DIM_STATION)
+        return [(r.station_sk, r.station_id, r.name, r.is_current) for r in dim.orderBy("station_sk").collect()]
+
+    run(AIRPORTS, 0)
+    renamed = AIRPORTS.replace("Two", "Deux")
+    expected = [(1, "ST1", "One", True), (2, "ST2", "Two", False), (3, "ST2", "Deux", True)]
+    assert run(renamed, 1) == expected
+    before = archived()
+    assert before and run(renamed, 2) == expected and archived() == before
+    # the newest number was closed: the next one still lies above it
+    assert run(AIRPORTS, 3)[-2:] == [(3, "ST2", "Deux", False), (4, "ST2", "Two", True)]
+    assert before.items() < archived().items()
+
+
 def test_expired_months_go(spark, root):
     prepare(spark, root)
     daily.run_day(spark, str(root), DS, AS_OF)

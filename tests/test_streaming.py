@@ -16,7 +16,8 @@ from trackmart.operators.versions import current_facts
 from trackmart.plans import live
 from trackmart.runtime import scratch_path
 from trackmart.schemas import DIM_FLIGHT, STATIONS, TIME_AGG, TIME_KEY
-from trackmart.sources.files import read_store, read_version, versions_of, write_version
+from trackmart.sources.buckets import bucket_of, read_buckets, replace_buckets
+from trackmart.sources.files import read_store, versions_of
 from trackmart.sources.snapshots import parse_snapshots
 from trackmart.streaming import ingest
 
@@ -121,17 +122,38 @@ def test_nearest_equals_batch(spark, landing, tmp_path):
 
 def test_upsert_goes_on_from_a_daily_version_in_any_order(spark, tmp_path):
     landing, dim = tmp_path / "landing", str(tmp_path / "dim")
-    write_version(spark.createDataFrame([("a", "DAY", "X", START + 10, None), ("d", "D", "X", 1, None)], DIM_FLIGHT), dim)
+    replace_buckets(spark.createDataFrame([("a", "DAY", "X", START + 10, None), ("d", "D", "X", 1, None)], DIM_FLIGHT), dim, "icao24")
     land(landing, "1.json", (START + 20, [vector("a", callsign=" TWO "), vector("c")]))
     time.sleep(0.02)
     land(landing, "2.json", (START, [vector("a", callsign="ONE"), vector("b")]))  # older, lands later
     run(spark, landing, tmp_path, ingest.upsert_step(dim, AS_OF), max_files=1)
     expected = {"a": "TWO", "b": "C", "c": "C", "d": "D"}
-    assert {r.icao24: r.callsign for r in read_version(spark, dim, DIM_FLIGHT).collect()} == expected
+    assert {r.icao24: r.callsign for r in read_buckets(spark, dim, DIM_FLIGHT).collect()} == expected
     assert versions_of(spark, dim) == [1, 2, 3]
     # a stream that starts again from nothing repeats its batches and changes nothing
     run(spark, landing, tmp_path, ingest.upsert_step(dim, AS_OF), max_files=1, name="again")
-    assert {r.icao24: r.callsign for r in read_version(spark, dim, DIM_FLIGHT).collect()} == expected
+    assert {r.icao24: r.callsign for r in read_buckets(spark, dim, DIM_FLIGHT).collect()} == expected
+
+
+def test_an_upsert_opens_and_rewrites_only_the_buckets_it_changes(spark, tmp_path):
+    landing, dim = tmp_path / "landing", str(tmp_path / "dim")
+    many = spark.range(500).selectExpr("hex(id) AS icao24", "'OLD' AS callsign", "'X' AS origin_country", f"{START}L AS last_ts", "timestamp_seconds(0) AS updated_at")
+    replace_buckets(many, dim, "icao24")
+
+    def files():
+        return {p for p in (tmp_path / "dim" / "rows").rglob("part-*")}
+
+    before = files()
+    land(landing, "1.json", (START + 20, [vector("1F", callsign="NEW"), vector("new")]), (START - 20, [vector("2A", callsign="OLDER")]))
+    run(spark, landing, tmp_path, ingest.upsert_step(dim, AS_OF), max_files=1)
+    keys = spark.createDataFrame([("1F",), ("new",)], "icao24 string")
+    touched = {r[0] for r in keys.select(bucket_of("icao24")).collect()}
+    assert before < files()
+    assert {p.parent.name for p in files() - before} == {f"bucket={b}" for b in touched}
+    found = {r.icao24: r.callsign for r in read_buckets(spark, dim, DIM_FLIGHT).collect()}
+    assert len(found) == 501 and found["1F"] == "NEW" and found["2A"] == "OLD"
+    opened = read_buckets(spark, dim, DIM_FLIGHT, sorted(touched)).inputFiles()
+    assert {Path(f).parent.name for f in opened} == {f"bucket={b}" for b in touched}
 
 
 def test_the_upsert_query_writes_its_landing_files_in_many_tasks(spark, monkeypatch):
@@ -161,7 +183,7 @@ def test_streaming_job(spark, landing, tmp_path):
     spark.createDataFrame([("S1", "n", "large_airport", 51.0, 6.1, 0.0)], STATIONS).write.parquet(stations)
     live.main(["--landing", str(landing), "--data-dir", root, "--stations", stations, "--max-files", "4"])
     assert ingest.ingested_states(spark, f"{root}/ingested").count() == 24
-    assert read_version(spark, f"{root}/dim_flight", DIM_FLIGHT).count() == 2
+    assert read_buckets(spark, f"{root}/dim_flight", DIM_FLIGHT).count() == 2
     assert read_store(spark, f"{root}/time_agg", TIME_AGG).count() > 0
 
 

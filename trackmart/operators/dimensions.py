@@ -84,26 +84,31 @@ def vanished_keys(dim: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return current(dim).join(new, key, "left_anti")
 
 
-def scd2_apply(
-    dim: DataFrame,
+def highest_number(dim: DataFrame, surrogate: str = "station_sk") -> Column:
+    """The highest surrogate key given so far, 0 before the first."""
+    return dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).scalar()
+
+
+def scd2_load(
+    versions: DataFrame,
     new: DataFrame,
+    last: Column,
     key: str = "station_id",
     attrs: list[str] | None = None,
     as_of: datetime | Column | None = None,
     surrogate: str = "station_sk",
-) -> DataFrame:
-    """Close changed and vanished versions, open one for every new or changed key.
+) -> tuple[DataFrame, DataFrame]:
+    """From the open versions and a load to the versions open after it and those it closes.
 
-    ``new`` holds one row per key. History rows take no part in any join; closing and
-    opening use the same instant, so versions of a key meet without gap. A key that comes
-    back gets a new version; an empty ``new`` closes everything.
+    Changed and vanished versions close; every new or changed key opens one, numbered from
+    ``last`` on. ``new`` holds one row per key. Closing and opening use the same instant, so
+    versions of a key meet without gap. A key that comes back gets a new version; an empty
+    ``new`` closes everything.
     """
     attrs = STATION_ATTRS if attrs is None else attrs
     now = load_time(as_of)
-    is_current = F.coalesce("is_current", F.lit(False))
     matched = (
-        dim.where(is_current)
-        .alias("old")
+        versions.alias("old")
         .join(new.withColumn("present", F.lit(True)).alias("new"), F.col(f"old.{key}") == F.col(f"new.{key}"), "left")
         .withColumn("ends", F.col("new.present").isNull() | _changed("old", "new", attrs))
         .select("old.*", "ends")
@@ -117,9 +122,22 @@ def scd2_apply(
             "is_current": F.lit(True),
         }
     )
-    last = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).scalar()
-    numbered = number_rows(opened, key).withColumn(surrogate, last + F.col("number")).select(*dim.columns)
-    return dim.where(~is_current).unionByName(kept).unionByName(closed).unionByName(numbered)
+    numbered = number_rows(opened, key).withColumn(surrogate, last + F.col("number")).select(*versions.columns)
+    return kept.unionByName(numbered), closed
+
+
+def scd2_apply(
+    dim: DataFrame,
+    new: DataFrame,
+    key: str = "station_id",
+    attrs: list[str] | None = None,
+    as_of: datetime | Column | None = None,
+    surrogate: str = "station_sk",
+) -> DataFrame:
+    """The whole dimension after a load; history rows take no part in any join."""
+    is_current = F.coalesce("is_current", F.lit(False))
+    after, closed = scd2_load(dim.where(is_current), new, highest_number(dim, surrogate), key, attrs, as_of, surrogate)
+    return dim.where(~is_current).unionByName(after).unionByName(closed)
 
 
 def number_rows(df: DataFrame, key: str) -> DataFrame:

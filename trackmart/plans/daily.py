@@ -17,10 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.operators.dimensions import (
-    flight_dimension_input,
-    newer_sightings,
-    scd1_upsert,
-    scd2_apply,
+    highest_number,
+    scd2_load,
     station_dimension_input,
 )
 from trackmart.operators.enrich import clean_points, enrich_points, enrich_stations, flight_points, states_in_bbox
@@ -44,7 +42,8 @@ from trackmart.operators.quality import (
 from trackmart.operators.versions import fact_projection, to_seconds
 from trackmart.plans.reports import phase_distribution, run_summary, top_flights
 from trackmart.runtime import checkpointed
-from trackmart.schemas import DIM_FLIGHT, DIM_STATION, FACT_KEY, FLIGHTS_KEY, TIME_KEY
+from trackmart.schemas import DIM_STATION, FACT_KEY, FLIGHTS_KEY, TIME_KEY
+from trackmart.sources.buckets import replace_buckets
 from trackmart.sources.files import (
     append_facts,
     day_path,
@@ -52,10 +51,10 @@ from trackmart.sources.files import (
     publish,
     read_states,
     read_stations,
-    read_version,
     write_day,
-    write_version,
 )
+from trackmart.sources.flights import changed_flights
+from trackmart.sources.history import read_closed, read_open, write_history
 from trackmart.sources.snapshots import first_polls, parse_snapshots, read_polls
 from trackmart.sources.stations import airports_in_region, read_airports, stations_from_airports
 
@@ -116,8 +115,8 @@ def run_day(
     while it is written, and everything after them reads those
     tables: nothing large is cached and a lost executor costs one file read. Dimensions, stores
     and the curated table are touched only after all checks have passed, those of the new
-    dimensions included. Running a day again replaces its curated partition and supersedes its
-    facts. Dimensions go on from their newest version, whatever ``as_of`` says. Months that have
+    dimensions included: of those, the buckets of aircraft and the stations that the day changes.
+    Running a day again replaces its curated partition and supersedes its facts. Dimensions go on from their newest version, whatever ``as_of`` says. Months that have
     outlived their retention at ``as_of`` are removed from the stores.
     """
     as_of = as_of or datetime.now(timezone.utc)
@@ -133,15 +132,15 @@ def run_day(
     require(target_violations(before, after))
 
     flight_path, station_path = f"{root}/dim_flight", f"{root}/dim_station"
-    old_flights = read_version(spark, flight_path, DIM_FLIGHT)
-    seen = newer_sightings(old_flights, flight_dimension_input(points))
-    dim_flight = checkpointed(scd1_upsert(old_flights, seen, "icao24", as_of))
-    old_stations = read_version(spark, station_path, DIM_STATION)
+    flights_after = changed_flights(points, flight_path, as_of)
+    open_before, closed_before = (read(spark, station_path, DIM_STATION) for read in (read_open, read_closed))
+    last = highest_number(open_before.unionByName(closed_before))
     # all stations, also those that cannot be located: a lost coordinate is no end of a station
-    dim_station = checkpointed(scd2_apply(old_stations, station_dimension_input(stations), as_of=as_of))
-    require(run_checks(dim_flight_checks(dim_flight)) + run_checks(dim_station_checks(dim_station)))
-    write_version(dim_flight, flight_path)
-    write_version(dim_station, station_path)
+    open_after, closed_now = map(checkpointed, scd2_load(open_before, station_dimension_input(stations), last, as_of=as_of))
+    stations_after = open_after.unionByName(closed_now)
+    require(run_checks(dim_flight_checks(flights_after)) + run_checks(dim_station_checks(stations_after)))
+    replace_buckets(flights_after, flight_path, "icao24")
+    write_history(open_after, closed_now, station_path)
 
     flights = _settle(flights_agg(points, as_of), f"{root}/work/flights_agg", ds)
     minutes = _settle(time_agg(points, as_of), f"{root}/work/time_agg", ds)

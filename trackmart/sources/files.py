@@ -158,6 +158,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what stands directly below a folder; none if there is no such folder."""
+    fs, folder = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
 def versions_of(spark: SparkSession, path: str) -> list[int]:
     """Completely written versions below ``path``, oldest first."""
     fs, folder = _file_system(spark, path)

@@ -23,14 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from trackmart.operators.dimensions import flight_dimension_input, newer_sightings, scd1_upsert
 from trackmart.operators.enrich import clean_points, enrich_points
 from trackmart.operators.nearest import StationIndex
 from trackmart.operators.partials import minute_partials, time_agg_of
 from trackmart.operators.quality import payload_rules, require, run_rules, state_rules
 from trackmart.runtime import broadcast_if_small, checkpointed
-from trackmart.schemas import DIM_FLIGHT, MINUTE_PARTIALS, STATES, TIME_KEY
-from trackmart.sources.files import append_facts, exists, read_version, write_version
+from trackmart.schemas import MINUTE_PARTIALS, STATES, TIME_KEY
+from trackmart.sources.buckets import replace_buckets
+from trackmart.sources.files import append_facts, exists
+from trackmart.sources.flights import changed_flights
 from trackmart.sources.slots import EPOCH, read_slots, slots_in, write_slots
 from trackmart.sources.snapshots import file_lines, first_polls, parse_snapshots, poll_time, with_arrival
 
@@ -166,12 +167,12 @@ def upsert_step(dim_path: str, as_of: datetime | Column | None = None) -> Step:
     """Keep the flight dimension up to date.
 
     Sightings replace older ones only, so the dimension after a set of batches is the same in
-    any order and after replays. Versions are in one sequence with those of the daily run.
+    any order and after replays. Versions are in one sequence with those of the daily run. A
+    batch reads the buckets of its aircraft, and rewrites those in which it changes one.
     """
 
     def step(states: DataFrame, epoch: int) -> None:
-        dim = read_version(states.sparkSession, dim_path, DIM_FLIGHT)
-        seen = flight_dimension_input(clean_points(states).withColumn("callsign", F.trim("callsign")))
-        write_version(scd1_upsert(dim, newer_sightings(dim, seen), "icao24", as_of), dim_path)
+        points = clean_points(states).withColumn("callsign", F.trim("callsign"))
+        replace_buckets(changed_flights(points, dim_path, as_of), dim_path, "icao24")
 
     return step
