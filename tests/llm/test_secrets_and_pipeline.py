@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -88,6 +90,46 @@ def test_long_names_triple_quotes_and_glued_names(text, names):
     assert all(text[s.value_start : s.value_end] == SECRET for s in found)
 
 
+def test_names_reached_equal_a_walk_from_every_literal():
+    rng = random.Random(3)
+    names = ["a", "b", "api_key", "c.token", "d", "db_pwd", "e", "secret_file"]
+    for _ in range(300):
+        lines = []
+        for _ in range(rng.randint(1, 12)):
+            value = rng.choice(['"q9X2mK7pL4vB"', "'Zx81kQw07Lmn'", *names])
+            lines.append(f"{rng.choice(names)} = {value}" + (f" + {rng.choice(names)}" if rng.random() < 0.3 else ""))
+        text = "\n".join(lines)
+        found = list(secret_scan.pairs(text))
+        known, flows, direct = {n for n, _, _ in found}, {}, {}
+        for name, literals, used in found:
+            for source in used:
+                flows.setdefault(source, set()).add(name)
+                flows.setdefault(source.rsplit(".", 1)[-1], set()).add(name)
+            for start, end in literals:
+                if not (used and text[start:end] in known):
+                    direct.setdefault((start, end), set()).add(name)
+        expected = {}
+        for span, first in direct.items():
+            seen, todo = set(first), list(first)
+            while todo:
+                more = flows.get(todo.pop(), set()) - seen
+                seen |= more
+                todo += more
+            best = max(sorted(seen), key=secret_scan.name_score)
+            expected[span] = best, secret_scan.name_score(best)
+        assert secret_scan.reached(text) == expected
+
+
+def test_long_configuration_texts_take_linear_time():
+    chain = 'x0 = "q9X2mK7pL4vB8nR1"\n' + "".join(f'x{i + 1} = x{i} + "q9X2mK7pL4vB8n{i}"\n' for i in range(28_000)) + "db_pwd = x28000\n"
+    settings = "".join(f'token = "q9X2mK7pL4vB8n{i}" db_pwd = "Zx81kQw07L{i}" ' for i in range(18_500))
+    for text, spans in ((chain, 28_001), (settings, 37_000)):
+        assert len(text) > 1_000_000
+        began = time.process_time()
+        found = secret_scan.scan(text)
+        assert time.process_time() - began < 10 and len(found) == spans
+
+
 def test_redaction(spark):
     docs = documents(spark, [None, EXTRA[0], EXTRA[4], PROSE])
     got = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}

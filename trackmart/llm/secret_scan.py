@@ -13,8 +13,10 @@ are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -116,7 +118,8 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
         name = match["item"] or match["name"]
         literals: list[tuple[int, int]] = []
         used: list[str] = []
-        line = text[max(0, text.rfind("\n", 0, match.start()) + 1, match.start() - 40) : match.start()]
+        near = max(0, match.start() - 40)
+        line = text[max(near, text.rfind("\n", near, match.start()) + 1) : match.start()]
         setting = bool(LINE_START.match(line))
         at = match.end()
         while True:
@@ -144,8 +147,12 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
             yield name, literals, used
 
 
-def reached(text: str) -> dict[tuple[int, int], set[str]]:
-    """Every literal with all names it reaches through constants."""
+def reached(text: str) -> dict[tuple[int, int], tuple[str, float]]:
+    """Every literal with the most sensitive of all names it reaches through constants, and its score.
+
+    Names are taken from the most sensitive down, equal ones by the alphabet; each claims, against
+    the flow, what no name before it has claimed. So every name and every flow is walked once.
+    """
     found = list(pairs(text))
     known = {name for name, literals, used in found if literals or used}
     flows: dict[str, set[str]] = defaultdict(set)
@@ -158,16 +165,21 @@ def reached(text: str) -> dict[tuple[int, int], set[str]]:
         for span in literals:
             if not (used and text[span[0] : span[1]] in known):
                 direct[span].add(name)
-    out = {}
-    for span, names in direct.items():
-        seen, todo = set(names), list(names)
+    sources: dict[str, list[str]] = defaultdict(list)
+    for source, targets in flows.items():
+        for target in targets:
+            sources[target].append(source)
+    scores = {name: name_score(name) for name in known}
+    rank, best = {}, {}
+    for place, name in enumerate(sorted(known, key=lambda n: (-scores[n], n))):
+        rank[name] = place
+        todo = [name]
         while todo:
-            for target in flows.get(todo.pop(), ()):
-                if target not in seen:
-                    seen.add(target)
-                    todo.append(target)
-        out[span] = seen
-    return out
+            if (at := todo.pop()) not in best:
+                best[at] = name
+                todo += sources.get(at, ())
+    chosen = {span: min((best[name] for name in names), key=rank.get) for span, names in direct.items()}
+    return {span: (name, scores[name]) for span, name in chosen.items()}
 
 
 def scan(text: str, threshold: float = THRESHOLD) -> list[Span]:
@@ -179,11 +191,11 @@ def scan(text: str, threshold: float = THRESHOLD) -> list[Span]:
         spans += [Span("access", *m.span(), *m.span(), None, 1.0) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     spans += [Span("hex", *m.span(), *m.span(), None, 1.0) for m in HEX.finditer(text)]
     if ("=" in text or ":" in text) and HINT.search(text):
-        base = [(s.start, s.end) for s in spans]
-        for (start, end), names in reached(text).items():
-            name = max(sorted(names), key=name_score)
-            score = name_score(name) * literal_score(text[start:end])
-            if score >= threshold and not any(a <= start and end <= b for a, b in base):
+        base = sorted((s.start, s.end) for s in spans)
+        starts, ends = [a for a, _ in base], list(accumulate((b for _, b in base), max, initial=-1))
+        for (start, end), (name, sensitivity) in reached(text).items():
+            score = sensitivity * literal_score(text[start:end])
+            if score >= threshold and ends[bisect_right(starts, start)] < end:  # in no base span
                 spans.append(Span("literal", start, end, start, end, name, score))
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
