@@ -1,3 +1,4 @@
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from trackmart.llm import bpe, packing, tokenfile
+from trackmart.llm.common import written
 from trackmart.runtime import scratch_path
 
 from .cases import documents, empty, rows_of
@@ -156,6 +158,27 @@ def test_slots_hold_every_piece_once(lengths):
     check_sequences(rows, capacity)
 
 
+@pytest.mark.parametrize("counts", [{1999: 10**9}, {2000: 10**9, 1000: 10**9}, {3000: 10**9 + 1, 1000: 10**9, 50: 3}])
+def test_reduction_takes_equal_pieces_in_one_step(counts):
+    began = time.process_time()
+    fixed, rest = packing.reduce_by_dominance(counts, 4096)
+    assert time.process_time() - began < 0.1 and len(fixed) <= 2 * len(counts)
+    placed = {length: rest.get(length, 0) + sum(each * times for filling, times in fixed for n, each in filling if n == length) for length in counts}
+    assert placed == counts
+
+
+def test_full_pieces_have_a_sequence_each(spark):
+    rows = [(i, p, 10 * p, 10, 0) for i in range(40) for p in range(2)] + [(i, 2, 20, 1 + i % 9, 0) for i in range(40)]
+    stored = written(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    for pieces in (stored, written(stored.where("length = 10"), "pieces"), written(stored.where("length < 10"), "pieces")):
+        got = packing.pack(pieces, 10).collect()
+        assert sorted(tuple(r[c] for c in pieces.columns) for r in got) == sorted(tuple(r) for r in pieces.collect())
+        taken = [(r.sequence_id, t) for r in got for t in range(r.offset, r.offset + r.length)]
+        assert len(taken) == len(set(taken)) and all(t < 10 for _, t in taken)
+        full = [r.sequence_id for r in got if r.length == 10]
+        assert len(full) == len(set(full)) and not set(full) & {r.sequence_id for r in got if r.length < 10}
+
+
 def test_a_length_that_is_most_of_the_table_is_numbered_in_parts(spark):
     pieces = spark.range(5000).selectExpr("id AS doc_id", "0 AS piece", "CAST(IF(id % 10 = 0, 7, 1000) AS LONG) AS length")
     got = packing.numbered(pieces).collect()

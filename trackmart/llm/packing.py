@@ -5,7 +5,8 @@ are of each length. That table has at most ``capacity`` rows whatever the corpus
 driver sees. On it, a Martello-Toth reduction fixes every set of pieces that provably dominates
 all other ways to fill a sequence with its largest piece; best fit in descending order places
 the rest. Both work on counts: a *pattern* is a filling with a multiplicity. Pieces are then
-numbered within their length and look up their place among the patterns' slots.
+numbered within their length and look up their place among the patterns' slots. Pieces as long as
+a sequence need no number: each is a sequence of its own.
 
 Contract: null and empty texts hold the end id only; repeated rows are packed each; an empty
 table gives no rows; other columns are not read.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from trackmart.llm.common import encoded_rows, record_batch, texts, tokenizer_encoder, written
 
 CAPACITY = 4096
-SALTS = 64
+SALTS, ROWS_PER_SALT = 64, 50_000
 
 Pattern = tuple[list[tuple[int, int]], int]  # [(length, how often in one sequence)], multiplicity
 
@@ -117,10 +118,11 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[Pat
         only_one = smallest(2, largest) > room
         at_most_two = only_one or smallest(3, largest) > room
         if single and (only_one or (at_most_two and single >= _most_of_two(lengths, counts, room))):
+            # taking these pieces away only makes other fillings rarer, so it holds for all of them
             if single == largest:
-                fix([(largest, 2)], 1)
+                fix([(largest, 2)], counts[largest] // 2)
             else:
-                fix([(largest, 1), (single, 1)], 1 if not only_one else min(counts[largest], counts[single]))
+                fix([(largest, 1), (single, 1)], min(counts[largest], counts[single]))
             continue
         done.add(largest)
     return fixed, {k: v for k, v in counts.items() if v}
@@ -190,11 +192,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to ``pieces``, which must be a stored table with
     ``doc_id``, ``piece`` and ``length``, the latter from 1 to ``capacity``."""
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    alone = histogram.pop(capacity, 0)
+    salts = max(SALTS, max(histogram.values(), default=0) // ROWS_PER_SALT)
     fixed, rest = reduce_by_dominance(histogram, capacity)
     places = slots(fixed + best_fit(rest, capacity))
     length, first, times, sequence, offset = (places[c].to_numpy() for c in places.columns)
     keys = length << 48 | first
-    source = numbered(pieces)
+    source = numbered(pieces.where(F.col("length") < capacity) if alone else pieces, salts)
     names = [c for c in source.columns if c != "number"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +210,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.record_batch([batch.column(c) for c in names] + [pa.array(a) for a in added], names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in source.dtypes if n != "number")
-    return source.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    packed = source.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    if not alone:
+        return packed
+    used = F.lit(int((sequence + times).max()) if len(places) else 0).cast("long")
+    full = pieces.where(F.col("length") == capacity).withColumns({"sequence_id": used + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    return packed.unionByName(full)
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
