@@ -262,7 +262,7 @@ def fact_loads(spark: SparkSession, sf_dir: str) -> str:
         facts = fact_projection(stored_wide(spark, sf_dir))
         second = facts.withColumn("event_ts", F.lit(SECOND_AS_OF))
         third = second.where("flight_phase = 'descent'").withColumn("velocity", F.col("velocity") + 2)
-        append_facts(facts, path, "snapshot_time", FACT_KEY, 1)
+        append_facts(facts, path, "snapshot_time", FACT_KEY, 1, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
         append_facts(
             second.where("flight_phase <> 'cruise'").withColumn("velocity", F.col("velocity") + 1),
             path, "snapshot_time", FACT_KEY, 2,

@@ -124,3 +124,55 @@ def test_a_time_range_prunes_months(spark, tmp_path):
 def test_a_store_not_yet_written_is_empty(spark, tmp_path):
     store = files.read_store(spark, str(tmp_path / "none"), spark.range(1).schema)
     assert store.columns == ["id", "load_seq", "month"] and store.count() == 0
+
+
+def loads(spark, path, buckets):
+    df = spark.range(0, 3000, 1, 4).select(
+        F.timestamp_seconds(1704067200 + F.col("id") * 3600).alias("ts"),
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("k"),
+        F.lit(ts(2024, 1, 1)).alias("event_ts"),
+        F.col("id").alias("v"),
+    )
+    files.append_facts(df, path, "ts", ["k", "ts"], 1, buckets)
+    later = df.where("v % 5 = 0").withColumns({"event_ts": F.lit(ts(2024, 1, 2)), "v": F.col("v") + 1})
+    files.append_facts(later.select("v", "event_ts", "k", "ts"), path, "ts", ["k", "ts"], 2)  # other order of columns
+    files.append_facts(df.where("v % 10 = 0").withColumn("event_ts", F.lit(ts(2024, 1, 2))), path, "ts", ["k", "ts"], 3)
+    return df.schema
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranking_a_bucketed_store_needs_no_exchange(spark, tmp_path):
+    plain, dealt = str(tmp_path / "plain"), str(tmp_path / "it's dealt")
+    schema = loads(spark, plain, None)
+    loads(spark, dealt, 6)
+    kept = versions.latest(files.read_store(spark, dealt, schema), ["k", "ts"])
+    assert "Exchange" not in plan_of(kept)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, versions.latest(files.read_store(spark, plain, schema), ["k", "ts"]).collect()))
+    between = (ts(2024, 2, 3), ts(2024, 3, 9))
+    some = versions.latest(files.read_store(spark, dealt, schema, "ts", between), ["k", "ts"])
+    assert "Exchange" not in plan_of(some) and re.search(r"PartitionFilters: \[[^]]*month", plan_of(some))
+    assert some.count() == kept.where(F.col("ts").between(between[0], ts(2024, 3, 8, 23))).count() > 0
+    with pytest.raises(ValueError, match="bucketed by"):
+        files.append_facts(spark.table(files._bucketed_table(spark, dealt, files._stored(schema.fields), files.Layout(6, ["k", "ts"]))), dealt, "ts", ["k"], 4)
+
+
+def test_a_hot_key_is_dealt_to_all_buckets(spark, tmp_path):
+    path = str(tmp_path / "store")
+    schema = loads(spark, path, 6)
+    store = files.read_store(spark, path, schema)
+    hot = store.where("k = 'hot'").groupBy(F.regexp_extract(F.input_file_name(), r"_(\d{5})\.c", 1).alias("b")).count().collect()
+    assert len(hot) == 6 and max(r["count"] for r in hot) < 2 * min(r["count"] for r in hot)
+
+
+def test_a_bucketed_store_outlives_its_catalog_entry(spark, tmp_path):
+    path = str(tmp_path / "store")
+    schema = loads(spark, path, 4)
+    before = files.read_store(spark, path, schema).count()
+    for table in spark.catalog.listTables(pattern="store_*"):
+        spark.sql(f"DROP TABLE {table.name}")
+    assert files.read_store(spark, path, schema).count() == before
+    assert files.drop_expired_months(spark, path, ts(2025, 3, 20)) == ["202401", "202402"]
+    assert {r.month for r in files.read_store(spark, path, schema).select("month").distinct().collect()} == {"202403", "202404", "202405"}

@@ -145,13 +145,14 @@ def run_day(
     flights = _settle(flights_agg(points, as_of), f"{root}/work/flights_agg", ds)
     minutes = _settle(time_agg(points, as_of), f"{root}/work/time_agg", ds)
     stored_ts = {"event_ts": to_seconds(F.col("event_ts"))}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # as many as a ranking would have tasks
     stores = [
-        (fact_projection(points), "fact_flight_points", "snapshot_time", FACT_KEY),
-        (flights.withColumns(stored_ts), "flights_agg", "first_seen", FLIGHTS_KEY),
-        (minutes.withColumns(stored_ts), "time_agg", "time_window", TIME_KEY),
+        (fact_projection(points), "fact_flight_points", "snapshot_time", FACT_KEY, buckets),
+        (flights.withColumns(stored_ts), "flights_agg", "first_seen", FLIGHTS_KEY, buckets),
+        (minutes.withColumns(stored_ts), "time_agg", "time_window", TIME_KEY, None),
     ]
-    for rows, name, ts, key in stores:
-        append_facts(rows, f"{root}/{name}", ts, key, load_seq)
+    for rows, name, ts, key, dealt in stores:
+        append_facts(rows, f"{root}/{name}", ts, key, load_seq, dealt)
         drop_expired_months(spark, f"{root}/{name}", as_of)
     publish(spark, work, f"{root}/curated/flight_points", ds)
     return DayRun(points, flights, top_flights(flights), phase_distribution(points), run_summary(flights), advice)

@@ -6,7 +6,9 @@ repeated run leaves no old part files behind.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from trackmart.schemas import STATES, STATIONS
 
 DATE = "date"
 KEPT_VERSIONS = 5
+LAYOUT = "_buckets-"  # begins the name of the file that tells a store's layout
 
 
 def read_day(spark: SparkSession, path: str, ds: str, schema: T.StructType) -> DataFrame:
@@ -94,21 +97,72 @@ def publish(spark: SparkSession, source: str, target: str, ds: str) -> None:
     writer.partitionBy(DATE).parquet(target)
 
 
-def append_facts(df: DataFrame, path: str, ts: str, key: list[str], load_seq: int) -> None:
+def append_facts(df: DataFrame, path: str, ts: str, key: list[str], load_seq: int, buckets: int | None = None) -> None:
     """Append a load to a store partitioned by month of ``ts`` and sorted by its key.
 
-    Ranges over (month, key) give every task a slice of similar size, also when one month
-    or one key holds most rows, and files whose statistics allow skipping by key.
+    Without ``buckets``, ranges over (month, key) give every task a slice of similar size, also
+    when one month or one key holds most rows, and files whose statistics allow skipping by key.
+    A store whose first load names ``buckets`` deals the rows of each month to so many buckets by
+    the hash of the whole key, so that ranking its keys needs no exchange; later loads follow it.
     """
     order = [MONTH, *key]
-    (
-        df.withColumns({LOAD_SEQ: F.lit(load_seq).cast("long"), MONTH: month_of(F.col(ts))})
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("append")
-        .partitionBy(MONTH)
-        .parquet(path)
+    rows = df.withColumns({LOAD_SEQ: F.lit(load_seq).cast("long"), MONTH: month_of(F.col(ts))})
+    layout = _layout(df.sparkSession, path)
+    if layout is None and buckets and not exists(df.sparkSession, path):
+        layout = _set_layout(df.sparkSession, path, key, buckets)
+    if layout is None:
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("append").partitionBy(MONTH).parquet(path)
+        return
+    if layout.key != key:
+        raise ValueError(f"the store is bucketed by {layout.key}, not by {key}")
+    fields = [f for f in rows.schema.fields if f.name not in (LOAD_SEQ, MONTH)]
+    table = _bucketed_table(df.sparkSession, path, _stored(fields), layout)
+    columns = [f.name for f in fields] + [LOAD_SEQ, MONTH]
+    rows.select(*columns).repartition(layout.buckets, *key).write.insertInto(table)
+
+
+class Layout(NamedTuple):
+    buckets: int
+    key: list[str]
+
+
+def _stored(fields: list[T.StructField]) -> T.StructType:
+    return T.StructType([*fields, T.StructField(LOAD_SEQ, T.LongType()), T.StructField(MONTH, T.StringType())])
+
+
+def _layout(spark: SparkSession, path: str) -> Layout | None:
+    """How a bucketed store is laid out, by the name of an empty file in it; None for others."""
+    for name in names_in(spark, path):
+        if name.startswith(LAYOUT):
+            buckets, key = name.removeprefix(LAYOUT).split("-", 1)
+            return Layout(int(buckets), key.split(","))
+    return None
+
+
+def _set_layout(spark: SparkSession, path: str, key: list[str], buckets: int) -> Layout:
+    fs, file = _file_system(spark, f"{path}/{LAYOUT}{buckets}-{','.join(key)}")
+    fs.mkdirs(file.getParent())
+    fs.createNewFile(file)
+    return Layout(buckets, key)
+
+
+def _bucketed_table(spark: SparkSession, path: str, stored: T.StructType, layout: Layout) -> str:
+    """The catalog's name for a bucketed store, under which Spark knows its buckets.
+
+    The entry only describes the files: it is made again from the store's own layout wherever
+    a catalog lacks it, and goes without them.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored)
+    by = ", ".join(f"`{c}`" for c in layout.key)
+    name = f"store_{hashlib.md5(f'{path} {columns} {layout}'.encode()).hexdigest()}"
+    where = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({MONTH}) "
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {layout.buckets} BUCKETS LOCATION '{where}'"
     )
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")  # months come from the folders, whoever made or deleted them
+    spark.catalog.refreshTable(name)
+    return name
 
 
 def read_store(
@@ -119,10 +173,11 @@ def read_store(
     ``between`` keeps rows whose ``ts`` lies in [first, second). It prunes whole months and
     then goes by file statistics; versions of a key share its time, so no version is lost.
     """
-    stored = T.StructType([*schema.fields, T.StructField(LOAD_SEQ, T.LongType()), T.StructField(MONTH, T.StringType())])
+    stored = _stored(schema.fields)
     if not exists(spark, path):
         return spark.createDataFrame([], stored)
-    store = spark.read.schema(stored).parquet(path)
+    layout = _layout(spark, path)
+    store = spark.read.schema(stored).parquet(path) if layout is None else spark.table(_bucketed_table(spark, path, stored, layout))
     if between is None:
         return store
     first, last = between
