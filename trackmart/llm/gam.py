@@ -212,9 +212,17 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 
 def train(feature_table: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Fits on the labelled rows: ``labels`` has ``doc_id`` and ``label`` 0 or 1."""
+    """Fits on the labelled rows: ``labels`` has ``doc_id`` and ``label`` 0 or 1.
+
+    Of more than ``fit_rows`` rows those with the smallest hashes are taken. A limit on the hash,
+    six deviations above what is expected to do, goes first, so that the others stay where they are.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).filter("label IN (0, 1)")
-    rows = feature_table.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    labelled = feature_table.join(known, "doc_id")
+    share = (fit_rows + 6 * fit_rows**0.5) / max(1, labelled.count())
+    if share < 1:
+        labelled = labelled.filter(F.xxhash64("doc_id") < F.lit(int((2 * share - 1) * 2**63)))
+    rows = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     frame = rows.select("label", *FEATURES).toPandas()
     return fit(frame[list(FEATURES)].to_numpy(dtype=float).reshape(-1, len(FEATURES)), frame["label"].to_numpy(dtype=float))
 
