@@ -45,6 +45,17 @@ def test_quality_is_learnt_from_other_rows(spark):
     assert (ranks[held["quality"] == 1].sum() - good * (good + 1) / 2) / (good * bad) > 0.98
 
 
+def test_a_bounded_fit_takes_the_smallest_hashes(spark, monkeypatch):
+    table = spark.range(5000).select(F.col("id").alias("doc_id"), *[(F.col("id") * (i + 1) % 97).cast("double").alias(f) for i, f in enumerate(gam.FEATURES)])
+    labels = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("label"))
+    taken = []
+    monkeypatch.setattr(gam, "fit", lambda x, y: taken.append(sorted(map(tuple, x))))
+    for fit_rows in (300, 4990, 9000):
+        gam.train(table, labels, fit_rows)
+        expected = table.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).drop("doc_id").collect()
+        assert taken.pop() == sorted(map(tuple, expected))
+
+
 def base_scores(rows, held_out):
     counts = Counter()
     for doc_id, text in rows:
@@ -68,6 +79,27 @@ def test_unigram_base(spark, word_classes, hot_words):
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def test_hot_words_are_whole_steps_of_counts(spark):
+    rows = [(f"w{i}".encode(), 1 + 40 * (i < 9)) for i in range(500)] + [(b"", 7)]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    vocab = lm.vocabulary(counts, word_classes=4, hot_words=100)
+    assert vocab.hot[:4] == [b"", b"w0", b"w1", b"w2"] and set(vocab.hot) == {b"", *[f"w{i}".encode() for i in range(9)]}
+    assert (vocab.total, vocab.distinct, vocab.singles) == (sum(n for _, n in rows), 501, 4)
+    assert len(lm.vocabulary(counts, word_classes=30, hot_words=100).hot) == 30  # classes come first
+
+
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TRAINER_TOKENS", 1 << 16)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    gains = []
+    for parts in (2, 64):
+        held = lm.score_texts(docs.repartition(parts), F.crc32(F.col("doc_id").cast("string")) % 7 == 2).filter("held_out")
+        sums = held.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+        gains.append((sums["score"] - sums["base"]) / sums["n"])
+    print(gains)
+    assert min(gains) > 0.1 and abs(gains[0] - gains[1]) < 0.01
+
+
 def test_nothing_to_learn_from(spark):
     assert lm.score_texts(empty(spark), F.lit(False)).collect() == []
     got = lm.score_texts(documents(spark, ["a b", None]), F.lit(True), rounds=1).filter("doc_id = 0").first()

@@ -5,8 +5,9 @@ the most frequent words and the end of a text are classes of their own, all othe
 classes by their last two bytes. The words of such a class share its probability by their corpus
 counts plus one, with one unit more for all unseen words. Two position matrices turn the context's vectors into a predicted vector, whose
 products with the target vectors, plus biases, are the scores. Training sees the whole training
-text: every task trains in numpy on its own rows against noise drawn from the unigram
-distribution, then the tasks' parameters are averaged by their weight, for a few rounds. For
+text: texts are dealt by id to trainers, whose number follows from the tokens and not from how the
+table is stored; each trains in numpy on its texts against noise drawn from the unigram
+distribution, then their parameters are averaged by their weight, for a few rounds. For
 scoring, the sums over all classes are formed exactly for every context, so that probabilities
 add up to one.
 
@@ -34,6 +35,8 @@ WORD_CLASSES = 384
 ENDING_CLASSES = 128
 HOT_WORDS = 1 << 16  # words whose counts every task holds; the others are joined
 WIDTH, NOISE, BATCH, ROUNDS, RATE = 16, 64, 1024, 2, 0.05
+TRAINER_TOKENS = 1 << 22  # a trainer sees about so many in a round
+LEVELS = 16  # steps of word counts per doubling, by which hot words are told
 FLUSH_WORDS = 400_000
 END = b""
 
@@ -96,9 +99,16 @@ def vocabulary(counts: DataFrame, word_classes: int = WORD_CLASSES, hot_words: i
     for r in sums:
         by_count[r["e"]], by_words[r["e"]] = r["n"], r["words"]
     total, distinct = int(by_count.sum()), int(by_words.sum())
-    top = counts.orderBy(F.desc("n"), "word").limit(hot_words).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(min(word_classes, hot_words)).collect()
+    # hot words beyond the classes: whole steps of counts, from the top, as far as they fit
+    level = F.floor(F.log2("n") * LEVELS)
+    steps = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    fitting = [r["level"] for r, held in zip(steps, np.cumsum([r["count"] for r in steps]), strict=True) if held <= hot_words]
+    hot = counts.filter(level >= fitting[-1]).collect() if fitting else []
     # the end token always is a class
-    known = {bytes(r["word"]): r["n"] for r in [*top, *counts.filter(F.length("word") == 0).collect()]}
+    ends = counts.filter(F.length("word") == 0).collect()
+    ranked = sorted({(-r["n"], bytes(r["word"])) for r in [*top, *hot, *ends]})
+    known = {word: -n for n, word in ranked}
     words = [END, *(w for w in known if w != END)]
     singles = min(word_classes, len(words))
     for word in words[:singles]:
@@ -251,10 +261,13 @@ class Trainer:
 
 
 def train(coded: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
-    """Rounds of training in all tasks, each followed by averaging the parameters."""
+    """Rounds of training by all trainers, each followed by averaging the parameters."""
     noise = vocab.noise()
     model = LogBilinear.start(noise)
-    source = coded.filter("NOT held_out").select("codes")
+    trainers = max(1, -(-vocab.total // TRAINER_TOKENS))
+    # rows without id have no other key than their place
+    dealt = F.xxhash64(F.coalesce("doc_id", "row_key"))
+    source = coded.filter("NOT held_out").select("codes", dealt.alias("dealt")).repartition(trainers, "dealt").select("codes")
     for number in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], model=model, number=number) -> Iterator[pa.RecordBatch]:
