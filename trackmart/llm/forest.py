@@ -1,9 +1,10 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join with MinHash banding and exact verification.
 
 Documents are sets of hashed five-word shingles. Documents with one and the same set are copies
-and stand for one *node*. Each tree of the forest orders the nodes by a path of minimum hashes;
-nodes with a common prefix of their paths are candidates. Prefixes start at full depth and are
-shortened until pairs at the threshold are found with the target recall. In every group of
+and stand for one *node*. Each of 24 trees gives a node a path of minimum hashes, of which a prefix
+is used as one hash: nodes with the same prefix in a tree are candidates. The length of the prefix is
+worked out beforehand from the threshold and the target recall (5 of 8 here) and is the same in all
+trees; it is not adapted to what is found, and no sorted order of paths is kept. In every group of
 candidates all nodes are linked to the smallest, never to each other, and connected components
 of these links hold all candidate pairs. Within a component every pair is verified exactly, by
 products of 0/1 matrices over shared shingles. Small components are verified several a task; a
