@@ -3,9 +3,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.serializers import CloudPickleSerializer
 
 from trackmart.llm import forest, repeats
 from trackmart.llm.graph import connected_components
@@ -167,3 +169,21 @@ def test_suffix_array_and_common_prefixes(contents):
         a, b = suffixes[order[k - 1]], suffixes[order[k]]
         common = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert shared[k] == min(common, 200)
+
+
+@pytest.mark.parametrize("count", [300, 1 << 24])
+def test_a_filter_travels_as_a_broadcast(spark, count):
+    """Neither the driver's closures nor what it gathers hold the bits by the row."""
+    hashes = RNG.integers(-(2**63), 2**63 - 1, 300)
+    known = repeats.Filter(spark.createDataFrame([(int(h),) for h in hashes], "h long"), "h", count)
+    assert known(hashes.view(np.uint64)).all()
+    others = RNG.integers(0, 2**63, 20000).astype(np.uint64)
+    assert known(others).mean() < 0.05
+    assert len(CloudPickleSerializer().dumps(lambda: known)) < 10_000
+    rows = spark.createDataFrame([(int(h),) for h in hashes[:50]], "h long").repartition(3)
+
+    def found(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(known(batch.column("h").to_numpy().view(np.uint64))))
+
+    assert rows.mapInArrow(found, "h long").count() == 50

@@ -38,6 +38,7 @@ SHARDS_PER_TASK = 8
 SPLIT = 2000  # distinct pieces of one anchor in one shard
 RANGE_PIECES = 8192  # pieces of one anchor whose hashes one range holds
 FILTER_BITS = 28  # the filter of repeated anchors has at most 2**28 bits
+FILTER_BLOCK = 1 << 18  # bits of it that one group of a task puts together
 
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -165,21 +166,33 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
 
 
 class Filter:
-    """A set of hashes as bits; may hold more than was put in. Its size has a fixed bound."""
+    """A set of hashes as bits; may hold more than was put in. Its size has a fixed bound. Tasks put
+    the bits together by the block, the driver only joins the blocks and hands them on as a
+    broadcast, of which a worker holds one copy."""
 
     def __init__(self, hashes: DataFrame, column: str, count: int):
         self.bits = min(FILTER_BITS, max(16, int(16 * count).bit_length()))
-        h, mask = F.col(column), (1 << self.bits) - 1
+        h, mask, size = F.col(column), (1 << self.bits) - 1, min(FILTER_BLOCK, 1 << self.bits)
         places = F.explode(F.array(h.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(h, 34).bitwiseAND(F.lit(mask)))).alias("place")
-        bit = F.expr("shiftleft(1L, CAST(place & 63 AS INT))")
-        words = hashes.select(places).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("set")).toPandas()
-        self.words = np.zeros(1 << (self.bits - 6), dtype=np.uint64)
-        self.words[words["word"].to_numpy(dtype=np.int64)] = words["set"].to_numpy(dtype=np.int64).view(np.uint64)
+
+        def packed(group: pa.Table) -> pa.Table:
+            place = group.column("place").to_numpy()
+            flags = np.zeros(size, dtype=bool)
+            flags[place % size] = True
+            bits = np.packbits(flags, bitorder="little").tobytes()
+            return pa.table([pa.array([place[0] // size], pa.int64()), pa.array([bits], pa.binary())], names=["block", "bits"])
+
+        blocks = hashes.select(places).groupBy(F.floor(F.col("place") / size)).applyInArrow(packed, "block long, bits binary")
+        words = np.zeros(1 << (self.bits - 6), dtype="<u8")
+        raw, step = words.view(np.uint8), size // 8
+        for block, bits in written(blocks, "filter").toLocalIterator():
+            raw[block * step : (block + 1) * step] = np.frombuffer(bits, dtype=np.uint8)
+        self.words = hashes.sparkSession.sparkContext.broadcast(words)
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        out, mask = np.ones(len(h), dtype=bool), np.uint64((1 << self.bits) - 1)
+        out, mask, words = np.ones(len(h), dtype=bool), np.uint64((1 << self.bits) - 1), self.words.value
         for place in (h & mask, (h >> np.uint64(34)) & mask):
-            out &= (self.words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+            out &= (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
         return out
 
 
