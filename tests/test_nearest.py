@@ -173,3 +173,23 @@ def test_points_are_not_shuffled(skewed):
     plan = nearest_station(points, stations)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan.split("InMemoryRelation")[0]
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_lookup_keys_are_no_filter_of_the_points(spark, skewed):
+    """A filter by the keys would work out positions a second time, below the projections."""
+    points, stations, expected = skewed
+    raw = points.select("icao24", "snapshot_ts", "latitude", "longitude", "height", "velocity", "vertical_rate", "on_ground")
+    lost = raw.limit(1).withColumns({"icao24": F.lit("lost"), "latitude": F.lit(None).cast("double")})
+    found = nearest_station(enrich_points(raw.unionByName(lost)), stations, leaf_stations=6)
+    assert "isnotnull(FLOOR" not in found._jdf.queryExecution().optimizedPlan().toString()
+    agree(answer(found), expected)
+
+
+def test_lists_are_refined_by_rows_not_by_bytes(skewed, monkeypatch):
+    points, stations, expected = skewed
+    monkeypatch.setattr(nearest, "TASK_ROWS", 16)
+    dealt, real = [], nearest._spread
+    monkeypatch.setattr(nearest, "_spread", lambda lists: dealt.append((lists.count(), real(lists))) or dealt[-1][1])
+    agree(answer(nearest_station(points, stations, leaf_stations=6)), expected)
+    assert any(n > 16 for n, _ in dealt)
+    assert all(df.rdd.getNumPartitions() == -(-n // 16) for n, df in dealt if n > 16)

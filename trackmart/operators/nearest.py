@@ -39,6 +39,7 @@ from trackmart.sources.files import exists
 
 LEAF_STATIONS = 64
 FIRST_PAIRS = 1 << 22  # of cells and stations, where lists begin
+TASK_ROWS = 1 << 13  # entries of lists that one task refines
 
 _CELL = ["cell_x", "cell_y", "cell_z"]
 _OUTER = ["outer_x", "outer_y", "outer_z"]
@@ -52,6 +53,7 @@ _TILE_EDGE_M = 2.0**12
 _SCAN_EDGE_M = 2.0**6  # edge of the occupied cells that the scan of the points yields
 _LAST_EDGE_M = 1.0
 _REFINE = 4
+_NOWHERE = -(1 << 62)
 
 
 def nearest_station(points: DataFrame, stations: DataFrame, *, leaf_stations: int = LEAF_STATIONS) -> DataFrame:
@@ -113,9 +115,9 @@ def _keyed(points: DataFrame, edges: DataFrame | None) -> DataFrame:
     """Points with the edge and the place of the cell whose list they take."""
     placed = points.withColumn("edge", F.lit(_TILE_EDGE_M))
     if edges is not None:
-        placed = points.withColumns(_named(_TILE, _position_cells(_TILE_EDGE_M))).join(broadcast_if_small(edges), _TILE, "left")
+        placed = points.withColumns(_named(_TILE, _keys(_TILE_EDGE_M))).join(broadcast_if_small(edges), _TILE, "left")
         placed = placed.withColumn("edge", F.coalesce("edge", F.lit(_TILE_EDGE_M))).drop(*_TILE)
-    return placed.withColumns(_named(_CELL, [F.floor(F.col(c) / F.col("edge")) for c in _POSITION]))
+    return placed.withColumns(_named(_CELL, _keys(F.col("edge"))))
 
 
 def _arrays(entries: DataFrame, sites: DataFrame) -> DataFrame:
@@ -223,7 +225,7 @@ class StationIndex:
         """Adds the lists of cells that no list is known of; returns how many steps that took."""
         spark, steps = points.sparkSession, 0
         known = broadcast_if_small(self._read(spark, "edges"))
-        placed = points.withColumns(_named(_TILE, _position_cells(_TILE_EDGE_M)))
+        placed = points.withColumns(_named(_TILE, _keys(_TILE_EDGE_M)))
         fresh = placed.join(known, _TILE, "left_anti").drop(*_TILE)
         if not fresh.isEmpty():
             found = lists_of(fresh, self.sites, self.leaf_stations)
@@ -237,7 +239,7 @@ class StationIndex:
             steps += 1
         # cells that are new in tiles already cut
         cut = self._read(spark, "edges").where(F.col("edge") < _TILE_EDGE_M)
-        inside = placed.join(broadcast_if_small(cut), _TILE).withColumns(_named(_CELL, [F.floor(F.col(c) / F.col("edge")) for c in _POSITION]))
+        inside = placed.join(broadcast_if_small(cut), _TILE).withColumns(_named(_CELL, _keys(F.col("edge"))))
         cells = inside.select(*_TILE, "edge", *_CELL).distinct()
         new = settled(cells.join(self._read(spark, "lists").select("edge", *_CELL), ["edge", *_CELL], "left_anti"), "new-cells")
         if not new.isEmpty():
@@ -269,25 +271,46 @@ def sites_of(stations: DataFrame) -> DataFrame:
 def _shortened(cells: DataFrame, lists: DataFrame, on: list[str], sites: DataFrame, edge: float | Column) -> DataFrame:
     """Every cell with those stations of its outer list that can be nearest to a point inside it.
 
-    Only the number of each cell's nearest station is exchanged, in fixed-width buffers. The
-    pairs stay where they are made as long as the cells, and hence their nearest stations, are
-    few enough to be broadcast.
+    Only the number of each cell's nearest station is exchanged, in fixed-width buffers. Pairs
+    are made twice, first to find it and then to keep what is near it, and never leave the task
+    that makes them: lists meet a broadcast of the cells, or, where these are too many, the cells
+    of their outer cell, by which all of it is dealt. Lists are a short table with many pairs to a
+    row, so their tasks go by rows, not by bytes.
     """
     side = broadcast_if_small(cells)
+    if side is not cells:
+        lists = _spread(lists)
     centre = [(F.col(c) + 0.5) * edge for c in _CELL]
     at = [F.col(c) for c in _STATION_POSITION]
     squares = sum(((m - s) * (m - s) for m, s in zip(centre, at)), F.lit(0.0))
-    measured = side.join(lists, on).withColumn("d2", squares)
-    key = [c for c in ("edge", *_CELL) if c in cells.columns]
-    nearest = measured.groupBy(*key).agg(F.min("d2").alias("near_d2"), F.min_by("number", "d2").alias("near"))
+
+    def met(cells: DataFrame) -> DataFrame:
+        return cells.join(lists, on).withColumn("d2", squares)
+
+    nearest = met(side).groupBy(*cells.columns).agg(F.min("d2").alias("near_d2"), F.min_by("number", "d2").alias("near"))
     placed = sites.select(F.col("number").alias("near"), *[s.alias(f"near_{c}") for s, c in zip(at, "xyz")])
     closest = nearest.join(placed, "near").drop("near")
     apart = sum((F.abs(F.col(f"near_{c}") - s) for s, c in zip(at, "xyz")), F.lit(0.0))
     margin = 1e-3 + 1e-13 * (F.col("d2") + F.col("near_d2"))
-    kept = measured.join(closest if side is cells else F.broadcast(closest), key)
+    kept = met(closest if side is cells else F.broadcast(closest))
     return kept.where(F.col("d2") - F.col("near_d2") <= edge * apart + margin).select(*cells.columns, "number", *_STATION_POSITION)
 
 
+def _spread(lists: DataFrame) -> DataFrame:
+    """Lists dealt to tasks of some thousand rows."""
+    tasks = -(-lists.count() // TASK_ROWS)
+    return lists.repartition(tasks, "number") if tasks > 1 else lists
+
+
+def _keys(edge: float | Column) -> list[Column]:
+    """The cell of a point, to look it up by; one that no list has where there is no position.
+
+    Keys that can be null would let Spark filter the points by them first, below the projections:
+    a filter that repeats every formula from the raw columns on, in a method too long to be compiled.
+    """
+    return [F.coalesce(F.floor(F.col(c) / edge), F.lit(_NOWHERE)) for c in _POSITION]
+
+
 def _position_cells(edge: float) -> list[Column]:
     return [F.floor(F.col(c) / edge) for c in _POSITION]
 
