@@ -65,3 +65,11 @@ def test_a_batch_opens_only_the_slots_it_touches(spark, points, tmp_path):
     assert read_slots(spark, path, MINUTE_PARTIALS, [0]).count() == part.count() + 3
     assert "PartitionFilters: [isnotnull(slot" in found._jdf.queryExecution().toString()
     assert read_slots(spark, path, MINUTE_PARTIALS, [99]).count() == 0
+
+
+def test_many_slots_are_written_by_several_tasks(spark, tmp_path):
+    seconds = spark.range(100).select((F.col("id") * 600).alias("snapshot_ts"))
+    write_slots(seconds, str(tmp_path / "slots"), F.col("snapshot_ts"), 600, 1, 100)
+    written = {f.name.split("-")[1] for f in (tmp_path / "slots").rglob("part-*.parquet")}
+    assert len(written) > 1
+    assert read_slots(spark, str(tmp_path / "slots"), seconds.schema, list(range(100))).count() == 100

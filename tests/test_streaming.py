@@ -96,6 +96,19 @@ def test_broken_lines_are_set_aside(spark, tmp_path):
     assert {r.rule for r in refused.collect()} == {"payload_unreadable", "payload_time_missing"}
 
 
+def test_checks_of_a_batch_do_not_parse_it_again(spark, landing, tmp_path, monkeypatch):
+    checked, run_rules = [], ingest.run_rules
+
+    def recorded(df, rules):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        checked.append(("InMemoryTableScan" in plan, any("json" in str(r.broken) for r in rules)))
+        return run_rules(df, rules)
+
+    monkeypatch.setattr(ingest, "run_rules", recorded)
+    run(spark, landing, tmp_path)
+    assert checked == [(True, False)] * 2  # the lines, and the states
+
+
 @pytest.mark.parametrize("max_files", [None, 2])
 def test_minutes_equal_batch_to_the_last(spark, landing, tmp_path, max_files):
     store = str(tmp_path / "store")

@@ -84,6 +84,13 @@ def dim_station_rules() -> list[Rule]:
     ]
 
 
+def marked(df: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame, list[Rule]]:
+    """``df`` with a column per rule, and the same rules on those columns: where a frame is kept,
+    predicates that are dear are worked out once for all that asks for them."""
+    rules = list(rules)
+    return df.withColumns({r.name: r.broken for r in rules}), [Rule(r.name, F.col(r.name)) for r in rules]
+
+
 def rule_counts(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """One row per rule: (rule, violations), from a single pass over ``df``."""
     rules = list(rules)

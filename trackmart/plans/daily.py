@@ -29,6 +29,7 @@ from trackmart.operators.quality import (
     dim_flight_checks,
     dim_station_checks,
     geometry_rules,
+    marked,
     observed,
     payload_rules,
     require,
@@ -41,7 +42,7 @@ from trackmart.operators.quality import (
 )
 from trackmart.operators.versions import fact_projection, to_seconds
 from trackmart.plans.reports import phase_distribution, run_summary, top_flights
-from trackmart.runtime import checkpointed
+from trackmart.runtime import checkpointed, settled
 from trackmart.schemas import DIM_STATION, FACT_KEY, FLIGHTS_KEY, TIME_KEY
 from trackmart.sources.buckets import replace_buckets
 from trackmart.sources.files import (
@@ -55,7 +56,7 @@ from trackmart.sources.files import (
 )
 from trackmart.sources.flights import changed_flights
 from trackmart.sources.history import read_closed, read_open, write_history
-from trackmart.sources.snapshots import first_polls, parse_snapshots, read_polls
+from trackmart.sources.snapshots import earliest, lines_of, parse_snapshots, poll_time, read_polls
 from trackmart.sources.stations import airports_in_region, read_airports, stations_from_airports
 
 # Default region of observation, degrees.
@@ -93,9 +94,11 @@ def load_day(
     require_rows(airports_in_region(airports, bbox), "no_stations_in_region")
     write_day(stations_from_airports(airports, bbox), f"{root}/stations", ds)
 
-    polls = read_polls(spark, landing, by_name)
-    require(run_rules(polls, payload_rules()))
-    states = states_in_bbox(parse_snapshots(first_polls(polls)).drop("arrival"), bbox)
+    judged, rules = marked(read_polls(spark, landing, by_name).withColumn("snapshot_ts", poll_time()), payload_rules())
+    polls = settled(judged, "polls")  # the lines are parsed here for their checks, and below for their states
+    require(run_rules(polls, rules))
+    timed = polls.select("value", "arrival", "snapshot_ts").where("snapshot_ts IS NOT NULL")
+    states = states_in_bbox(parse_snapshots(lines_of(timed, earliest(timed))).drop("arrival"), bbox)
     require_rows(states, "no_points_collected")
     write_day(states, f"{root}/states", ds)
 

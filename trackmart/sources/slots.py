@@ -15,15 +15,20 @@ from pyspark.sql import types as T
 from trackmart.sources.files import exists
 
 SLOT, EPOCH = "slot", "epoch"
+TASK_SLOTS = 32  # files that one task writes
 
 
 def slot_of(seconds: Column, length: int) -> Column:
     return F.floor(seconds / length).cast("long")
 
 
-def write_slots(df: DataFrame, path: str, seconds: Column, length: int, epoch: int) -> None:
-    """Put the rows of a batch into their slots, one file each; rows are few, and narrow."""
-    placed = df.withColumns({SLOT: slot_of(seconds, length), EPOCH: F.lit(epoch)}).repartition(SLOT)
+def write_slots(df: DataFrame, path: str, seconds: Column, length: int, epoch: int, slots: int = 1) -> None:
+    """Put the rows of a batch into their slots, one file each; rows are few, and narrow.
+
+    ``slots`` says how many there are, about: files, not bytes, are what their tasks are dealt by.
+    """
+    placed = df.withColumns({SLOT: slot_of(seconds, length), EPOCH: F.lit(epoch)})
+    placed = placed.repartition(-(-slots // TASK_SLOTS), SLOT) if slots > TASK_SLOTS else placed.repartition(SLOT)
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(SLOT, EPOCH).parquet(path)
 

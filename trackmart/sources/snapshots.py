@@ -80,8 +80,17 @@ def first_polls(polls: DataFrame) -> DataFrame:
     parsed later, once, from the lines that are left. Lines without time are none of them.
     """
     timed = polls.withColumn("snapshot_ts", poll_time()).where("snapshot_ts IS NOT NULL")
-    first = checkpointed(timed.groupBy("snapshot_ts").agg(F.min("arrival").alias("arrival")))
-    return timed.join(broadcast_if_small(first), ["snapshot_ts", "arrival"], "left_semi").drop("snapshot_ts")
+    return lines_of(timed, earliest(timed))
+
+
+def earliest(timed: DataFrame) -> DataFrame:
+    """``snapshot_ts`` and the ``arrival`` of its first poll, for lines whose time is known."""
+    return checkpointed(timed.groupBy("snapshot_ts").agg(F.min("arrival").alias("arrival")))
+
+
+def lines_of(timed: DataFrame, polls: DataFrame) -> DataFrame:
+    """The lines of some polls."""
+    return timed.join(broadcast_if_small(polls), ["snapshot_ts", "arrival"], "left_semi").drop("snapshot_ts")
 
 
 def dedup_snapshots(states: DataFrame, arrival: str = "arrival") -> DataFrame:

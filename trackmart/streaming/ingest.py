@@ -26,14 +26,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from trackmart.operators.enrich import clean_points, enrich_points
 from trackmart.operators.nearest import StationIndex
 from trackmart.operators.partials import minute_partials, time_agg_of
-from trackmart.operators.quality import payload_rules, require, run_rules, state_rules
+from trackmart.operators.quality import marked, payload_rules, require, run_rules, state_rules
 from trackmart.runtime import broadcast_if_small, checkpointed
 from trackmart.schemas import MINUTE_PARTIALS, STATES, TIME_KEY
 from trackmart.sources.buckets import replace_buckets
 from trackmart.sources.files import append_facts, exists
 from trackmart.sources.flights import changed_flights
 from trackmart.sources.slots import EPOCH, read_slots, slots_in, write_slots
-from trackmart.sources.snapshots import file_lines, first_polls, parse_snapshots, poll_time, with_arrival
+from trackmart.sources.snapshots import earliest, file_lines, lines_of, parse_snapshots, poll_time, with_arrival
 
 HOUR, TEN_MINUTES = 3600, 600
 
@@ -77,28 +77,30 @@ def ingest(payloads: DataFrame, path: str, *steps: Step, by_name: bool = False)
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        lines = with_arrival(batch, by_name).persist()
+        # all that is asked of the lines is worked out as they are kept; one more parse yields the states
+        judged, rules = marked(with_arrival(batch, by_name).withColumn("snapshot_ts", poll_time()), payload_rules())
+        broken, wrong = rules[:2], rules[2:]
+        lines, states = judged.persist(), None
         try:
-            rules = payload_rules()
-            broken, wrong = rules[:2], rules[2:]
             reasons = F.coalesce(*[F.when(r.broken, F.lit(r.name)) for r in broken])
             refused = lines.select(reasons.alias("rule"), "value").where("rule IS NOT NULL")
             refused.write.mode("overwrite").parquet(f"{path}/refused/{EPOCH}={epoch}")
             good = lines.where(reasons.isNull())
             require(run_rules(good, wrong))
             times = T.StructType().add("snapshot_ts", T.LongType())
-            timed = good.withColumn("snapshot_ts", poll_time())
-            known = read_slots(spark, f"{path}/seen", times, slots_in(timed, F.col("snapshot_ts"), HOUR))
+            timed = good.select("value", "arrival", "snapshot_ts")
+            slots = slots_in(timed, F.col("snapshot_ts"), HOUR)
+            known = read_slots(spark, f"{path}/seen", times, slots)
             seen = known.where(F.col(EPOCH) < epoch).select("snapshot_ts").distinct()
-            new = timed.join(broadcast_if_small(seen), "snapshot_ts", "left_anti")
-            first = checkpointed(first_polls(new.drop("snapshot_ts")))
-            states = parse_snapshots(first).drop("arrival")
+            first = earliest(timed.join(broadcast_if_small(seen), "snapshot_ts", "left_anti"))
+            states = parse_snapshots(lines_of(timed, first)).drop("arrival").persist()
             require(run_rules(states, state_rules()))
             states.write.mode("overwrite").parquet(f"{path}/states/{EPOCH}={epoch}")
-            taken = first.select(poll_time().alias("snapshot_ts"))
-            write_slots(taken, f"{path}/seen", F.col("snapshot_ts"), HOUR, epoch)
+            write_slots(first.select("snapshot_ts"), f"{path}/seen", F.col("snapshot_ts"), HOUR, epoch, len(slots))
         finally:
             lines.unpersist()
+            if states is not None:
+                states.unpersist()
         stored = spark.read.schema(STATES).parquet(f"{path}/states/{EPOCH}={epoch}")
         if not stored.isEmpty():
             for step in steps:
@@ -137,8 +139,8 @@ def minute_step(path: str, store: str, stations: DataFrame | None = None, as_of:
             if not kept:
                 kept.append(StationIndex(f"{path}/station-index", stations))
             points = kept[0].nearest(points, epoch)
-        write_slots(minute_partials(points), parts, minute, TEN_MINUTES, epoch)
         slots = slots_in(states, F.col("snapshot_ts"), TEN_MINUTES)
+        write_slots(minute_partials(points), parts, minute, TEN_MINUTES, epoch, len(slots))
         near = read_slots(spark, parts, MINUTE_PARTIALS, slots).where(F.col(EPOCH) <= epoch)
         touched = checkpointed(near.where(F.col(EPOCH) == epoch).select("minute").distinct())
         whole = near.join(broadcast_if_small(touched), "minute", "left_semi")
