@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -103,3 +104,10 @@ def test_links_come_in_chunks_without_repeats():
 def test_empty_table_and_query_columns(spark):
     assert found(empty(spark)) == []
     assert "op13_token_alignment" in queries.QUERIES
+
+
+def test_tokens_spell_their_documents_as_bytes():
+    tokens = pa.array([b" a", b"b", "é".encode()], pa.binary())
+    side = alignment.Side(alignment.lists([np.array([0, 1]), np.array([], dtype=int), np.array([2, 2])]), tokens)
+    assert side.texts() == [b" ab", b"", "éé".encode()]
+    assert all(type(t) is bytes for t in side.texts())

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,8 +90,10 @@ class Side:
         self.end = total - self.starts[self.parent.to_numpy()]
         self.spelled = spelled.buffers()[2]
 
-    def text(self, doc: int) -> memoryview:
-        return memoryview(self.spelled or b"").cast("B")[self.starts[doc] : self.starts[doc + 1]]
+    def texts(self) -> list[bytes]:
+        """What the tokens of every document spell; bytes, as views are compared one byte at a time."""
+        spelled, starts = memoryview(self.spelled or b"").cast("B"), self.starts.tolist()
+        return [spelled[a:b].tobytes() for a, b in zip(starts, starts[1:])]
 
     def ends(self, name: str) -> pa.Table:
         """Document and end of every token as one key, with the token's place."""
@@ -116,7 +119,7 @@ def align(raw: list[str], a_ids: list[np.ndarray], b_ids: list[np.ndarray], a_to
     ``doc, a, b, n`` that hold the distinct links, ascending by document, no pair in two tables.
     """
     sides = Side(lists(a_ids), a_tokens), Side(lists(b_ids), b_tokens)
-    whole = [bool(t) and all(s.text(i) == b" " + t.encode() for s in sides) for i, t in enumerate(raw)]
+    whole = [bool(t) and x == y == b" " + t.encode() for t, x, y in zip(raw, *[s.texts() for s in sides], strict=True)]
     if not all(whole):
         sides = tuple(Side(lists([x if w else x[:0] for x, w in zip(ids, whole)]), t) for ids, t in ((a_ids, a_tokens), (b_ids, b_tokens)))
     a, b = sides
@@ -217,7 +220,7 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, link_rows: int = LINK_ROW
         for batch in _portions(batches):
             raw = batch.column("text").to_pylist()
             a_ids = [np.frombuffer(x, dtype="<u4") for x in encode([" " + t for t in raw])]
-            b_ids = [np.array(x, dtype=np.int32) for x in pieces.encode(raw, num_threads=1)]
+            b_ids = [np.frombuffer(array("i", x), dtype=np.int32) for x in pieces.encode(raw, num_threads=1)]
             counts, listed, links = align(raw, a_ids, b_ids, a_tokens, b_tokens, link_rows)
             digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in listed]
             chunk = np.zeros(len(raw), dtype=np.int32)

@@ -154,28 +154,20 @@ class WordEncoder:
             batch = [t.lower() if t.isascii() else t for t in batch]
         words = [text.split(" ") for text in batch]
         heads = [w.pop(0) for w in words]
-        known, found, gaps, new = self.known, [], [], set()
-        for some in words:
-            ids, holes, at = list(map(known.get, some)), [], 0
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at)
-                holes.append(at)
-                new.add(some[at])
-                at += 1
-            found.append(ids)
-            gaps.append(holes)
-        odd = {w for w in new if not w or w[-1].isspace()}
-        self.add(new - odd)
-        out = []
-        for text, head, some, ids, holes in zip(batch, heads, words, found, gaps, strict=True):
-            if head[-1:].isspace() or (odd and any(some[i] in odd for i in holes)):
+        new = set().union(*words).difference(self.known)
+        self.add({w for w in new if w and not w[-1].isspace()})
+        known, out = self.known.__getitem__, []
+        for text, head, some in zip(batch, heads, words, strict=True):
+            try:
+                after = None if head[-1:].isspace() else b"".join(map(known, some))
+            except KeyError:  # a word that is empty or ends in white space has no ids of its own
+                after = None
+            if after is None:
                 out.append(self.alone(text))
                 continue
-            for i in holes:
-                ids[i] = known[some[i]]
             if head not in self.heads:
                 self.heads[head] = self.alone(head)
-            out.append(self.heads[head] + b"".join(ids))
+            out.append(self.heads[head] + after)
         return out
 
 
