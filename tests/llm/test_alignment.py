@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.cases import TEXTS, documents, empty, rows_of
 from trackmart.llm import alignment, queries
+from trackmart.llm.common import WordEncoder
 
 FILES = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
 MORE = ["▁odd", "a  b   c", " lead", "tail  ", "été ﬁ ＡＢ", "<s> x </s>", "́a‍👩‍👩‍👧", "日本語" * 50, "xyz" * 700, "1234567890" * 30]
@@ -111,3 +112,14 @@ def test_tokens_spell_their_documents_as_bytes():
     side = alignment.Side(alignment.lists([np.array([0, 1]), np.array([], dtype=int), np.array([2, 2])]), tokens)
     assert side.texts() == [b" ab", b"", "éé".encode()]
     assert all(type(t) is bytes for t in side.texts())
+
+
+def test_many_portions_are_encoded_at_once(monkeypatch):
+    raw = [f"word {i} of{'f' * (i % 7)} x." * (i % 40) for i in range(1300)]
+    encode, whole = WordEncoder(FILES[0]), []
+    monkeypatch.setattr(encode, "coded", lambda texts, coded=encode.coded: whole.append(len(texts)) or coded(texts))
+    got = list(alignment._encoded_portions(iter([pa.record_batch({"text": raw})]), encode))
+    assert whole == [1300] and len(got) > 2
+    assert [t for batch, _ in got for t in batch.column("text").to_pylist()] == raw
+    tokenizer = Tokenizer.from_file(FILES[0])
+    assert [x.tolist() for _, ids in got for x in ids] == [tokenizer.encode(" " + t, add_special_tokens=False).ids for t in raw]

@@ -28,6 +28,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +36,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import drop_encoders, slices, texts, tokenizer_encoder, written
+from trackmart.llm.common import WordEncoder, drop_encoders, portions, slices, texts, tokenizer_encoder, written
 from trackmart.runtime import broadcast_if_small
 
 HOT_PAIRS = 1 << 20
 LINK_ROWS = 1 << 18  # of the documents aligned at a time, and of a stored row
-KNOWN_WORDS = 200_000  # words of which an encoder remembers the ids
+KNOWN_WORDS = 600_000  # parts of texts of which an encoder remembers the ids
 PARTIAL_ROWS = 1 << 20  # of the partial counts of a task
 TEXT_CHARS = 1 << 18  # characters of the texts aligned at a time
+ENCODED_BYTES = 1 << 22  # of the texts that are encoded by A at a time
 ID_BITS = 26  # of a token id, where a document's place and two ids are one key
 ID_MASK = (1 << ID_BITS) - 1
 
@@ -206,6 +208,16 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start = end
 
 
+def _encoded_portions(batches: Iterator[pa.RecordBatch], encode: WordEncoder) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Portions with the ids of a space and each text; many portions are encoded at once."""
+    for batch in batches:
+        for whole in portions(batch, ENCODED_BYTES):
+            ids, at = encode.coded(pc.binary_join_element_wise("", whole.column("text"), " "))
+            split = iter(np.split(ids, at[1:-1]))
+            for part in _portions(iter([whole])):
+                yield part, list(islice(split, part.num_rows))
+
+
 def aligned(docs: DataFrame, a_file: str, b_file: str, link_rows: int = LINK_ROWS) -> DataFrame:
     """Per document its figures, groups as a text digest, and distinct links, in ``chunk`` 0 and
     further rows if there are many; equal texts have equal rows."""
@@ -217,9 +229,8 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, link_rows: int = LINK_ROW
         encode.limit = KNOWN_WORDS
         pieces = sentencepiece.SentencePieceProcessor(model_file=b_file)
         a_tokens, b_tokens = byte_level_tokens(encode.tokenizer), piece_tokens(pieces)
-        for batch in _portions(batches):
+        for batch, a_ids in _encoded_portions(batches, encode):
             raw = batch.column("text").to_pylist()
-            a_ids = [np.frombuffer(x, dtype="<u4") for x in encode([" " + t for t in raw])]
             b_ids = [np.frombuffer(array("i", x), dtype=np.int32) for x in pieces.encode(raw, num_threads=1)]
             counts, listed, links = align(raw, a_ids, b_ids, a_tokens, b_tokens, link_rows)
             digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in listed]
