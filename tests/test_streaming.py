@@ -215,3 +215,19 @@ def test_a_poll_window_takes_what_lands_and_ends(spark, tmp_path):
     later.join()
     assert ingest.ingested_states(spark, path).count() == 3
     assert 8 <= time.time() - began < 90 and not spark.streams.active
+
+
+def test_a_batch_opens_the_snapshots_seen_once(spark, tmp_path, monkeypatch):
+    plans = []
+
+    def spy(df, *args):
+        plans.append(df._jdf.queryExecution().toString())
+        return broadcast_if_small(df, *args)
+
+    broadcast_if_small = ingest.broadcast_if_small
+    monkeypatch.setattr(ingest, "broadcast_if_small", spy)
+    for name in ("1.json", "2.json"):
+        land(tmp_path / "landing", name, (START, [vector("a")]), (START + 20 * int(name[0]), [vector("a")]))
+        run(spark, tmp_path / "landing", tmp_path)
+    assert len(plans) == 2 and not any("FileScan" in plan for plan in plans)
+    assert ingest.ingested_states(spark, f"{tmp_path}/in").count() == 3

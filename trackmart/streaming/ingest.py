@@ -91,7 +91,8 @@ def ingest(payloads: DataFrame, path: str, *steps: Step, by_name: bool = False)
             timed = good.select("value", "arrival", "snapshot_ts")
             slots = slots_in(timed, F.col("snapshot_ts"), HOUR)
             known = read_slots(spark, f"{path}/seen", times, slots)
-            seen = known.where(F.col(EPOCH) < epoch).select("snapshot_ts").distinct()
+            # measured and joined, but its files, one per hour and batch, are opened once
+            seen = checkpointed(known.where(F.col(EPOCH) < epoch).select("snapshot_ts").distinct())
             first = earliest(timed.join(broadcast_if_small(seen), "snapshot_ts", "left_anti"))
             states = parse_snapshots(lines_of(timed, first)).drop("arrival").persist()
             require(run_rules(states, state_rules()))
